@@ -59,3 +59,11 @@ def squares_about(arr: str, centre: str) -> str:
         f"aggregate({arr}, 0.0D, (s{tag}, v{tag}) -> "
         f"s{tag} + (v{tag} - {centre}) * (v{tag} - {centre}))"
     )
+
+
+def more_distinct_than(arr: str, k: str) -> str:
+    """Whether there are more than ``k`` distinct values, by hopping over runs of equal ones."""
+    at = f"at{next(_names)}"
+    hop = f"{last_at_most(arr, f'get({arr}, {at})')} + 1"
+    hops = f"aggregate(sequence(1, {k}), 0, ({at}, hop) -> if({at} >= size({arr}), {at}, {hop}))"
+    return f"({hops} < size({arr}))"

@@ -76,5 +76,29 @@ def fit_left_gumbel(
     )
 
 
+def fit_left_gumbel_arrays(groups: DataFrame) -> DataFrame:
+    """The same fit for rows holding a sorted array ``obs`` with ``obs_mean``, ``obs_sd`` and
+    ``obs_max``, the last two NULL where a value is missing."""
+    weight = "exp((v - obs_max) / s)"
+    sums = (
+        "aggregate(obs, named_struct('w0', 0D, 'w1', 0D, 'w2', 0D), (a, v) -> named_struct("
+        f"'w0', a.w0 + {weight}, 'w1', a.w1 + {weight} * (obs_max - v), "
+        f"'w2', a.w2 + {weight} * (obs_max - v) * (obs_max - v)))"
+    )
+    ratio = "w.w1 / w.w0"
+    gap = f"(s - (obs_max - obs_mean) + {ratio})"
+    slope = f"(1 + (w.w2 / w.w0 - ({ratio}) * ({ratio})) / (s * s))"
+    g = groups.withColumn("s", F.expr(f"if(obs_sd > 0, obs_sd * {math.sqrt(6.0) / math.pi!r}D, null)"))
+    for _ in range(STEPS):
+        g = g.withColumn("w", F.expr(f"if(s is null, null, {sums})"))
+        g = g.withColumn("s", F.expr(f"if(s is null, null, greatest(s - {gap} / {slope}, s / 2))"))
+    g = g.withColumn("w", F.expr(f"if(s is null, null, {sums})"))
+    return (
+        g.withColumn("gumbel_loc", F.expr("obs_max + s * ln(w.w0 / size(obs))"))
+        .withColumnRenamed("s", "gumbel_scale")
+        .drop("w")
+    )
+
+
 def left_gumbel_quantile(p: Column, loc: Column, scale: Column) -> Column:
     return F.when((p > 0) & (p < 1), loc + scale * F.log(-F.log(1.0 - p)))

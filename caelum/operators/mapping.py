@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from caelum.config import CorrectionParams
 from caelum.functions import sorted_arrays as sa
+from caelum.operators.gumbel import fit_left_gumbel, fit_left_gumbel_arrays
 from caelum.operators.quantiles import SLICE_ROWS, bracket, distinct_knots, positions
 from caelum.session import cut
 
@@ -37,6 +38,9 @@ GROUP_FACTS = [
 MEMBER_FACTS = ["value", "clamped", "rank", "mapped", "draw_rank", "draw_mapped"]
 
 
+GUMBEL_FACTS = ["gumbel_loc", "gumbel_scale"]
+
+
 def mapped_columns(keys: list[str], ids: list[str]) -> list[str]:
     return [*keys, *ids, *MEMBER_FACTS, *GROUP_FACTS]
 
@@ -68,17 +72,23 @@ def member_arrays(pred: DataFrame, keys: list[str], ids: list[str]) -> DataFrame
 
 
 def map_arrays(
-    groups: DataFrame, keys: list[str], ids: list[str], params: CorrectionParams
+    groups: DataFrame,
+    keys: list[str],
+    ids: list[str],
+    params: CorrectionParams,
+    gumbel: bool = False,
 ) -> DataFrame:
     """Map the ``members`` of rows holding ``obs``, ``obs_missing``, ``mdl``, ``mdl_missing``."""
     nq, dry = params.nquants, params.dry_thresh
+    group_facts = GROUP_FACTS + (GUMBEL_FACTS if gumbel else [])
     exact = "if({0}_missing = 0, {1}, null)"
     facts = {
         "n_obs": "size(obs) + obs_missing",
         "usable": "size(obs) > 0 and size(mdl) > 0",
         "varied": (
-            "size(array_distinct(obs)) + if(obs_missing > 0, 1, 0) > 10 and "
-            "size(array_distinct(mdl)) + if(mdl_missing > 0, 1, 0) > 10"
+            # more than ten, missing values counting as one
+            f"{sa.more_distinct_than('obs', 'if(obs_missing > 0, 9, 10)')} and "
+            f"{sa.more_distinct_than('mdl', 'if(mdl_missing > 0, 9, 10)')}"
         ),
         "obs_mean": f"if(size(obs) > 0, {sa.total('obs')} / size(obs), null)",
         "obs_min": exact.format("obs", "get(obs, 0)"),
@@ -111,7 +121,7 @@ def map_arrays(
         "members",
         *[c for c in GROUP_FACTS if c in facts],
         F.expr(
-            f"if(obs_missing = 0, sqrt({sa.squares_about('obs', 'obs_mean')} / size(obs)), null)"
+            f"if(usable and obs_missing = 0, sqrt({sa.squares_about('obs', 'obs_mean')} / size(obs)), null)"
         ).alias("obs_sd"),
         F.expr(exact.format("obs", sa.midpoint("obs", "n_obs", "n_obs"))).alias("obs_up"),
         F.expr(exact.format("obs", sa.midpoint("obs", "1", "n_obs"))).alias("obs_low"),
@@ -121,7 +131,10 @@ def map_arrays(
         F.expr(f"if(usable and varied, {sa.knots('obs', 'n_obs')}, null)").alias("q_obs"),
     )
 
-    steps = _Members(g, [*ids, "value", "draw"])
+    if gumbel:
+        g = fit_left_gumbel_arrays(g)
+
+    steps = _Members([*ids, "value", "draw"])
     steps.add(
         clamped=f"if(r.value is null, null, least(greatest(r.value, get(q_mdl, 0)), get(q_mdl, {nq - 1})))"
     )
@@ -143,27 +156,26 @@ def map_arrays(
         steps.add(draw_mapped="cast(null as double)")
     # explode would add a size filter, which is pushed down and repeats the work above;
     # members are never empty, so the outer form gives the same rows
-    out = steps.df.select(*keys, *GROUP_FACTS, F.explode_outer("members").alias("r"))
+    out = g.select(*keys, *group_facts, F.explode_outer(F.expr(steps.sql)).alias("r"))
     return out.select(
-        *keys, *[f"r.{c}" for c in ids], *[f"r.{c}" for c in MEMBER_FACTS], *GROUP_FACTS
+        *keys, *[f"r.{c}" for c in ids], *[f"r.{c}" for c in MEMBER_FACTS], *group_facts
     )
 
 
 class _Members:
-    """Adds fields to the structs of the ``members`` array, one projection at a time.
+    """Adds fields to the structs of the ``members`` array.
 
-    Separate projections keep an earlier field from being computed again for each later use.
+    Each step is a ``transform`` over the result of the one before, so an earlier field is
+    computed once however often later steps use it.
     """
 
-    def __init__(self, df: DataFrame, fields: list[str]):
-        self.df, self.fields = df, list(fields)
+    def __init__(self, fields: list[str]):
+        self.sql, self.fields = "members", list(fields)
 
     def add(self, **new: str) -> None:
         old = ", ".join(f"'{f}', r.{f}" for f in self.fields)
         more = ", ".join(f"'{name}', {sql}" for name, sql in new.items())
-        self.df = self.df.withColumn(
-            "members", F.expr(f"transform(members, r -> named_struct({old}, {more}))")
-        )
+        self.sql = f"transform({self.sql}, r -> named_struct({old}, {more}))"
         self.fields += list(new)
 
 
@@ -227,6 +239,7 @@ def map_rows(
     ids: list[str],
     params: CorrectionParams,
     slice_rows: int = SLICE_ROWS,
+    gumbel: bool = False,
 ) -> DataFrame:
     """Same result as ``map_arrays`` without holding a group's sample anywhere."""
     dry, nq = params.dry_thresh, params.nquants
@@ -375,4 +388,5 @@ def map_rows(
             *keys, F.col("p").alias("at_draw"), F.col("v").alias("draw_mapped")
         )
         rows = rows.join(drawn, [*keys, "at_draw"], "left")
-    return rows.select(*mapped_columns(keys, ids))
+    rows = rows.select(*mapped_columns(keys, ids))
+    return rows.join(fit_left_gumbel(obs, keys), keys, "left") if gumbel else rows

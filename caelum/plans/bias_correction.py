@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caelum.config import CorrectionParams
-from caelum.operators.gumbel import fit_left_gumbel
 from caelum.operators.mapping import (
     map_arrays,
     map_rows,
@@ -36,6 +35,7 @@ def map_groups(
     params: CorrectionParams,
     hot_rows: int | None = HOT_ROWS,
     slice_rows: int = SLICE_ROWS,
+    gumbel: bool = False,
 ) -> DataFrame:
     """Quantile-map ``pred`` (keys, ids, value) group by group; all values of a group pooled.
 
@@ -52,9 +52,9 @@ def map_groups(
         .join(sample_arrays(o, keys, "obs"), keys, "left")
         .join(sample_arrays(m, keys, "mdl"), keys, "left")
     )
-    mapped = map_arrays(groups, keys, ids, params)
+    mapped = map_arrays(groups, keys, ids, params, gumbel)
     if hot is not None:
-        mapped = mapped.unionByName(map_rows(*hot, keys, ids, params, slice_rows))
+        mapped = mapped.unionByName(map_rows(*hot, keys, ids, params, slice_rows, gumbel))
     return mapped
 
 
@@ -70,9 +70,8 @@ def correct_groups(
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """``map_groups`` followed by tails, dry days and guards: adds ``corrected``."""
-    mapped = map_groups(pred, obs, mdl, keys, ids, params, hot_rows, slice_rows)
-    if needs_gumbel(params, precip):
-        mapped = mapped.join(fit_left_gumbel(obs, keys), keys, "left")
+    gumbel = needs_gumbel(params, precip)
+    mapped = map_groups(pred, obs, mdl, keys, ids, params, hot_rows, slice_rows, gumbel)
     return finish(mapped, params, precip)
 
 
@@ -84,6 +83,7 @@ def _corrected_in_arrays(
     ids: list[str],
     first_year: int,
     params: CorrectionParams,
+    gumbel: bool,
 ) -> DataFrame:
     """Mapping with sliding windows; after hashing by cell nothing else is shuffled."""
     group = [*cell, "issue_month", "lead"]
@@ -105,7 +105,7 @@ def _corrected_in_arrays(
         )
     )
     pooled = lead_pool(steps, [*cell, "issue_month"], params.mdl_window).where(F.size("members") > 0)
-    return map_arrays(pooled.join(reference, group, "left"), group, ids, params)
+    return map_arrays(pooled.join(reference, group, "left"), group, ids, params, gumbel)
 
 
 def bias_correct(
@@ -139,11 +139,12 @@ def bias_correct(
     cold, hot = [pred, obs, mdl], None
     if hot_rows is not None:
         cold, hot = split_by_size(cold, cell, hot_rows)
-    mapped = _corrected_in_arrays(*cold, cell, ids, first_year, params)
-    day = target_day(first_year, F.col("issue_month"), F.col("lead"))
-    targets = pred.select("issue_month", "lead").distinct().withColumn("day", day)
+    gumbel = needs_gumbel(params, precip)
+    mapped = _corrected_in_arrays(*cold, cell, ids, first_year, params, gumbel)
     if hot is not None:
         p, o, m = hot
+        day = target_day(first_year, F.col("issue_month"), F.col("lead"))
+        targets = p.select("issue_month", "lead").distinct().withColumn("day", day)
         large = map_rows(
             p,
             calendar_rows(o, targets, cell, ["issue_month", "lead"], params.window),
@@ -152,9 +153,7 @@ def bias_correct(
             ids,
             params,
             slice_rows,
+            gumbel,
         )
         mapped = mapped.unionByName(large)
-    if needs_gumbel(params, precip):
-        around = calendar_rows(obs, targets, cell, ["issue_month", "lead"], params.window)
-        mapped = mapped.join(fit_left_gumbel(around, group), group, "left")
     return finish(mapped, params, precip)

@@ -17,10 +17,12 @@ def period_label(first: int, last: int, syr: int, eyr: int) -> str:
 def write_partitions(df: DataFrame, path: str, by: list[str], sort: list[str] | None = None) -> None:
     """Replace the partitions present in ``df`` and keep the others.
 
-    A rerun of the same issue therefore writes it again instead of twice.
+    A rerun of the same issue therefore writes it again instead of twice. ``sort`` gives the
+    order inside a partition.
     """
     if sort:
-        df = df.sortWithinPartitions(*by, *sort)
+        # range partitions: few files per partition, and a large partition spans several tasks
+        df = df.repartitionByRange(*by, *sort).sortWithinPartitions(*by, *sort)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -29,9 +31,12 @@ def write_partitions(df: DataFrame, path: str, by: list[str], sort: list[str] |
     )
 
 
-def write_packed(df: DataFrame, path: str, variable: str, by: list[str]) -> None:
+def write_packed(
+    df: DataFrame, path: str, variable: str, by: list[str], sort: list[str] | None = None
+) -> None:
     """Store ``value`` as the variable's scaled integer."""
-    write_partitions(df.withColumn("value", pack(F.col("value"), VARIABLES[variable])), path, by)
+    packed = df.withColumn("value", pack(F.col("value"), VARIABLES[variable]))
+    write_partitions(packed, path, by, sort)
 
 
 def read_packed(df: DataFrame, variable: str) -> DataFrame:

@@ -42,7 +42,8 @@ def out(col: Column | str) -> Column:
 
 
 def _price_views(spark, d):
-    return V.pred(spark, d), V.obs(spark, d), V.mdl(spark, d)
+    lines = V.shipped(spark, d)
+    return V.pred(spark, d, lines), V.obs(spark, d, lines), V.mdl(spark, d, lines)
 
 
 def _rain_views(spark, d):
@@ -770,7 +771,7 @@ def _stored(df: DataFrame) -> DataFrame:
 @query
 def roundtrip_packed(spark, d):
     path = scratch_path(spark, "packed")
-    sink.write_packed(_stored(V.obs(spark, d)), path, "ssrd", ["issue_year"])
+    sink.write_packed(_stored(V.obs(spark, d)), path, "ssrd", ["issue_year"], ["cell", "valid_date"])
     back = sink.read_packed(spark.read.parquet(path), "ssrd")
     return back.select("cell", "valid_date", out("value").alias("value"))
 
@@ -780,8 +781,8 @@ def append_idempotent(spark, d):
     """Writing an issue twice leaves it once; other issues stay."""
     path = scratch_path(spark, "append")
     df = _stored(V.obs(spark, d))
-    sink.write_partitions(df, path, ["issue_year"])
-    sink.write_partitions(df.where(F.col("issue_year") == 1997), path, ["issue_year"])
+    sink.write_partitions(df, path, ["issue_year"], ["cell", "valid_date"])
+    sink.write_partitions(df.where(F.col("issue_year") == 1997), path, ["issue_year"], ["cell", "valid_date"])
     return spark.read.parquet(path).select("cell", "valid_date", out("value").alias("value"))
 
 
@@ -803,7 +804,7 @@ def layout_map(spark, d):
 def scan_store(spark, d):
     path = scratch_path(spark, "store")
     df = _stored(V.obs(spark, d)).withColumn("variable", F.lit("tp"))
-    sink.write_partitions(df, path, ["variable", "issue_year", "issue_month"])
+    sink.write_partitions(df, path, ["variable", "issue_year", "issue_month"], ["cell", "valid_date"])
     got = scan.scan_store(spark, path, ["tp"], "1996,0,1997", "6,7", "issue_year", "issue_month")
     return got.select("cell", "valid_date", out("value").alias("value"))
 

@@ -32,19 +32,18 @@ def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def obs(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     return (
-        shipped(spark, sf_dir)
+        (lines or shipped(spark, sf_dir))
         .where(F.year("valid_date").between(1995, 1999))
         .groupBy("cell", "valid_date")
         .agg(F.max("l_extendedprice").alias("value"))
     )
 
 
-def _steps(spark: SparkSession, sf_dir: str, first: int, last: int) -> DataFrame:
+def _steps(lines: DataFrame, first: int, last: int) -> DataFrame:
     return (
-        shipped(spark, sf_dir)
-        .where(F.year("valid_date").between(first, last) & (F.dayofyear("valid_date") <= 215))
+        lines.where(F.year("valid_date").between(first, last) & (F.dayofyear("valid_date") <= 215))
         .groupBy(
             "cell",
             F.year("valid_date").alias("issue_year"),
@@ -55,12 +54,12 @@ def _steps(spark: SparkSession, sf_dir: str, first: int, last: int) -> DataFrame
     )
 
 
-def mdl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _steps(spark, sf_dir, 1995, 1999)
+def mdl(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    return _steps(lines or shipped(spark, sf_dir), 1995, 1999)
 
 
-def pred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _steps(spark, sf_dir, 2000, 2000)
+def pred(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    return _steps(lines or shipped(spark, sf_dir), 2000, 2000)
 
 
 def rain(spark: SparkSession, sf_dir: str) -> DataFrame:
