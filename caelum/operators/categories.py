@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caelum.config import members_in
+
 # Probabilities that mark a forecast without skill.
 SENTINEL = {"quintile": 25.0, "tercile": 35.0}
 UNDECIDED = -0.5
@@ -46,6 +48,12 @@ def first_present(df: DataFrame, cell: list[str]) -> DataFrame:
     return df.groupBy(*cell).agg(first["value"].isNotNull().alias("present"))
 
 
+def nominal_members(issue_date: Column) -> Column:
+    """Ensemble size of an issue as a column."""
+    early, late = members_in(2016), members_in(2017)
+    return F.when(F.year(issue_date) < 2017, early).otherwise(late)
+
+
 def probability(count: Column, members, present: Column | None = None) -> Column:
     """Percent of the nominal ensemble size; NULL where the cell is masked."""
     share = count / members * 100

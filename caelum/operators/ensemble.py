@@ -16,18 +16,22 @@ def ensemble_statistics(
     A group holds the members of one forecast, at most the ensemble size; pass ``hot_rows`` for
     groups that pool more than that.
     """
-    simple = df.groupBy(*keys).agg(
-        F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std"),
-        (F.max("value") - F.min("value")).alias("spread"),
-    )
-    wanted = {"median": (0.5, "linear"), "q25": (0.25, "midpoint"), "q75": (0.75, "midpoint")}
-    ranked = group_quantiles(df, keys, "value", wanted, hot_rows)
-    return simple.join(ranked, keys).select(
+    # the midpoint median equals the linear one, so one sorted list serves all three
+    wanted = {k: (p, "midpoint") for k, p in (("median", 0.5), ("q25", 0.25), ("q75", 0.75))}
+    df = group_quantiles(df, keys, "value", wanted, hot_rows, also=simple_statistics())
+    return df.select(
         *keys, "mean", "median", "std", (F.col("q75") - F.col("q25")).alias("iqr"), "spread"
     )
 
 
+def simple_statistics() -> dict[str, Column]:
+    return {
+        "mean": F.avg("value"),
+        "std": F.stddev_pop("value"),
+        "spread": F.max("value") - F.min("value"),
+    }
+
+
 def anomaly(value: Column, climatology: Column) -> Column:
     return value - climatology
 

@@ -194,6 +194,12 @@ def _weights(method: str, prob: float, m: Column) -> list[tuple[Column, Column]]
     return [(below, 1 - part), (above, part)]
 
 
+def from_sorted(arr: str, prob: float, method: str) -> Column:
+    """Quantile of a sorted array column."""
+    (a, wa), (b, wb) = _weights(method, prob, F.size(arr))
+    return F.get(arr, a.cast("int")) * wa + F.get(arr, b.cast("int")) * wb
+
+
 def group_quantiles(
     df: DataFrame,
     keys: list[str],
@@ -201,13 +207,17 @@ def group_quantiles(
     wanted: dict[str, tuple[float, str]],
     hot_rows: int | None = None,
     slice_rows: int = SLICE_ROWS,
+    also: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Exact quantiles per group; ``wanted`` maps a column name to (probability, method).
 
     ``linear`` interpolates between order statistics, ``midpoint`` takes their mean. Missing
-    values are skipped. Groups above ``hot_rows`` rows go through value slices; None states that
-    the input's key bounds every group.
+    values are skipped. ``also`` holds further aggregates for the same pass. Groups above
+    ``hot_rows`` rows go through value slices; None states that the input's key bounds every
+    group.
     """
+    also = also or {}
+    others = [agg.alias(name) for name, agg in also.items()]
     cold, hot = df, None
     if hot_rows is not None:
         (cold,), large = split_by_size([df], keys, hot_rows)
@@ -215,19 +225,15 @@ def group_quantiles(
 
     linear = {k: p for k, (p, method) in wanted.items() if method == "linear"}
     middle = {k: p for k, (p, method) in wanted.items() if method == "midpoint"}
-    aggs = []
+    aggs = list(others)
     if linear:
         aggs.append(F.percentile(value, list(linear.values())).alias("_linear"))
     if middle:
         aggs.append(F.sort_array(F.collect_list(value)).alias("_sorted"))
-    out = cold.groupBy(*keys).agg(*aggs)
-    columns = {}
-    for k in linear:
-        columns[k] = F.get("_linear", F.lit(list(linear).index(k)))
-    for k, p in middle.items():
-        (a, wa), (b, wb) = _weights("midpoint", p, F.size("_sorted"))
-        columns[k] = F.get("_sorted", a.cast("int")) * wa + F.get("_sorted", b.cast("int")) * wb
-    out = out.select(*keys, *[columns[k].alias(k) for k in wanted])
+    columns = {k: F.get("_linear", F.lit(n)) for n, k in enumerate(linear)}
+    columns.update({k: from_sorted("_sorted", p, "midpoint") for k, p in middle.items()})
+    picked = [*also, *[columns[k].alias(k) for k in wanted]]
+    out = cold.groupBy(*keys).agg(*aggs).select(*keys, *picked)
     if hot is None:
         return out
 
@@ -239,5 +245,5 @@ def group_quantiles(
             for at, w in _weights(method, p, F.col("m"))
         ]
         sums.append(F.sum(parts[0] + parts[1]).alias(k))
-    found = hot.select(*keys).distinct().join(pos.groupBy(*keys).agg(*sums), keys, "left")
-    return out.unionByName(found)
+    groups = hot.groupBy(*keys).agg(*others) if others else hot.select(*keys).distinct()
+    return out.unionByName(groups.join(pos.groupBy(*keys).agg(*sums), keys, "left"))

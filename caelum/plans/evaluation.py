@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caelum.functions.codec import half_even
@@ -11,24 +11,33 @@ from caelum.operators.categories import (
     class_counts,
     count_columns,
     encode_category,
-    first_present,
     probability,
 )
-from caelum.operators.ensemble import anomaly, ensemble_statistics, relative_anomaly
+from caelum.operators.ensemble import anomaly, relative_anomaly, simple_statistics
+from caelum.operators.quantiles import from_sorted
 
 PRODUCTS = ("tercile", "quintile", "extreme")
 
 
 def member_counts(
-    monthly: DataFrame, thresholds: DataFrame, cell: list[str], issue: list[str]
+    monthly: DataFrame,
+    thresholds: DataFrame,
+    cell: list[str],
+    issue: list[str],
+    also: list[Column] | None = None,
 ) -> DataFrame:
-    """Members per category of each forecast month; thresholds are matched by calendar month."""
+    """Members per category of each forecast month; thresholds are matched by calendar month.
+
+    ``also`` holds further aggregates over the same members.
+    """
     rows = monthly.withColumn("month", F.month("month_start")).join(
         thresholds, [*cell, "month"], "left"
     )
     aggs = [agg for product in PRODUCTS for agg in class_counts(F.col("value"), product)]
     # month and q90 follow from the other keys; naming month keeps the join's partitioning
-    return rows.groupBy(*cell, "month", *issue, "month_start").agg(*aggs, F.first("q90").alias("q90"))
+    return rows.groupBy(*cell, "month", *issue, "month_start").agg(
+        *aggs, F.first("q90").alias("q90"), *(also or [])
+    )
 
 
 def evaluate(
@@ -40,22 +49,31 @@ def evaluate(
     members: int | Column,
     precip: bool = False,
     sentinel: str = "equal",
-    hot_rows: int | None = None,
 ) -> DataFrame:
-    """All measures per cell, issue and month from monthly means of the members."""
+    """All measures per cell, issue and month from monthly means of the members.
+
+    The members are read and shuffled once; a group is one forecast month, so its list holds at
+    most the ensemble. Everything after works on one row per cell, issue and month.
+    """
     forecast = [*cell, *issue, "month_start"]
-    stats = ensemble_statistics(monthly, forecast, hot_rows)
-    counts = member_counts(monthly, thresholds, cell, issue)
-    mask = first_present(monthly, [*cell, *issue])
+    also = [agg.alias(name) for name, agg in simple_statistics().items()]
+    also += [
+        F.sort_array(F.collect_list("value")).alias("sorted"),
+        F.min_by(F.struct("value"), "ens")["value"].isNotNull().alias("first_member"),
+    ]
+    df = member_counts(monthly, thresholds, cell, issue, also)
+    # the mask is the first member of the first month of the forecast
+    first = Window.partitionBy(*cell, *issue).orderBy("month_start")
+    df = df.withColumn("present", F.first("first_member").over(first))
     clim = climatology.select(*cell, "month", F.col("value").alias("clim"))
-    df = (
-        counts.join(stats, forecast)
-        .join(mask, [*cell, *issue])
-        .join(clim, [*cell, "month"], "left")
+    df = df.join(clim, [*cell, "month"], "left")
+    df = df.select(
+        *df.columns,
+        from_sorted("sorted", 0.5, "midpoint").alias("median"),
+        (from_sorted("sorted", 0.75, "midpoint") - from_sorted("sorted", 0.25, "midpoint")).alias("iqr"),
     )
-    for product in PRODUCTS:
-        for name in count_columns(product):
-            df = df.withColumn(name, probability(F.col(name), members, F.col("present")))
+    names = [name for product in PRODUCTS for name in count_columns(product)]
+    df = df.withColumns({n: probability(F.col(n), members, F.col("present")) for n in names})
     wet = F.col("q90") if precip else None
     codes = {
         product: half_even(

@@ -14,18 +14,24 @@ def period_label(first: int, last: int, syr: int, eyr: int) -> str:
     return "calib" if (first, last) == (syr, eyr) else f"{first}_{last}"
 
 
-def write_partitions(df: DataFrame, path: str, by: list[str], sort: list[str] | None = None) -> None:
+def write_partitions(
+    df: DataFrame,
+    path: str,
+    by: list[str],
+    sort: list[str] | None = None,
+    replace_all: bool = False,
+) -> None:
     """Replace the partitions present in ``df`` and keep the others.
 
     A rerun of the same issue therefore writes it again instead of twice. ``sort`` gives the
-    order inside a partition.
+    order inside a partition. ``replace_all`` drops the partitions not in ``df`` as well.
     """
     if sort:
         # range partitions: few files per partition, and a large partition spans several tasks
         df = df.repartitionByRange(*by, *sort).sortWithinPartitions(*by, *sort)
     (
         df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(*by)
         .parquet(path)
     )

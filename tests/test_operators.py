@@ -184,8 +184,11 @@ def test_rewrite_keeps_other_partitions(spark, tmp_path):
     got = {(r["year"], r["k"]): r["value"] for r in spark.read.parquet(path).collect()}
     assert len(got) == 10 and got[2000, 3] == 3 and got[2001, 3] == 4
     pruned = scan.scan_store(spark, path, years="2001")
+    assert pruned.count() == 5
     plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(year" in plan and pruned.count() == 5
+    assert "PartitionFilters: [isnotnull(year" in plan
+    sink.write_partitions(df.where("year = 2000"), path, ["year"], replace_all=True)
+    assert [r["year"] for r in spark.read.parquet(path).select("year").distinct().collect()] == [2000]
 
 
 def test_member_files(spark, tmp_path):
