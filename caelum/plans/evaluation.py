@@ -56,23 +56,28 @@ def evaluate(
     most the ensemble. Everything after works on one row per cell, issue and month.
     """
     forecast = [*cell, *issue, "month_start"]
+    clim = climatology.select(*cell, "month", F.col("value").alias("clim"))
+    normals = thresholds.join(clim, [*cell, "month"], "full")
     also = [agg.alias(name) for name, agg in simple_statistics().items()]
     also += [
+        F.first("clim").alias("clim"),
         F.sort_array(F.collect_list("value")).alias("sorted"),
         F.min_by(F.struct("value"), "ens")["value"].isNotNull().alias("first_member"),
     ]
-    df = member_counts(monthly, thresholds, cell, issue, also)
+    df = member_counts(monthly, normals, cell, issue, also)
+    names = [name for product in PRODUCTS for name in count_columns(product)]
     # the mask is the first member of the first month of the forecast
     first = Window.partitionBy(*cell, *issue).orderBy("month_start")
-    df = df.withColumn("present", F.first("first_member").over(first))
-    clim = climatology.select(*cell, "month", F.col("value").alias("clim"))
-    df = df.join(clim, [*cell, "month"], "left")
     df = df.select(
-        *df.columns,
+        *forecast,
+        *names,
+        *simple_statistics(),
+        "clim",
+        "q90",
         from_sorted("sorted", 0.5, "midpoint").alias("median"),
         (from_sorted("sorted", 0.75, "midpoint") - from_sorted("sorted", 0.25, "midpoint")).alias("iqr"),
+        F.first("first_member").over(first).alias("present"),
     )
-    names = [name for product in PRODUCTS for name in count_columns(product)]
     df = df.withColumns({n: probability(F.col(n), members, F.col("present")) for n in names})
     wet = F.col("q90") if precip else None
     codes = {
