@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caelum.operators.quantiles import weight
+
 STEPS = 8
 
 
@@ -22,21 +24,26 @@ def fit_left_gumbel(
     With x the distance below the group's largest value, the scale s satisfies
     s = mean(x) - sum(x exp(-x/s)) / sum(exp(-x/s)), and the location follows from it.
     """
-    seen = df.groupBy(*keys, value).agg(F.count("*").alias("copies"))
-    start = df.groupBy(*keys).agg(
-        F.max(value).alias("top"),
-        F.avg(value).alias("mean"),
-        F.stddev_pop(value).alias("sd"),
-        (F.count("*") == F.count(value)).alias("full"),
+    seen = df.groupBy(*keys, value).agg(F.sum(weight(df)).alias("copies"))
+    v, n = F.col(value), F.col("copies")
+    start = seen.groupBy(*keys).agg(
+        F.max(v).alias("top"),
+        (F.sum(v * n) / F.sum(n)).alias("mean"),
+        (F.sum(v * v * n) / F.sum(n)).alias("square"),
+        (F.count(v) == F.count("*")).alias("full"),
     )
-    fit = start.where("full and sd > 0").select(
+    # moment estimate to start from
+    spread = F.sqrt(F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(0.0)))
+    fit = start.where(F.col("full") & (F.col("mean") < F.col("top"))).select(
         *keys,
         "top",
         (F.col("top") - F.col("mean")).alias("mean_x"),
-        (F.col("sd") * math.sqrt(6.0) / math.pi).alias("s"),
+        F.when(spread > 0, spread * math.sqrt(6.0) / math.pi)
+        .otherwise(F.col("top") - F.col("mean"))
+        .alias("s"),
     )
     x = F.col("top") - F.col(value)
-    weight = F.col("copies") * F.exp(-x / F.col("s"))
+    share = F.col("copies") * F.exp(-x / F.col("s"))
     for _ in range(steps):
         sums = (
             seen.join(fit, keys)
@@ -45,9 +52,9 @@ def fit_left_gumbel(
                 F.first("top").alias("top"),
                 F.first("mean_x").alias("mean_x"),
                 F.first("s").alias("s"),
-                F.sum(weight).alias("w0"),
-                F.sum(weight * x).alias("w1"),
-                F.sum(weight * x * x).alias("w2"),
+                F.sum(share).alias("w0"),
+                F.sum(share * x).alias("w1"),
+                F.sum(share * x * x).alias("w2"),
             )
         )
         ratio = F.col("w1") / F.col("w0")
@@ -66,7 +73,7 @@ def fit_left_gumbel(
         .agg(
             F.first("top").alias("top"),
             F.first("s").alias("s"),
-            (F.sum(weight) / F.sum("copies")).alias("mean_w"),
+            (F.sum(share) / F.sum("copies")).alias("mean_w"),
         )
     )
     return last.select(

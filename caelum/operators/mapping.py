@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from caelum.config import CorrectionParams
 from caelum.functions import sorted_arrays as sa
 from caelum.operators.gumbel import fit_left_gumbel, fit_left_gumbel_arrays
-from caelum.operators.quantiles import SLICE_ROWS, bracket, distinct_knots, positions
+from caelum.operators.quantiles import SLICE_ROWS, bracket, distinct_knots, positions, weight
 from caelum.session import cut
 
 GROUP_FACTS = [
@@ -241,53 +241,52 @@ def map_rows(
     slice_rows: int = SLICE_ROWS,
     gumbel: bool = False,
 ) -> DataFrame:
-    """Same result as ``map_arrays`` without holding a group's sample anywhere."""
+    """Same result as ``map_arrays`` without holding a group's sample anywhere.
+
+    ``obs`` and ``mdl`` may be counted already: a ``copies`` column says how many rows a row is.
+    """
     dry, nq = params.dry_thresh, params.nquants
 
-    def profile(df: DataFrame, tag: str) -> DataFrame:
-        return df.groupBy(*keys).agg(
-            F.count("*").alias(f"n_{tag}"),
-            F.count("value").alias(f"m_{tag}"),
-            F.avg("value").alias(f"{tag}_mean"),
-            F.stddev_pop("value").alias(f"{tag}_sd"),
-            F.min("value").alias(f"{tag}_min"),
-            F.max("value").alias(f"{tag}_max"),
-            F.count_if(F.col("value") < dry).alias(f"{tag}_dry"),
+    def sizes(df: DataFrame, tag: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.sum(weight(df)).alias(f"n_{tag}"))
+
+    def profile(pos: DataFrame, counts: DataFrame, tag: str) -> DataFrame:
+        copies = F.col("stop") - F.col("start")
+        above = F.col("x") - F.col("lo")
+        at = pos.join(counts, keys, "left").groupBy(*keys)
+        df = at.agg(
+            F.max("m").alias(f"m_{tag}"),
+            F.max("d").alias(f"d_{tag}"),
+            F.min("x").alias(f"{tag}_min"),
+            F.max("x").alias(f"{tag}_max"),
+            (F.sum(above * copies) / F.max("m")).alias("shift"),
+            (F.sum(above * above * copies) / F.max("m")).alias("square"),
+            F.sum(F.when(F.col("x") < dry, copies).otherwise(0)).alias(f"{tag}_dry"),
+            _at_position("n_obs", "n_obs").alias(f"{tag}_up"),
+            _at_position("1", "n_obs").alias(f"{tag}_low"),
+        )
+        spread = F.greatest(F.col("square") - F.col("shift") * F.col("shift"), F.lit(0.0))
+        return (
+            df.withColumn(f"{tag}_mean", F.col(f"{tag}_min") + F.col("shift"))
+            .withColumn(f"{tag}_sd", F.sqrt(spread))
+            .drop("shift", "square")
         )
 
     po = cut(positions(obs, keys, "value", slice_rows), "obs-positions")
     pm = cut(positions(mdl, keys, "value", slice_rows), "mdl-positions")
+    n_obs = cut(sizes(obs, "obs"), "obs-sizes")
     facts = (
-        profile(obs, "obs")
-        .join(profile(mdl, "mdl"), keys, "full")
+        n_obs.join(sizes(mdl, "mdl"), keys, "full")
+        .join(profile(po, n_obs, "obs"), keys, "left")
+        .join(profile(pm, n_obs, "mdl"), keys, "left")
         .withColumn("usable", F.coalesce((F.col("m_obs") > 0) & (F.col("m_mdl") > 0), F.lit(False)))
     )
-    counts = facts.select(*keys, "n_obs")
-    at_obs = (
-        po.join(counts, keys)
-        .groupBy(*keys)
-        .agg(
-            F.max("d").alias("d_obs"),
-            _at_position("n_obs", "n_obs").alias("obs_up"),
-            _at_position("1", "n_obs").alias("obs_low"),
-        )
-    )
-    at_mdl = (
-        pm.join(counts, keys, "left")
-        .groupBy(*keys)
-        .agg(
-            F.max("d").alias("d_mdl"),
-            _at_position("n_obs", "n_obs").alias("mdl_up"),
-            _at_position("1", "n_obs").alias("mdl_low"),
-        )
-    )
-    facts = facts.join(at_obs, keys, "left").join(at_mdl, keys, "left")
     obs_full = F.col("m_obs") == F.col("n_obs")
     mdl_full = F.col("m_mdl") == F.col("n_mdl")
 
     def many(tag: str) -> Column:
-        gaps = F.when(F.col(f"m_{tag}") < F.col(f"n_{tag}"), 1).otherwise(0)
-        return F.coalesce(F.col(f"d_{tag}"), F.lit(0)) + gaps > 10
+        missing = F.coalesce(F.col(f"m_{tag}"), F.lit(0)) < F.col(f"n_{tag}")
+        return F.coalesce(F.col(f"d_{tag}"), F.lit(0)) + F.when(missing, 1).otherwise(0) > 10
 
     facts = facts.select(
         *keys,

@@ -34,19 +34,24 @@ def _n_slices(rows: Column, slice_rows: int) -> Column:
     )
 
 
+def weight(df: DataFrame) -> Column:
+    """How many rows a row stands for: its ``copies`` where the table is already counted."""
+    return F.col("copies") if "copies" in df.columns else F.lit(1).cast("bigint")
+
+
 def positions(
     df: DataFrame, keys: list[str], value: str = "value", slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """One row per distinct value of a group, with the positions its copies take when sorted.
 
     Columns: keys, ``x``, ``start`` (0-based), ``stop`` (exclusive), ``next_x``, ``m`` (values in
-    the group) and ``d`` (distinct values). Missing values are left out.
+    the group), ``d`` (distinct values) and ``lo`` (smallest value). Missing values are left out.
     """
     seen = (
-        df.select(*keys, F.col(value).cast("double").alias("x"))
+        df.select(*keys, F.col(value).cast("double").alias("x"), weight(df).alias("copies"))
         .where(F.col("x").isNotNull())
         .groupBy(*keys, "x")
-        .agg(F.count("*").alias("copies"))
+        .agg(F.sum("copies").alias("copies"))
     )
     extent = seen.groupBy(*keys).agg(
         F.count("*").alias("d"),
@@ -84,6 +89,7 @@ def positions(
             F.coalesce("next_here", "after").alias("next_x"),
             "m",
             "d",
+            "lo",
         )
     )
 

@@ -124,21 +124,33 @@ def ring_days(targets: DataFrame, ids: list[str], window: int) -> DataFrame:
     )
 
 
-def calendar_rows(obs: DataFrame, targets: DataFrame, cell: list[str], ids: list[str], window: int) -> DataFrame:
-    """Like ``calendar_pool`` but one row per value and target, by an equi-join on the day."""
-    dated = obs.select(
-        *cell,
-        year_length(F.col("valid_date")).alias("len"),
-        F.dayofyear("valid_date").alias("doy"),
-        "value",
+def calendar_rows(
+    obs: DataFrame, targets: DataFrame, cell: list[str], ids: list[str], window: int
+) -> DataFrame:
+    """Like ``calendar_pool`` but one row per distinct value and target, with its ``copies``.
+
+    Values are counted per day first, so copies do not multiply with the window.
+    """
+    dated = (
+        obs.select(
+            *cell,
+            year_length(F.col("valid_date")).alias("len"),
+            F.dayofyear("valid_date").alias("doy"),
+            "value",
+        )
+        .groupBy(*cell, "len", "doy", "value")
+        .agg(F.count("*").alias("copies"))
+    )
+    return dated.join(ring_days(targets, ids, window), ["len", "doy"]).select(
+        *cell, *ids, "value", "copies"
     )
-    return dated.join(ring_days(targets, ids, window), ["len", "doy"]).select(*cell, *ids, "value")
 
 
 def lead_rows(mdl: DataFrame, cell: list[str], window: int) -> DataFrame:
-    """Like ``lead_pool`` but one row per value and lead it serves."""
+    """Like ``lead_pool`` but one row per distinct value and lead it serves, with ``copies``."""
+    counted = mdl.groupBy(*cell, "lead", "value").agg(F.count("*").alias("copies"))
     reach = F.sequence(F.col("lead") - window, F.col("lead") + window)
-    return mdl.select(*cell, F.explode(reach).alias("lead"), "value")
+    return counted.select(*cell, F.explode(reach).alias("lead"), "value", "copies")
 
 
 def without_years(df: DataFrame, year: Column, years: DataFrame) -> DataFrame:
