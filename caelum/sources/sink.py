@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caelum.config import VARIABLES, Variable
+from caelum.config import VARIABLES
 from caelum.functions.codec import pack, unpack
 
 
@@ -70,13 +70,3 @@ def partition_columns(issue_date: Column) -> dict[str, Column]:
     return {"issue_year": F.year(issue_date), "issue_month": F.month(issue_date)}
 
 
-__all__ = [
-    "Variable",
-    "map_layout",
-    "partition_columns",
-    "period_label",
-    "read_packed",
-    "series_layout",
-    "write_packed",
-    "write_partitions",
-]
