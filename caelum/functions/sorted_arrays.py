@@ -37,8 +37,8 @@ def midpoint(arr: str, i: str, n: str) -> str:
     Positions are whole-number arithmetic, so no rounding moves them to a neighbour.
     """
     scaled = f"(cast({i} as bigint) * (size({arr}) - 1))"
-    below = f"({scaled} div ({n} + 1))"
-    above = f"({below} + if({scaled} % ({n} + 1) > 0, 1, 0))"
+    below = f"{scaled} div ({n} + 1)"
+    above = f"({scaled} + {n}) div ({n} + 1)"  # rounded up
     return f"((get({arr}, cast({below} as int)) + get({arr}, cast({above} as int))) / 2)"
 
 

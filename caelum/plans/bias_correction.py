@@ -26,6 +26,16 @@ from caelum.operators.windows import (
 )
 
 
+def _spread(frames: list[DataFrame], keys: list[str]) -> list[DataFrame]:
+    """Hash every frame by ``keys`` into the configured number of partitions.
+
+    The number is stated because little data here means much work: adaptive coalescing by size
+    would leave too few tasks. Groupings and joins on these keys then need no further shuffle.
+    """
+    tasks = int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return [f.repartition(tasks, *keys) for f in frames]
+
+
 def map_groups(
     pred: DataFrame,
     obs: DataFrame,
@@ -46,7 +56,7 @@ def map_groups(
     cold, hot = [pred, obs, mdl], None
     if hot_rows is not None:
         cold, hot = split_by_size(cold, keys, hot_rows)
-    p, o, m = cold
+    p, o, m = _spread(cold, keys)
     groups = (
         member_arrays(p, keys, ids)
         .join(sample_arrays(o, keys, "obs"), keys, "left")
@@ -87,14 +97,12 @@ def _corrected_in_arrays(
 ) -> DataFrame:
     """Mapping with sliding windows; after hashing by cell nothing else is shuffled."""
     group = [*cell, "issue_month", "lead"]
-    pred = pred.repartition(*cell)
+    pred, obs, mdl = _spread([pred, obs, mdl], cell)
     day = target_day(first_year, F.col("issue_month"), F.col("lead"))
     targets = pred.select(*group).distinct().withColumn("day", day)
-    reference = calendar_pool(
-        obs.repartition(*cell), targets, cell, ["issue_month", "lead"], params.window
-    )
+    reference = calendar_pool(obs, targets, cell, ["issue_month", "lead"], params.window)
     members = pred.select(*group, F.struct(*ids, "value", "draw").alias("member"))
-    history = mdl.repartition(*cell).select(*group, "value", F.lit(True).alias("real"))
+    history = mdl.select(*group, "value", F.lit(True).alias("real"))
     steps = (
         history.unionByName(members, allowMissingColumns=True)
         .groupBy(*group)

@@ -474,13 +474,13 @@ where i <= (n - s) / 0.5 and j <= (e - w) / 0.5""",
 )
 ORACLES["regrid_bilinear"] = with_views(
     [],
-    """src as (select c_mktsegment seg, c_nationkey // 5 y, c_nationkey % 5 x, max(c_acctbal) v from customer where c_mktsegment <> 'BUILDING' or c_nationkey <> 12 group by 1, 2, 3),
+    """src as (select c_mktsegment seg, c_nationkey // 5 y, c_nationkey % 5 x, case when c_mktsegment <> 'BUILDING' or c_nationkey <> 12 then max(c_acctbal) end v from customer group by c_mktsegment, c_nationkey),
 seg as (select distinct c_mktsegment seg from customer),
 tg as (select i, j, 10 + i * 0.5e0 lat, -8 + j * 0.5e0 lon, i * 0.5e0 fy, j * 0.125e0 fx from generate_series(0, 8) a(i), generate_series(0, 32) b(j)),
 cr as (select tg.*, floor(fy) + dy y, floor(fx) + dx x, (case dy when 0 then 1 - (fy - floor(fy)) else fy - floor(fy) end) * (case dx when 0 then 1 - (fx - floor(fx)) else fx - floor(fx) end) w
   from tg, (select unnest([0, 1]) dy), (select unnest([0, 1]) dx))""",
     f"""select cast(i as int) lat_idx, cast(j as int) lon_idx, lat, lon, seg.seg c_mktsegment, {r('case when bool_and(w = 0 or v is not null) then sum(case when w > 0 then w * v end) end')} as value
-from cr cross join seg left join src on src.seg = seg.seg and src.y = cr.y and src.x = cr.x group by 1, 2, 3, 4, 5 having count(v) > 0""",
+from cr cross join seg left join src on src.seg = seg.seg and src.y = cr.y and src.x = cr.x group by 1, 2, 3, 4, 5 having count(src.seg) > 0""",
 )
 
 # ------------------------------------------------------------------ sources and sinks
