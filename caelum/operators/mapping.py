@@ -67,8 +67,32 @@ def sample_arrays(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     )
 
 
-def member_arrays(pred: DataFrame, keys: list[str], ids: list[str]) -> DataFrame:
-    return pred.groupBy(*keys).agg(F.collect_list(F.struct(*ids, "value", "draw")).alias("members"))
+def group_samples(
+    pred: DataFrame, obs: DataFrame, mdl: DataFrame, keys: list[str], ids: list[str]
+) -> DataFrame:
+    """One row per forecast group with its members and both samples, by a single grouping."""
+    rows = (
+        pred.select(*keys, F.struct(*ids, "value", "draw").alias("member"))
+        .unionByName(
+            obs.select(*keys, F.col("value").alias("o"), F.lit("obs").alias("role")),
+            allowMissingColumns=True,
+        )
+        .unionByName(
+            mdl.select(*keys, F.col("value").alias("m"), F.lit("mdl").alias("role")),
+            allowMissingColumns=True,
+        )
+    )
+    return (
+        rows.groupBy(*keys)
+        .agg(
+            F.collect_list("member").alias("members"),
+            F.sort_array(F.collect_list("o")).alias("obs"),
+            F.count_if((F.col("role") == "obs") & F.col("o").isNull()).alias("obs_missing"),
+            F.sort_array(F.collect_list("m")).alias("mdl"),
+            F.count_if((F.col("role") == "mdl") & F.col("m").isNull()).alias("mdl_missing"),
+        )
+        .where(F.size("members") > 0)
+    )
 
 
 def map_arrays(

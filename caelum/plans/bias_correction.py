@@ -6,13 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caelum.config import CorrectionParams
-from caelum.operators.mapping import (
-    map_arrays,
-    map_rows,
-    member_arrays,
-    sample_arrays,
-    with_draw,
-)
+from caelum.operators.mapping import group_samples, map_arrays, map_rows, with_draw
 from caelum.operators.quantiles import SLICE_ROWS
 from caelum.operators.skew import HOT_ROWS, split_by_size
 from caelum.operators.tails import finish, needs_gumbel
@@ -56,12 +50,7 @@ def map_groups(
     cold, hot = [pred, obs, mdl], None
     if hot_rows is not None:
         cold, hot = split_by_size(cold, keys, hot_rows)
-    p, o, m = _spread(cold, keys)
-    groups = (
-        member_arrays(p, keys, ids)
-        .join(sample_arrays(o, keys, "obs"), keys, "left")
-        .join(sample_arrays(m, keys, "mdl"), keys, "left")
-    )
+    groups = group_samples(*_spread(cold, keys), keys, ids)
     mapped = map_arrays(groups, keys, ids, params, gumbel)
     if hot is not None:
         mapped = mapped.unionByName(map_rows(*hot, keys, ids, params, slice_rows, gumbel))
@@ -103,17 +92,21 @@ def _corrected_in_arrays(
     reference = calendar_pool(obs, targets, cell, ["issue_month", "lead"], params.window)
     members = pred.select(*group, F.struct(*ids, "value", "draw").alias("member"))
     history = mdl.select(*group, "value", F.lit(True).alias("real"))
+    # one grouping brings the three together; all are hashed by cell, so nothing moves
     steps = (
         history.unionByName(members, allowMissingColumns=True)
+        .unionByName(reference, allowMissingColumns=True)
         .groupBy(*group)
         .agg(
             F.sort_array(F.collect_list("value")).alias("vals"),
             F.count_if(F.col("real") & F.col("value").isNull()).alias("gone"),
             F.collect_list("member").alias("members"),
+            F.flatten(F.collect_list("obs")).alias("obs"),
+            F.sum("obs_missing").alias("obs_missing"),
         )
     )
-    pooled = lead_pool(steps, [*cell, "issue_month"], params.mdl_window).where(F.size("members") > 0)
-    return map_arrays(pooled.join(reference, group, "left"), group, ids, params, gumbel)
+    pooled = lead_pool(steps, [*cell, "issue_month"], params.mdl_window)
+    return map_arrays(pooled.where(F.size("members") > 0), group, ids, params, gumbel)
 
 
 def bias_correct(

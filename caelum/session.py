@@ -12,8 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # a table already hashed by cell joins on (cell, lead) without another shuffle
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
