@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caelum.session import cut
 
-__all__ = ["components", "cut", "rows_of", "row_key", "table"]
+__all__ = ["components", "cut", "rows_of", "row_key", "table", "window_hashes"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,18 @@ def rows_of(batches: Iterator[pa.RecordBatch], most: int = 1 << 22) -> Iterator[
             yield batch.slice(start, step)
 
 
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def window_hashes(ids: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit hash of every ``n`` consecutive ids."""
+    out = np.zeros(len(ids) - n + 1, np.uint64)
+    for k in range(n):
+        out = (out ^ ids[k : len(ids) - n + 1 + k]) * FACTOR
+        out ^= out >> np.uint64(29)
+    return out
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges`` (a, b: long) as (id, component), component the least id reached.
 

@@ -11,13 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caelum.llm.common import cut, rows_of, table
+from caelum.llm.common import cut, rows_of, table, window_hashes
 
 #: Lower-cases A-Z, keeps a-z, 0-9 and every byte of a non-ASCII character; the rest parts words.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
 )
-FACTOR = np.uint64(0x9E3779B97F4A7C15)
 BITS = 20
 
 
@@ -25,15 +24,6 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(WORD_BYTES).split() if text else []
 
 
-def window_hashes(ids: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit hash of every ``n`` consecutive ids."""
-    out = np.zeros(len(ids) - n + 1, np.uint64)
-    for k in range(n):
-        out = (out ^ ids[k : len(ids) - n + 1 + k]) * FACTOR
-        out ^= out >> np.uint64(29)
-    return out
-
-
 @dataclass
 class Grams:
     """The windows of a block of benchmark items, as arrays."""
