@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from caelum.llm import decontaminate, token_counts
+from caelum.llm import decontaminate, exact_search, language_id, near_dup, token_counts
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op4_token_counts": token_counts.op4_token_counts,
+    "op6_exact_search": exact_search.op6_exact_search,
+    "op7_language_id": language_id.op7_language_id,
+    "op8_near_dup": near_dup.op8_near_dup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_exact_search": exact_search.SQL}
