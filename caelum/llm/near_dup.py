@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from caelum.llm.common import components, cut, row_key, rows_of, table, window_hashes
 
 BITS = 1024
+PAD = np.iinfo(np.int64).max
 
 
 class WordHashes(dict):
@@ -79,8 +80,8 @@ def sketches(docs: DataFrame, words: int, k: int, text: str) -> DataFrame:
     return docs.select(*row_key(text=text), F.col(text).cast("string").alias("text")).mapInArrow(sketch, kinds)
 
 
-def inverted_lists(classes: DataFrame, k: int, shared: int) -> DataFrame:
-    """(value, cid, size): the members of every list worth reading, ``size`` members each."""
+def inverted_lists(classes: DataFrame, k: int, shared: int) -> tuple[DataFrame, DataFrame]:
+    """(value, cid, size): the members of every list worth reading, ``size`` members each; (cid, own): all values of a member."""
     held = classes.select("cid", "slots", F.explode("sketch").alias("value")).repartition("value")
     df = held.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     least = F.ceil(F.col("slots") * shared / k)  # how many values a partner must share
@@ -89,29 +90,29 @@ def inverted_lists(classes: DataFrame, k: int, shared: int) -> DataFrame:
         .groupBy("cid", "slots")
         .agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("values"))  # up to k values
         .where(F.size("values") >= least)
-        .select("cid", F.explode(F.slice("values", F.lit(1), (F.size("values") - least + 1).cast("int"))).alias("v"))
-        .select("cid", F.col("v.value").alias("value"))
+        .select("cid", F.slice("values", F.lit(1), (F.size("values") - least + 1).cast("int"))["value"].alias("own"))
     )
-    rare = cut(rare, "near-lists")
+    own = cut(rare, "near-lists")
+    rare = own.select("cid", F.explode("own").alias("value"))
     lists = rare.groupBy("value").agg(
         F.count("*").alias("size"), F.bit_xor(F.xxhash64("cid")).alias("x1"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("x2")
     )
     once = lists.where("size > 1").groupBy("size", "x1", "x2").agg(F.min("value").alias("value"))
-    return rare.join(once.select("value", "size"), "value")
+    return rare.join(once.select("value", "size"), "value"), own
 
 
-def near_pairs(lists: DataFrame, percent: int, block: int, forest: bool) -> DataFrame:
-    """Pairs (a, b) of members that may reach ``percent``, from (value, cid, comp, n, bits, size).
+def near_pairs(lists: DataFrame, percent: int, block: int, width: int, forest: bool) -> DataFrame:
+    """Pairs (a, b) of members that may reach ``percent``, from (value, cid, comp, n, bits, own, size).
 
     ``forest``: spanning trees of the clearly near ones only. Otherwise all pairs of different ``comp`` that
-    the bitmaps do not rule out.
+    the bitmaps do not rule out. Of all lists that hold a pair, that of their least common value emits it.
     """
     blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("cid", F.lit(7)), blocks.cast("long")).cast("int")
     other = F.when(blocks == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), blocks - 1), lambda b: b != own))
     dealt = (
         lists.withColumn("_b", F.explode(other))
-        .select("value", F.least("_b", own).alias("i"), F.greatest("_b", own).alias("j"), "cid", "comp", "n", "bits")
+        .select("value", F.least("_b", own).alias("i"), F.greatest("_b", own).alias("j"), "cid", "comp", "n", "bits", "own")
         .repartition("value", "i", "j")
         .sortWithinPartitions("value", "i", "j", "cid")
     )
@@ -121,29 +122,34 @@ def near_pairs(lists: DataFrame, percent: int, block: int, forest: bool) -> Data
         most = (n[rest] + n[row]) * (100 - percent)
         return apart * 4 <= most * 3 if forest else apart <= most
 
-    def trees(cid, n, bits):
+    def here(value, own, row, rest):
+        common = np.isin(own[rest], own[row]) & (own[rest] != PAD)
+        return rest[np.where(common, own[rest], PAD).min(1) == value]
+
+    def trees(value, cid, n, bits, own):
         left = np.arange(len(cid))
         while len(left) > 1:
             todo, left = [left[0]], left[1:]
             while todo and len(left):
                 row = todo.pop()
                 near = may(n, bits, row, left)
-                for x in left[near].tolist():
-                    yield cid[row], cid[x]
-                    todo.append(x)
-                left = left[~near]
+                if near.any():
+                    todo += left[near].tolist()
+                    yield from ((cid[row], cid[x]) for x in here(value, own, row, left[near]))
+                    left = left[~near]
 
-    def between(cid, comp, n, bits):
+    def between(value, cid, comp, n, bits, own):
         for row in range(len(cid) - 1):
             rest = np.flatnonzero(comp[row + 1 :] != comp[row]) + row + 1
             if len(rest):
-                for x in rest[may(n, bits, row, rest)].tolist():
-                    yield cid[row], cid[x]
+                rest = rest[may(n, bits, row, rest)]
+                if len(rest):
+                    yield from ((cid[row], cid[x]) for x in here(value, own, row, rest))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def of(parts):
-            cid, comp, n, bits = (np.concatenate(x) for x in zip(*parts))
-            return trees(cid, n, bits) if forest else between(cid, comp, n, bits)
+        def of(value, parts):
+            cid, comp, n, bits, own = (np.concatenate(x) for x in zip(*parts))
+            return trees(value, cid, n, bits, own) if forest else between(value, cid, comp, n, bits, own)
 
         def groups():
             last, parts = None, []
@@ -153,22 +159,25 @@ def near_pairs(lists: DataFrame, percent: int, block: int, forest: bool) -> Data
                 keys = np.stack([batch.column(c).to_numpy() for c in range(3)], 1)
                 columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(3, 6)]
                 bits = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+                own = np.full((batch.num_rows, width), PAD)
+                sizes = batch.column(7).value_lengths().to_numpy()
+                own[np.arange(width) < sizes[:, None]] = batch.column(7).flatten().to_numpy()
                 ends = [*(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1), batch.num_rows]
                 start = 0
                 for end in ends:
                     key = tuple(keys[start])
                     if key != last and parts:
-                        yield parts
+                        yield last[0], parts
                         parts = []
                     last = key
-                    parts.append([*(c[start:end] for c in columns), bits[start:end]])
+                    parts.append([*(c[start:end] for c in columns), bits[start:end], own[start:end]])
                     start = end
             if parts:
-                yield parts
+                yield last[0], parts
 
         out = []
-        for parts in groups():
-            out += of(parts)
+        for value, parts in groups():
+            out += of(value, parts)
             if len(out) > 10_000:
                 yield _pairs(out)
                 out = []
@@ -194,7 +203,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int, text: str) -> Data
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], ["cid", "hashes"])
 
     keyed = docs.select(*row_key(text=text), F.col(text).cast("string").alias("text"))
-    texts = keyed.join(wanted, keyed["_doc"].eqNullSafe(wanted["_doc"]) & (keyed["_th"] == wanted["_th"]))
+    # Texts always move by key: a join that fits a broadcast at small sizes only would say nothing of large ones.
+    texts = keyed.hint("merge").join(wanted, keyed["_doc"].eqNullSafe(wanted["_doc"]) & (keyed["_th"] == wanted["_th"]))
     return texts.select("cid", "text").mapInArrow(sets, "cid long, hashes binary").dropDuplicates(["cid"])
 
 
@@ -237,21 +247,22 @@ def near_duplicates(
     heads = full.groupBy("d1", "d2").agg(F.min("rid").alias("cid"), F.min("_doc").alias("doc"))
     heads = cut(heads, "near-classes")
     reps = full.withColumnRenamed("rid", "cid").join(heads.select("cid"), "cid", "left_semi")
-    lists = cut(inverted_lists(reps.select("cid", "sketch", F.size("sketch").alias("slots")), k, shared), "near-members")
+    lists, own = inverted_lists(reps.select("cid", "sketch", F.size("sketch").alias("slots")), k, shared)
+    lists = cut(lists, "near-members")
     members = lists.select("cid").distinct()
     about = full.select(F.col("rid").alias("cid"), "_doc", "_th", "n", "bits").join(members, "cid")
     about = cut(about, "near-about")
     sets = cut(full_sets(docs, about.select("cid", "_doc", "_th"), words, text), "near-sets")
-    facts = about.select("cid", "n", "bits")
+    facts = about.select("cid", "n", "bits").join(own, "cid")
 
-    first = near_pairs(lists.join(facts, "cid").withColumn("comp", F.lit(0).cast("long")), percent, block, True)
+    first = near_pairs(lists.join(facts, "cid").withColumn("comp", F.lit(0).cast("long")), percent, block, k, True)
     links = cut(confirmed(first, sets, percent, k), "near-links")
     labels = components(links, "near-comp")
     comp = F.coalesce("component", "cid").alias("comp")
     labelled = lists.join(labels.withColumnRenamed("id", "cid"), "cid", "left").select("value", "cid", "size", comp)
     open_lists = labelled.groupBy("value").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
     rest = labelled.join(open_lists.select("value"), "value", "left_semi").join(facts, "cid")
-    more = cut(confirmed(near_pairs(rest, percent, block, False), sets, percent, k), "near-links")
+    more = cut(confirmed(near_pairs(rest, percent, block, k, False), sets, percent, k), "near-links")
     labels = components(links.union(more), "near-comp")
 
     named = labels.withColumnRenamed("id", "cid").join(heads.select("cid", "doc"), "cid")
