@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -28,30 +29,38 @@ def slots_of(text: str | None, known: WordHashes) -> np.ndarray:
     return np.unique(np.concatenate(grams) >> np.uint64(64 - BITS)).astype(np.int64) if grams else np.zeros(0, np.int64)
 
 
-def log_ratios(raw: np.ndarray, target: np.ndarray, least_z: float, least_log: float) -> np.ndarray:
-    """Log ratio of target to raw model by slot; 0 where the counts do not tell them apart.
+def log_ratios(counts: DataFrame, least_z: float, least_log: float) -> dict[int, float]:
+    """Log ratio of target to raw model by slot, from (slot, raw, target); slots that the counts do not tell apart are left out.
 
-    The target model is smoothed by one expected count. Ratios are taken relative to the target's median token: raw text
+    The target model is smoothed by one expected count. Ratios are taken relative to the target's median, to a thousandth: raw text
     holds some rejects, which raises all ratios of good text alike and would only reward length. A slot
-    counts if it is ``least_z`` standard deviations and ``least_log`` away from that.
+    counts if it is ``least_z`` standard deviations and ``least_log`` away from that. The driver gets one row a thousandth and the slots that count.
     """
-    if not raw.sum() or not target.sum():
-        return np.zeros(len(raw))
-    expected = raw * (target.sum() / raw.sum())
-    logs = np.log((target + 1) / (expected + 1))
-    order = np.argsort(logs, kind="stable")
-    middle = logs[order[np.searchsorted(np.cumsum(target[order]), target.sum() / 2)]]
-    expected = expected * np.exp(middle)
-    logs = np.log((target + 1) / (expected + 1))
-    tells = (np.abs(target - expected) >= least_z * np.sqrt(expected + 1)) & (np.abs(logs) >= least_log)
-    return np.where(tells, logs, 0.0)
-
-
-def fit(docs: DataFrame, labels: DataFrame, bound: int, least_z: float, least_log: float, text: str) -> np.ndarray:
+    raw, target = counts.agg(F.sum("raw"), F.sum("target")).first()
+    if not raw or not target:
+        return {}
+
+    def log(expected):
+        return F.log((F.col("target") + 1) / (expected + 1))
+
+    expected = F.col("raw") * (target / raw)
+    bins = sorted(counts.groupBy(F.round(log(expected) * 1000).cast("long").alias("bin")).agg(F.sum("target")).collect())
+    half, middle = target / 2, 0
+    for middle, n in bins:
+        half -= n
+        if half <= 0:
+            break
+    expected = expected * math.exp(middle / 1000)
+    tells = (F.abs(F.col("target") - expected) >= least_z * F.sqrt(expected + 1)) & (F.abs(log(expected)) >= least_log)
+    found = counts.where(tells).select("slot", log(expected).alias("log")).toArrow()
+    return dict(zip(found["slot"].to_pylist(), found["log"].to_pylist()))
+
+
+def fit(docs: DataFrame, labels: DataFrame, bound: int, least_z: float, least_log: float, text: str) -> dict[int, float]:
     """The model: counts of all of ``docs`` against those of at most ``bound`` documents labelled good.
 
     Good: every label of the doc_id says quality 1 and not toxic. The ``bound`` least by hash are taken; their ids
-    are the only thing sent out besides the model, which has a fixed size.
+    are the only thing sent out besides the model, which has at most 2**BITS slots.
     """
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
     named = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -69,8 +78,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int, least_z: float, least_lo
                     held[k].clear()
 
         for batch in rows_of(batches):
-            doc = batch.column(0).to_numpy(zero_copy_only=False)
-            target = np.isin(np.where(np.isnan(doc), -1, doc) if doc.dtype.kind == "f" else doc, shared.value) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            ids = batch.column(0)
+            target = np.isin(ids.fill_null(0).to_numpy(), shared.value) & ids.is_valid().to_numpy(zero_copy_only=False)
             for value, own in zip(batch.column(1), target):
                 slots = slots_of(value.as_py(), known)
                 held[0].append(slots)
@@ -81,20 +90,18 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int, least_z: float, least_lo
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, sums[0, at], sums[1, at])], ["slot", "raw", "target"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string")).mapInArrow(count, "slot long, raw long, target long")
-    sums = rows.groupBy("slot").agg(F.sum("raw"), F.sum("target")).toPandas().to_numpy()  # at most 2**BITS rows
-    counts = np.zeros((2, 1 << BITS))
-    if len(sums):
-        counts[:, sums[:, 0]] = sums[:, 1:].T
-    return log_ratios(*counts, least_z, least_log)
+    counts = rows.groupBy("slot").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    return log_ratios(cut(counts, "quality-counts"), least_z, least_log)
 
 
-def weighted(docs: DataFrame, model: np.ndarray, text: str) -> DataFrame:
-    """``docs`` (whose last column is the text) with ``_weight``, the log importance weight, and ``_n`` n-grams after it."""
+def weighted(docs: DataFrame, model: dict[int, float]) -> DataFrame:
+    """``docs`` without its column ``_text``, with ``_weight``, the log importance weight, and ``_n``, its distinct n-grams."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, logs = WordHashes(), shared.value
-        at = None
+        known, logs = WordHashes(), np.zeros(1 << BITS)
+        for slot, value in shared.value.items():
+            logs[slot] = value
         for batch in rows_of(batches):
             at = batch.schema.get_field_index("_text")
             found = [slots_of(v.as_py(), known) for v in batch.column(at)]
@@ -140,7 +147,7 @@ def resample(
     least_log: float = 2.0,
     seed: int = 0,
     text: str = "text",
-) -> tuple[DataFrame, np.ndarray, int | None]:
+) -> tuple[DataFrame, dict[int, float], int | None]:
     """``_doc, _th, _weight, _n, key`` of every row (written), the model, and the key from which rows are sampled.
 
     A document's weight is the sum of its n-grams' log ratios; rows are sampled without replacement, with chances as the weights
@@ -151,7 +158,7 @@ def resample(
     """
     model = fit(docs, labels, bound, least_z, least_log, text)
     rows = docs.select(*row_key(text=text), F.col(text).cast("string").alias("_text"))
-    scored = cut(weighted(rows, model, text).withColumn("key", gumbel_key(temperature, seed)), "quality")
+    scored = cut(weighted(rows, model).withColumn("key", gumbel_key(temperature, seed)), "quality")
     if size is None:
         size = scored.where(F.col("_weight") >= floor).count()
     return scored, model, kth_largest(scored, size)
@@ -164,7 +171,7 @@ def sample(docs: DataFrame, labels: DataFrame, temperature: float = 0.1, seed: i
         return docs.limit(0)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     keyed = docs.select(row, *row_key(text=text), F.col(text).cast("string").alias("_text"))
-    kept = weighted(keyed, model, text).withColumn("_key", gumbel_key(temperature, seed)).where(F.col("_key") >= last)
+    kept = weighted(keyed, model).withColumn("_key", gumbel_key(temperature, seed)).where(F.col("_key") >= last)
     return kept.select("_row.*")
 
 

@@ -89,3 +89,33 @@ def contamination(docs, bench, n=10):
 
 def held_out(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def lines_left(docs, min_words):
+    """{doc_id: lines left} of (doc_id, text) without later copies of runs, by comparing all positions."""
+    docs = sorted(docs)
+    lines = {d: t.split("\n") for d, t in docs}
+    at = [(d, k) for d, _ in docs for k in range(len(lines[d]))]
+    gone = set()
+    for n, (d, k) in enumerate(at):
+        best = 0
+        for e, j in at[:n]:
+            size = 0
+            while k + size < len(lines[d]) and j + size < len(lines[e]) and lines[d][k + size] == lines[e][j + size]:
+                size += 1
+            best = max(best, size)
+        if sum(len(x.split()) for x in lines[d][k : k + best]) >= min_words:
+            gone.update((d, x) for x in range(k, k + best))
+    return {d: [x for k, x in enumerate(own) if (d, k) not in gone] for d, own in lines.items()}
+
+
+def segmentations(text, score, unknown):
+    """All (score, parts) of a text into pieces of ``score``, single characters without one costing ``unknown``."""
+    if not text:
+        return [(0.0, ())]
+    out = []
+    for n in range(1, len(text) + 1):
+        own = score.get(text[-n:], unknown if n == 1 else None)
+        if own is not None:
+            out += [(s + own, parts + (text[-n:],)) for s, parts in segmentations(text[:-n], score, unknown)]
+    return out

@@ -1,0 +1,385 @@
+"""Operators against plain Python, SQL or the libraries, and their defined results on odd rows."""
+
+import glob
+import html
+import random
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from caelum.llm import (
+    common,
+    decontaminate,
+    exact_search,
+    language_id,
+    line_dedup,
+    near_dup,
+    quality,
+    queries,
+    quotes,
+    sentence_pieces,
+    token_counts,
+    warc,
+)
+from tests.llm import brute
+
+DOCS = "doc_id long, text string"
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def documents(spark, sf_dir, name="documents"):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def texts(spark, sf_dir):
+    return rows(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def in_sql(sql, **tables):
+    """The rows of ``sql`` over tables given as parquet paths, columns by name."""
+    con = duckdb.connect()
+    for name, path in tables.items():
+        con.execute(f"create view {name} as select * from '{path}'")
+    found = con.execute(sql)
+    order = sorted(range(len(found.description)), key=lambda k: found.description[k][0])
+    return sorted(([r[k] for k in order] for r in found.fetchall()), key=str)
+
+
+def by_name(df):
+    return sorted(([r[c] for c in sorted(df.columns)] for r in df.collect()), key=str)
+
+
+# ------------------------------------------------------------------ against SQL
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_sql(spark, sf_dir, name):
+    tables = {t: f"{sf_dir}/{t}.parquet" for t in ("documents", "embeddings", "pages", "conversations")}
+    assert by_name(queries.QUERIES[name](spark, sf_dir)) == in_sql(queries.ORACLES[name], **tables)
+
+
+# ------------------------------------------------------------------ near-duplicates
+
+
+def test_near_duplicates(spark, sf_dir):
+    want = brute.groups(texts(spark, sf_dir), 4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_dup.op8_near_dup(spark, sf_dir).collect()}
+    assert got == {d: (n, c, d == c) for d, (n, c) in want.items()}
+
+
+@pytest.mark.parametrize("block", [2048, 8])
+def test_near_copies_of_one_text(spark, block):
+    """A large group of copies with edits at random places, some beyond the limit: long lists, in one block and in many."""
+    rnd = random.Random(1)
+    base = [f"w{rnd.randrange(400)}" for _ in range(120)]
+    docs = []
+    for k in range(90):
+        words = list(base)
+        for _ in range(rnd.randrange(7)):
+            words[rnd.randrange(len(words))] = f"x{k}"
+        docs.append((k, " ".join(words)))
+    docs += [(100 + k, " ".join(f"u{rnd.randrange(10_000)}" for _ in range(40))) for k in range(20)]
+    docs += [(200, docs[0][1]), (201, "a b"), (202, "a  b"), (203, "a"), (204, "B A"), (205, "a B")]
+    df = spark.createDataFrame(docs, DOCS)
+    got = {r["_doc"]: (r["n"], r["component"]) for r in near_dup.near_duplicates(df, words=4, block=block).collect()}
+    assert got == brute.groups(docs, 4)
+
+
+def test_near_duplicates_odd_rows(spark):
+    docs = [(1, None), (2, ""), (3, "  \n"), (None, "one two three four five six"), (4, "one two three four five six"), (4, "one two three four five six"), (None, "alone here")]
+    df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, component string")
+    got = sorted(((r["_doc"], r["n"], r["component"]) for r in near_dup.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(1, 0, 1), (2, 0, 2), (3, 0, 3), (None, 2, 4), (4, 2, 4), (4, 2, 4), (None, 1, None)], key=str)
+    kept = near_dup.one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted(rows(kept.select("doc_id", "text")), key=str) == sorted([docs[0], docs[1], docs[2], docs[4], docs[6]], key=str)
+    assert near_dup.near_duplicates(df.limit(0)).count() == 0 and near_dup.one_of_each(df.limit(0)).count() == 0
+
+
+def test_components(spark):
+    rnd = random.Random(2)
+    edges = [(k, k + 1) for k in range(40)] + [(100 + rnd.randrange(60), 100 + rnd.randrange(60)) for _ in range(40)]
+    label = {x: x for e in edges for x in e}
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    got = {r["id"]: r["component"] for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {k: v for k, v in label.items() if any(k in e and e[0] != e[1] for e in edges)}
+
+
+# ------------------------------------------------------------------ lines
+
+
+def test_line_runs(spark):
+    """Random texts over few lines: runs overlap, nest and repeat themselves."""
+    rnd = random.Random(3)
+    kinds = ["a", "b b", "c c c", "", "d d d d d"]
+    docs = [(k, "\n".join(rnd.choice(kinds) if rnd.random() < 0.85 else f"own {k} {n}" for n in range(rnd.randrange(1, 40)))) for k in range(25)]
+    df = spark.createDataFrame(docs, DOCS)
+    for min_words in (1, 4, 12):
+        got = {r["doc_id"]: r["text"].split("\n") if r["text"] else [] for r in line_dedup.dedup_lines(df, min_words, drop_emptied=False).collect()}
+        want = brute.lines_left(docs, min_words)
+        assert got == {d: own if own != [""] else [] for d, own in want.items()}
+
+
+def test_lines_odd_rows(spark):
+    passage = "one two three four five six seven eight nine ten"
+    docs = [(5, passage), (2, f"first\n{passage}\nlast"), (7, f"{passage}\nmore"), (1, None), (3, ""), (9, "own\n\nlines"), (9, "own\n\nlines"), (None, f"x\n{passage}")]
+    df = spark.createDataFrame([(*d, "e") for d in docs], "doc_id long, text string, gone string")
+    got = line_dedup.dedup_lines(df)
+    assert got.columns == df.columns
+    want = [(2, "first\nlast"), (7, "more"), (1, None), (3, ""), (9, "own\n\nlines"), (9, "own\n\nlines"), (None, f"x\n{passage}")]
+    assert sorted(rows(got.select("doc_id", "text")), key=str) == sorted(want, key=str)
+    assert line_dedup.dedup_lines(df.limit(0)).count() == 0
+    assert rows(line_dedup.dedup_lines(df.limit(1)).select("text")) == [(passage,)]
+
+
+# ------------------------------------------------------------------ benchmark
+
+
+def test_decontamination(spark, sf_dir):
+    bench = rows(documents(spark, sf_dir, "benchmark").select("item_id", "text"))
+    want = brute.contamination(texts(spark, sf_dir), bench)
+    got = {r[0]: r[1:] for r in rows(decontaminate.op2_decontaminate(spark, sf_dir))}
+    assert got == want and any(r[4] for r in want.values())
+
+
+def test_decontamination_in_blocks(spark):
+    bench = [(1, "A b c d e f g h i j k"), (2, "short item"), (3, None), (4, "..."), (None, "z y x w v u t s r q")]
+    docs = [(1, "x, a B c. d e f g h i j k l"), (2, "a short item; A SHORT ITEM"), (3, None), (4, ""), (5, "z y x w v u t s r q p"), (6, "b c d e f g h i j"), (6, "short-item")]
+    b = spark.createDataFrame(bench, "item_id long, text string")
+    df = spark.createDataFrame([(*d, 0) for d in docs], "doc_id long, text string, n_words int")
+    whole = sorted(rows(decontaminate.report(decontaminate.scan_benchmark(df, b))))
+    assert whole == sorted(rows(decontaminate.report(decontaminate.scan_benchmark(df, b, block_bytes=25))))
+    assert [r[:4] for r in whole] == [(1, 13, 11, 1), (2, 6, 4, 1), (3, 0, 0, 0), (4, 0, 0, 0), (5, 11, 10, 0), (6, 2, 2, 1), (6, 9, 0, 0)]
+    assert [r for r in whole if r[0] != 5] == sorted((d, *brute.contamination([(d, t)], bench[:4])[d]) for d, t in docs if d != 5)
+    kept = decontaminate.decontaminate(df, b)
+    assert kept.columns == df.columns and sorted(rows(kept.select("doc_id", "text"))) == [(3, None), (4, ""), (6, "b c d e f g h i j")]
+    cut = {r[0]: r[1] for r in rows(decontaminate.decontaminate(df, b, remove="spans").select("doc_id", "text")) if r[0] < 6}
+    assert cut == {1: "x, l", 2: "a ; A", 3: None, 4: "", 5: "p"}
+    assert decontaminate.decontaminate(df, b.limit(0)).count() == 7 and decontaminate.decontaminate(df.limit(0), b).count() == 0
+
+
+# ------------------------------------------------------------------ tokens and pieces
+
+
+def test_token_counts(spark, sf_dir):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    odd = [None, "", " ", "a  b\n\n c ", "it's we'll 12 3a", "x<|endoftext|> y <|endoftext|>", "é" * 50 + "   ñ 你好 世界", "word " * 20_000, "z" * 100_000, "a\tb \n c\r\n"]
+    docs = texts(spark, sf_dir) + [(-k - 1, t) for k, t in enumerate(odd)] + [(None, "null id"), (1, "again")]
+    df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, n_tokens string")
+    want = [(d, len((t or "").encode()), n := len(tokenizer.encode(t or "", add_special_tokens=False).ids), n > 1024) for d, t in docs]
+    assert sorted(rows(token_counts.count_tokens(df)), key=str) == sorted(want, key=str)
+    assert sorted(rows(token_counts.count_tokens(df, part_chars=100, batch_bytes=64, most_known=5)), key=str) == sorted(want, key=str)
+    assert token_counts.count_tokens(df.limit(0)).count() == 0
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    import public_tokenizers
+
+    return sentence_pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def test_nbest_units(pieces):
+    """All segmentations of short words, scored and sorted by the stated rule."""
+    score = {p: pieces.scores[i] for p, i in pieces.ids.items()}
+    units = ["▁the", "hello", "▁", "▁▁", "rere", "▁naïve", "\n", "a一b", "aaaaaa", "x☃☃y"]
+    for unit in units:
+        every = brute.segmentations(unit, score, pieces.unknown)
+        every.sort(key=lambda s: (-s[0], tuple(-len(p) for p in reversed(s[1]))))
+        for n in (1, 3, 1000):
+            found = pieces.nbest(unit, n)
+            assert [s for s, _ in found] == pytest.approx([s for s, _ in every[:n]])
+            spell = lambda p: (pieces.ids[p],) if p in pieces.ids else tuple(pieces.bytes[b] for b in p.encode())
+            assert [i for _, i in found] == [tuple(i for p in parts for i in spell(p)) for _, parts in every[:n]]
+    easy = [u for u in units if all(c in pieces.ids for c in u)]
+    best, gap, ids = sentence_pieces.solve(pieces, easy)
+    for k, unit in enumerate(easy):
+        two = pieces.nbest(unit, 2)
+        assert best[k] == two[0][0] and tuple(ids[k]) == two[0][1]
+        assert gap[k] == (two[0][0] - two[1][0] if len(two) > 1 else np.inf)
+
+
+def test_pieces(spark, sf_dir, pieces):
+    import public_tokenizers
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    odd = [(-1, None), (-2, ""), (-3, " "), (-4, "a  b\n\tc"), (-5, "☃ snow 你 好"), (-6, "▁under"), (None, "x"), (-7, "ab" * 3000)]
+    docs = texts(spark, sf_dir)[:60] + odd
+    df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, ids int")
+    out = sentence_pieces.encode(df, n=3, all_ids=True).collect()
+    given = {d: t for d, t in docs}
+    for r in out:
+        text = given[r["doc_id"]] or ""
+        assert r["round_trip"] == ("▁" not in text)
+        assert model.decode(r["ids"]) == text.replace("▁", " ") or not text
+        assert r["nbest"][0] == r["ids"] and len({tuple(x) for x in r["nbest"]}) == len(r["scores"]) == len(r["nbest"]) <= 3
+        assert r["scores"] == sorted(r["scores"], reverse=True)
+        assert all(sentence_pieces.decode_ids(pieces.raw, x) == text.replace("▁", " ") for x in r["nbest"])
+        if text and all(c in pieces.ids for c in text.replace(" ", "▁")) and len(text) < 40:
+            whole = pieces.nbest("▁" + text.replace(" ", "▁"), 3)  # one lattice over the whole text
+            assert r["scores"] == pytest.approx([s for s, _ in whole])
+    back = {r["doc_id"]: r["text"] for r in sentence_pieces.decode(spark.createDataFrame([(r["doc_id"], r["ids"]) for r in out], "doc_id long, ids array<int>")).collect()}
+    assert back == {d: (t or "").replace("▁", " ") for d, t in docs}
+    assert sentence_pieces.encode(df.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ search
+
+
+def test_search_ties_and_odd_vectors(spark):
+    rnd = np.random.default_rng(4)
+    vectors = [(k, [float(x) for x in rnd.normal(size=6)]) for k in range(300)]
+    vectors += [(1000 + k, vectors[7][1]) for k in range(150)]  # many equal vectors
+    vectors += [(2000, None), (2050, [1.0, None, 0, 0, 0, 0]), (2100, [float("nan")] * 6), (2150, [float("inf")] * 6), (2200, []), (2250, [1.0, 2.0]), (2251, [3.0, 4.0]), (None, [9.0] * 6), (2300, [3e38] * 6), (50, vectors[50][1])]
+    df = spark.createDataFrame([(*v, 0) for v in vectors], "vec_id long, embedding array<float>, score int")
+    got = sorted(rows(exact_search.top_k(df, F.col("vec_id") % 50 == 0, shard_rows=64, leaf=8, group=4)))
+    good = {k: np.floor(256 * np.array(v, np.float32).astype(np.float64)) for k, v in vectors if k is not None and v and None not in v and np.isfinite(v).all() and max(map(abs, v)) < 1e9}
+    want = []
+    for q in (k for k in good if k % 50 == 0):
+        scored = sorted((-int(good[q] @ v), k) for k, v in good.items() if k != q and len(v) == len(good[q]))[:5]
+        want += [(q, r, k, -s) for r, (s, k) in enumerate(scored, 1)]
+    assert got == sorted(want)
+    assert exact_search.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+# ------------------------------------------------------------------ languages
+
+
+def test_language(spark):
+    sf = "/root/testdata/sf0.01"
+    got = rows(language_id.op7_language_id(spark, sf).join(documents(spark, sf).select("doc_id", "lang"), "doc_id").select("doc_id", "held_out", "lang_pred", "lang", "score"))
+    assert all(h == brute.held_out(d) and 0 <= s <= 1 for d, h, _, _, s in got)
+    held = [p == w for _, h, p, w, _ in got if h]
+    assert len(held) > 200 and sum(held) / len(held) > 0.97
+
+
+def test_language_spans_and_odd_rows(spark):
+    en, ru = "the house and the garden of the town ", "дом и сад у реки в городе "
+    docs = [(k, en * 3, "en") for k in range(30)] + [(100 + k, ru * 3, "ru") for k in range(30)]
+    docs += [(500, en * 2 + ru * 4, None), (501, None, "en"), (502, "123 ...", "ru"), (503, "", None), (None, ru, None), (504, "αβγ", None), (504, en, "en")]
+    df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, lang string, lang_pred string")
+    got = {(r["doc_id"], r["lang_pred"]): r for r in language_id.identify(df).collect()}
+    mixed = got[500, "ru"]
+    assert [s["lang"] for s in mixed["spans"]] == ["en", "ru"] and 0.5 < mixed["score"] < 1
+    assert {k for k in got if k[0] in (501, 502, 503)} == {(501, "und"), (502, "und"), (503, "und")}
+    assert (None, "ru") in got and not got[None, "ru"]["held_out"] and (504, "en") in got
+    assert all(r["score"] == 1 for k, r in got.items() if k[0] is not None and k[0] < 200)
+    nothing = language_id.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {r["lang_pred"] for r in nothing} == {"und"} and language_id.identify(df.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------------ quality
+
+
+def test_quality(spark):
+    rnd = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(300)]
+    docs, labels = [], []
+    for k in range(1200):
+        words = [rnd.choice(vocabulary) for _ in range(rnd.randrange(20, 400))]
+        bad = k % 5 == 0
+        if bad:
+            for _ in range(3):
+                words.insert(rnd.randrange(len(words)), rnd.choice(["nasty", "awful"]))
+        docs.append((k, " ".join(words)))
+        if k % 2 == 0:
+            labels.append((k, 1, int(bad)))
+    docs += [(-1, None), (-2, ""), (None, "w1 w2"), (1, docs[1][1])]
+    labels += [(None, 1, 0), (99_999, 1, 0), (3, 1, None)]
+    df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, key string")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    kept = quality.sample(df, lab)
+    assert kept.columns == df.columns
+    ids = [r[0] for r in kept.select("doc_id").collect()]
+    assert not [d for d in ids if d and d > 0 and d % 5 == 0 and d < 1200]
+    assert len(ids) >= 0.99 * (len(docs) - 240) and {-1, -2, None} <= set(ids)
+    scored, _, last = quality.resample(df, lab, size=100)
+    assert scored.where(F.col("key") >= last).count() == 100
+    assert sorted(r[0] for r in scored.select("key").collect())[-100] == last
+    assert quality.sample(df, lab.limit(0)).count() == len(docs) and quality.sample(df.limit(0), lab).count() == 0
+
+
+# ------------------------------------------------------------------ archives
+
+
+def test_warc(spark, tmp_path):
+    page = (
+        '<html lang="en"><head><title>A &amp; B</title><style>p{}</style></head><body><!-- c --><p>One&nbsp;two &lt;b&gt; &#233;&#x4e2d; &bogus; &#0;</p>'
+        '<script>x("</p>")</script><a href="/x y">link</a><br>end</body></html>'
+    )
+    pages = [(1, "http://a/", page), (2, None, "plain"), (3, "http://c/", None), (None, "http://d/", ""), (1, "http://a/", page)]
+    df = spark.createDataFrame([(*p, "z") for p in pages], "page_id long, url string, html string, record string")
+    out = warc.derive(warc.responses(df))
+    got = out.collect()
+    assert len(got) == 10 and out.where("page_id = 1").distinct().count() == 2
+    by = {(r["page_id"], r["warc_type"]): r for r in got}
+    assert by[1, "conversion"]["block"] == "A & B\nOne two <b> é中 &bogus; &#0;\nlink\nend"
+    about = by[1, "metadata"]["block"].split("\r\n")
+    assert {"title: A & B", "language: en", "outlink: /x y", "source-header: HTTP/1.1 200 OK"} <= {*about}
+    assert by[3, "conversion"]["block"] == "" and by[3, "conversion"]["content_length"] == 0
+    source = {r["record_id"]: r for r in warc.responses(df).collect()}
+    for r in got:
+        assert r["refers_to"] in source and by[r["page_id"], "metadata" if r["warc_type"] == "conversion" else "conversion"]["record_id"] == r["concurrent_to"]
+        assert f"WARC-Refers-To: <{r['refers_to']}>\r\n" in r["record"] and r["content_length"] == len(r["block"].encode())
+    warc.write(out, str(tmp_path / "w"))
+    back = warc.read(spark, str(tmp_path / "w")).select("warc_type", "record_id", "refers_to", "target_uri", "block", "content_length")
+    assert sorted(rows(back), key=str) == sorted(((r["warc_type"], r["record_id"], r["refers_to"], r["target_uri"], r["block"], r["content_length"]) for r in got), key=str)
+    assert warc.derive(warc.responses(df.limit(0))).count() == 0
+
+
+def test_references(spark):
+    names = " ".join(f"&{n};" for n in warc.NAMED) + " &amp;lt; &#8364; &#x1F600; &;"
+    got = spark.createDataFrame([(names,)], "t string").select(warc.decoded(F.col("t"))).first()[0]
+    assert got == html.unescape(names)
+
+
+# ------------------------------------------------------------------ quotes
+
+
+def test_quotes(spark, tmp_path):
+    said = [
+        (1, 0, "user", "How do I sort?\nI have many rows."),
+        (1, 1, "assistant", "Use sort.\n\nIt is stable."),
+        (1, 2, "user", "> Use  SORT.\nBut which?"),
+        (1, 3, "user", "> I have many rows.\nHow many?"),
+        (1, 4, "assistant", "> > How do I sort?\n> Use sort.\n>\nThis again."),
+        (1, 5, "user", "> nobody said this\nok"),
+        (1, 6, "user", ">> How do I sort?\n> How many?\n\n\n\nTwo\n\n\n\nparts"),
+        (2, 10, "user", "> I have many rows.\nelsewhere"),
+        (2, 3000, "user", "late\n> elsewhere"),
+        (3, 0, None, None),
+        (3, 1, "user", ""),
+        (3, 1, "user", ""),
+        (None, 1, "user", "> x"),
+        (4, None, "user", "y"),
+    ]
+    path = str(tmp_path / "conversations.parquet")
+    df = spark.createDataFrame([(*r, "p") for r in said], "conv_id long, turn long, role string, text string, path string")
+    df.coalesce(1).write.parquet(path)
+    got = quotes.link_quotes(df)
+    at = {(r["conv_id"], r["turn"]): r for r in got.collect()}
+    assert len(got.collect()) == len(said)
+    assert [at[1, t]["parent"] for t in range(7)] == [None, 0, 1, 0, 1, 4, 3]
+    assert at[1, 3]["path"] == [0, 3] and at[1, 4]["path"] == [-1, 4] and at[1, 6]["path"] == [0, 3, -3, 6] and at[1, 2]["path"] == []
+    assert at[1, 4]["content"] == "This again." and at[1, 6]["content"] == "Two\n\nparts" and at[3, 0]["content"] == ""
+    assert (at[1, 4]["n_passages"], at[1, 4]["n_linked"], at[1, 4]["depth"]) == (2, 2, 2) and at[1, 5]["n_linked"] == 0
+    assert at[2, 10]["n_linked"] == 0 and at[2, 3000]["parent"] == 10
+    order = [r["turn"] for r in got.where("conv_id = 1").orderBy("path", "turn").collect()]
+    for k, t in enumerate(order):
+        assert at[1, t]["parent"] is None or at[1, t]["parent"] in order[:k]
+    parts = quotes.conversations(got, 2).where("conv_id = 1").orderBy("path", "part").collect()
+    assert "".join(p["text"] for p in parts) == "".join(f"<|{at[1, t]['role']}|>\n{at[1, t]['content']}\n" for t in order)
+    assert quotes.link_quotes(df.limit(0)).count() == 0
+    query = by_name(quotes.op9_quotes(spark, str(tmp_path)))
+    assert query == in_sql(quotes.SQL, conversations=glob.glob(f"{path}/*.parquet")[0])
