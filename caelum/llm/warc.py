@@ -21,13 +21,13 @@ NAMED = {
     "uacute": 250, "uuml": 252, "szlig": 223, "Auml": 196, "Ouml": 214, "Uuml": 220, "Eacute": 201, "Ntilde": 209,
 }
 REFERENCE = "&[#A-Za-z0-9]{1,31};"
-HIDDEN = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+HIDDEN = r"(?is)<(?:!--.*?--|script\b[^>]*>.*?</script\s*|style\b[^>]*>.*?</style\s*)>"
 BLOCK = (
     r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|td|th|table|title|article|section|header|footer|nav|main|aside|form"
     r"|blockquote|pre|hr|dl|dt|dd)\b[^>]*>"
 )
 TAG = r"<[A-Za-z/!?][^>]*>"
-BLANKS = "[ \\t\\r\\f\\x0B\\x{A0}]+"
+BLANKS = "[ \\t\\r\\f\\x0B\\x{A0}]{2,}|[\\t\\r\\f\\x0B\\x{A0}]"  # a lone space stays as it is
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
 LANGUAGE = r'(?i)<html\b[^>]*\blang\s*=\s*"([^"]*)"'
 LINK = r'(?i)<a\b[^>]*\bhref\s*=\s*"([^"]*)"'
