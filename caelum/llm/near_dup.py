@@ -285,10 +285,11 @@ def one_of_each(docs: DataFrame, **parameters) -> DataFrame:
     named = rows.where(F.col("_doc").eqNullSafe(F.col("component")) & (F.col("n") > 0))
     first = named.groupBy("component").agg(F.min("rid").alias("rid")).select("rid")
     stay = named.join(first, "rid", "left_semi").select("_doc", "_th").union(rows.where("n = 0").select("_doc", "_th").distinct())
-    keyed = docs.select(*row_key(text=text), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    once = keyed.groupBy("_doc", "_th").agg(F.first("_row").alias("_row"))
-    stay = stay.select(F.col("_doc").alias("_d"), F.col("_th").alias("_t"))
-    return once.join(stay, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left_semi").select("_row.*")
+    # Grouping and join share keys without NULLs, so each text moves once; copies of a row meet before they move.
+    key = [F.coalesce("_doc", F.lit(0)).alias("_k"), F.col("_doc").isNull().alias("_n"), "_th"]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    once = docs.select(*row_key(text=text), row).select(*key, "_row").groupBy("_k", "_n", "_th").agg(F.first("_row").alias("_row"))
+    return once.join(stay.select(*key), ["_k", "_n", "_th"], "left_semi").select("_row.*")
 
 
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
