@@ -42,6 +42,7 @@ class Pieces:
         own = [i for i in range(size) if not special[i] and not model.is_byte(i)]
         self.ids = {model.id_to_piece(i): i for i in own}
         self.scores = {i: float(model.get_score(i)) for i in own}
+        self.single = frozenset(p for p in self.ids if len(p) == 1)
         self.unknown = min(s for s in self.scores.values() if s > -1e8) - 10
         self.longest = max(map(len, self.ids))
         self.raw = [b""] * size
@@ -50,11 +51,11 @@ class Pieces:
         for piece, i in self.ids.items():
             self.raw[i] = piece.replace(SPACE, " ").encode()
         self.pairs = np.zeros(1 << 22, bool)
-        for piece in self.ids:
-            points = np.array([*map(ord, piece)], np.uint64)
-            self.pairs[self.pair(points[:-1], points[1:])] = True
+        points = np.frombuffer("\0".join(self.ids).encode("utf-32-le"), np.uint32)
+        inside = (points[:-1] > 0) & (points[1:] > 0)
+        self.pairs[self.pair(points[:-1], points[1:])[inside]] = True
         prefixes = {piece[:n]: -1 for piece in self.ids for n in range(1, len(piece) + 1)} | self.ids
-        hashes = np.array([self.hash(p) for p in prefixes], np.uint64)
+        hashes = self.hashes_of([*prefixes])
         order = np.argsort(hashes)
         self.hashes, self.piece = hashes[order], np.array([*prefixes.values()])[order]
         self.by_id = np.full(size + 1, NONE)
@@ -66,11 +67,14 @@ class Pieces:
         return ((a.astype(np.uint64) << np.uint64(21) | b.astype(np.uint64)) * PRIME >> np.uint64(42)).astype(np.int64)
 
     @staticmethod
-    def hash(piece: str) -> int:
-        h = np.zeros(1, np.uint64)
-        for c in piece:
-            h = _step(h, np.array([ord(c)], np.uint64))
-        return int(h[0])
+    def hashes_of(parts: list[str]) -> np.ndarray:
+        h = np.zeros(len(parts), np.uint64)
+        lengths = np.array([*map(len, parts)])
+        rows = np.full((len(parts), lengths.max()), 0, np.uint32)
+        rows[np.arange(rows.shape[1]) < lengths[:, None]] = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)
+        for n in range(rows.shape[1]):
+            h = np.where(n < lengths, _step(h, rows[:, n]), h)
+        return h
 
     def units(self, text: str) -> list[str]:
         """The text, as the model sees it, in parts that no piece can join."""
@@ -172,10 +176,9 @@ class Segmenter:
     def learn(self, units: list[str]) -> None:
         if len(self.known) > self.most:
             self.clear()
-        ids_of = self.pieces.ids
         easy, hard = [], []
-        for u in dict.fromkeys(u for u in units if u not in self.known):
-            (easy if len(u) <= self.short and all(c in ids_of for c in u) else hard).append(u)
+        for u in {*units}.difference(self.known):
+            (easy if len(u) <= self.short and self.pieces.single.issuperset(u) else hard).append(u)
         easy.sort(key=len)
         score, gap, ids = [self.score], [self.gap], []
         for a in range(0, len(easy), 20_000):
