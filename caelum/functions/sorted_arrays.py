@@ -42,6 +42,28 @@ def midpoint(arr: str, i: str, n: str) -> str:
     return f"((get({arr}, cast({below} as int)) + get({arr}, cast({above} as int))) / 2)"
 
 
+def knot(arr: str, k: str, n: str) -> str:
+    """Knot ``k`` (0-based) of ``knots``, without the others."""
+    return midpoint(arr, f"({k} + 1)", n)
+
+
+def _search_knots(arr: str, n: str, x: str, op: str) -> str:
+    """Like ``_search`` over ``knots(arr, n)``, of which only those looked at are computed."""
+    tag = next(_names)
+    at, bit = f"at{tag}", f"bit{tag}"
+    jump = f"({at} + shiftleft(1, {bit}))"
+    bits = f"sequence(cast(floor(log2({n})) as int), 0, -1)"
+    return f"aggregate({bits}, -1, ({at}, {bit}) -> if({jump} < {n} and {knot(arr, jump, n)} {op} {x}, {jump}, {at}))"
+
+
+def last_knot_at_most(arr: str, n: str, x: str) -> str:
+    return _search_knots(arr, n, x, "<=")
+
+
+def last_knot_below(arr: str, n: str, x: str) -> str:
+    return _search_knots(arr, n, x, "<")
+
+
 def knots(arr: str, n: str) -> str:
     """The n quantiles at 1/(n+1) ... n/(n+1)."""
     i = f"i{next(_names)}"

@@ -9,16 +9,16 @@ from caelum.operators.quantiles import group_quantiles
 
 
 def ensemble_statistics(
-    df: DataFrame, keys: list[str], hot_rows: int | None = None
+    df: DataFrame, keys: list[str], bounded: bool = True
 ) -> DataFrame:
     """Mean, median, population standard deviation, midpoint IQR and spread.
 
-    A group holds the members of one forecast, at most the ensemble size; pass ``hot_rows`` for
+    A group holds the members of one forecast, at most the ensemble size; say ``bounded=False`` of
     groups that pool more than that.
     """
     # the midpoint median equals the linear one, so one sorted list serves all three
     wanted = {k: (p, "midpoint") for k, p in (("median", 0.5), ("q25", 0.25), ("q75", 0.75))}
-    df = group_quantiles(df, keys, "value", wanted, hot_rows, also=simple_statistics())
+    df = group_quantiles(df, keys, "value", wanted, bounded, also=simple_statistics())
     return df.select(
         *keys, "mean", "median", "std", (F.col("q75") - F.col("q25")).alias("iqr"), "spread"
     )

@@ -4,7 +4,9 @@ A group is whatever ``keys`` say: a cell, or a cell and a lead day. Each has a f
 reference sample and a hindcast sample. Two routes give the same rows:
 
 * ``map_arrays``: one row per group with sorted samples, looked up in O(log n) per member;
-* ``map_rows``: value slices (``operators.quantiles``) for groups too large for one row.
+* ``map_rows``: value slices (``operators.quantiles``) for groups of any size.
+
+Which one is for the caller to say, who knows whether the key bounds the group.
 
 Both end in ``mapped_columns``, which ``operators.tails.finish`` turns into corrected values.
 """
@@ -18,6 +20,7 @@ from caelum.config import CorrectionParams
 from caelum.functions import sorted_arrays as sa
 from caelum.operators.gumbel import fit_left_gumbel, fit_left_gumbel_arrays
 from caelum.operators.quantiles import SLICE_ROWS, bracket, distinct_knots, positions, weight
+from caelum.operators.skew import join_facts
 from caelum.session import cut
 
 GROUP_FACTS = [
@@ -142,6 +145,7 @@ def map_arrays(
     g = g.select(
         *keys,
         "obs",
+        "mdl",
         "members",
         *[c for c in GROUP_FACTS if c in facts],
         F.expr(
@@ -151,25 +155,29 @@ def map_arrays(
         F.expr(exact.format("obs", sa.midpoint("obs", "1", "n_obs"))).alias("obs_low"),
         F.expr(exact.format("mdl", sa.midpoint("mdl", "n_obs", "n_obs"))).alias("mdl_up"),
         F.expr(exact.format("mdl", sa.midpoint("mdl", "1", "n_obs"))).alias("mdl_low"),
-        F.expr(f"if(usable and varied, {sa.knots('mdl', str(nq))}, null)").alias("q_mdl"),
-        F.expr(f"if(usable and varied, {sa.knots('obs', 'n_obs')}, null)").alias("q_obs"),
     )
 
     if gumbel:
         g = fit_left_gumbel_arrays(g)
 
+    # Knots are quantiles of a sorted sample by position: a search computes the few it looks at.
+    mdl_knot = lambda k: sa.knot("mdl", k, str(nq))
     steps = _Members([*ids, "value", "draw"])
     steps.add(
-        clamped=f"if(r.value is null, null, least(greatest(r.value, get(q_mdl, 0)), get(q_mdl, {nq - 1})))"
+        clamped=f"if(r.value is null or not (usable and varied), null, least(greatest(r.value, {mdl_knot('0')}), {mdl_knot(str(nq - 1))}))"
     )
-    steps.add(at=f"if(r.clamped is null, null, {sa.last_at_most('q_mdl', 'r.clamped')})")
-    steps.add(first=f"if(r.at is null, null, {sa.last_below('q_mdl', 'get(q_mdl, r.at)')} + 1)")
+    steps.add(at=f"if(r.clamped is null, null, {sa.last_knot_at_most('mdl', str(nq), 'r.clamped')})")
+    steps.add(
+        knot=f"if(r.at is null, null, {mdl_knot('r.at')})",
+        above=f"if(r.at is null or r.at + 1 >= {nq}, null, {mdl_knot('(r.at + 1)')})",
+    )
+    steps.add(first=f"if(r.at is null, null, {sa.last_knot_below('mdl', str(nq), 'r.knot')} + 1)")
     p_first = f"((r.first + 1) / {nq + 1}.0D)"
     p_next = f"((r.at + 2) / {nq + 1}.0D)"
     steps.add(
         rank=(
-            f"if(r.clamped = get(q_mdl, r.at), {p_first}, {p_first} + (r.clamped - get(q_mdl, r.at))"
-            f" * ({p_next} - {p_first}) / (get(q_mdl, r.at + 1) - get(q_mdl, r.at)))"
+            f"if(r.clamped = r.knot, {p_first}, {p_first} + (r.clamped - r.knot)"
+            f" * ({p_next} - {p_first}) / (r.above - r.knot))"
         ),
         draw_rank="dry_mdl * r.draw",
     )
@@ -217,12 +225,14 @@ def _add_value_at(steps: _Members, rank: str, out: str, fill_tied_max: bool) ->
         }
     )
     k = f"r.{out}_k"
-    v = f"get(q_obs, {k})"
-    some = f"{k} is null or {k} < 0 or q_obs is null"
+    n = "cast(n_obs as int)"
+    none = f"{k} is null or {k} < 0 or not (usable and varied)"
+    steps.add(**{f"{out}_v": f"if({none}, null, {sa.knot('obs', k, 'n_obs')})"})
+    v = f"r.{out}_v"
     steps.add(
         **{
-            f"{out}_f": f"if({some}, null, {sa.last_below('q_obs', v)} + 1)",
-            f"{out}_n": f"if({some}, null, {sa.last_at_most('q_obs', v)} + 1)",
+            f"{out}_f": f"if({v} is null, null, {sa.last_knot_below('obs', n, v)} + 1)",
+            f"{out}_n": f"if({v} is null, null, {sa.last_knot_at_most('obs', n, v)} + 1)",
         }
     )
     p_first = f"((r.{out}_f + 1) / cast(n_obs + 1 as double))"
@@ -232,8 +242,8 @@ def _add_value_at(steps: _Members, rank: str, out: str, fill_tied_max: bool) ->
         **{
             out: (
                 f"case when r.{out}_f is null then null when r.{rank} = {p_first} then {v} "
-                f"when r.{out}_n >= size(q_obs) then if({beyond}, {v}, null) "
-                f"else {v} + (r.{rank} - {p_first}) * (get(q_obs, r.{out}_n) - {v}) / ({p_next} - {p_first}) end"
+                f"when r.{out}_n >= n_obs then if({beyond}, {v}, null) "
+                f"else {v} + (r.{rank} - {p_first}) * ({sa.knot('obs', f'r.{out}_n', 'n_obs')} - {v}) / ({p_next} - {p_first}) end"
             )
         }
     )
@@ -276,25 +286,21 @@ def map_rows(
 
     def profile(pos: DataFrame, counts: DataFrame, tag: str) -> DataFrame:
         copies = F.col("stop") - F.col("start")
-        above = F.col("x") - F.col("lo")
-        at = pos.join(counts, keys, "left").groupBy(*keys)
-        df = at.agg(
+        df = join_facts(pos, counts, keys).groupBy(*keys).agg(
             F.max("m").alias(f"m_{tag}"),
             F.max("d").alias(f"d_{tag}"),
             F.min("x").alias(f"{tag}_min"),
             F.max("x").alias(f"{tag}_max"),
-            (F.sum(above * copies) / F.max("m")).alias("shift"),
-            (F.sum(above * above * copies) / F.max("m")).alias("square"),
+            (F.sum(F.col("x") * copies) / F.max("m")).alias(f"{tag}_mean"),
             F.sum(F.when(F.col("x") < dry, copies).otherwise(0)).alias(f"{tag}_dry"),
             _at_position("n_obs", "n_obs").alias(f"{tag}_up"),
             _at_position("1", "n_obs").alias(f"{tag}_low"),
         )
-        spread = F.greatest(F.col("square") - F.col("shift") * F.col("shift"), F.lit(0.0))
-        return (
-            df.withColumn(f"{tag}_mean", F.col(f"{tag}_min") + F.col("shift"))
-            .withColumn(f"{tag}_sd", F.sqrt(spread))
-            .drop("shift", "square")
-        )
+        # the deviation about the mean, in a second pass over the written positions
+        away = F.col("x") - F.col("mean")
+        about = join_facts(pos, df.select(*keys, F.col(f"{tag}_mean").alias("mean")), keys, "inner")
+        squares = about.groupBy(*keys).agg(F.sqrt(F.sum(away * away * copies) / F.max("m")).alias(f"{tag}_sd"))
+        return df.join(squares, keys, "left")
 
     po = cut(positions(obs, keys, "value", slice_rows), "obs-positions")
     pm = cut(positions(mdl, keys, "value", slice_rows), "mdl-positions")
@@ -329,15 +335,13 @@ def map_rows(
     facts = cut(facts, "group-facts")
     ready = facts.where("usable and varied").select(*keys, "n_obs", "dry_mdl")
     k_mdl = distinct_knots(pm, keys, F.lit(nq))
-    k_obs = distinct_knots(po.join(ready.select(*keys, "n_obs"), keys), keys, F.col("n_obs"))
+    k_obs = distinct_knots(join_facts(po, ready.select(*keys, "n_obs"), keys, "inner"), keys, F.col("n_obs"))
 
     # each distinct forecast value is looked up once
     limits = k_mdl.groupBy(*keys).agg(F.min("q").alias("q_min"), F.max("q").alias("q_max"))
+    distinct = pred.where(F.col("value").isNotNull()).select(*keys, "value").distinct()
     values = (
-        pred.where(F.col("value").isNotNull())
-        .select(*keys, "value")
-        .distinct()
-        .join(limits.join(ready, keys, "left_semi"), keys)
+        join_facts(distinct, limits.join(ready, keys, "left_semi"), keys, "inner")
         .withColumn("clamped", F.least(F.greatest("value", "q_min"), "q_max"))
         .select(*keys, "value", "clamped")
     )
@@ -388,10 +392,9 @@ def map_rows(
     back = value_at(ranks, params.fill_tied_max).select(
         *keys, F.col("p").alias("rank"), F.col("v").alias("mapped")
     )
-    looked_up = values.join(forward.join(back, [*keys, "rank"], "left"), [*keys, "clamped"])
+    looked_up = join_facts(values, forward.join(back, [*keys, "rank"], "left"), [*keys, "clamped"], "inner")
     rows = (
-        pred.join(looked_up, [*keys, "value"], "left")
-        .join(facts, keys, "left")
+        join_facts(join_facts(pred, looked_up, [*keys, "value"]), facts, keys)
         .withColumn("usable", F.coalesce("usable", F.lit(False)))
         .withColumn("varied", F.coalesce("varied", F.lit(False)))
         .withColumn("draw_rank", F.col("dry_mdl") * F.col("draw"))
@@ -410,6 +413,6 @@ def map_rows(
         drawn = value_at(rows.select(*keys, F.col("at_draw").alias("p")), False).select(
             *keys, F.col("p").alias("at_draw"), F.col("v").alias("draw_mapped")
         )
-        rows = rows.join(drawn, [*keys, "at_draw"], "left")
+        rows = join_facts(rows, drawn, [*keys, "at_draw"])
     rows = rows.select(*mapped_columns(keys, ids))
-    return rows.join(fit_left_gumbel(obs, keys), keys, "left") if gumbel else rows
+    return join_facts(rows, fit_left_gumbel(obs, keys), keys) if gumbel else rows

@@ -45,15 +45,15 @@ def forecast_climatology(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def monthly_thresholds(
-    df: DataFrame, keys: list[str], date: str = "month_start", hot_rows: int | None = None
+    df: DataFrame, keys: list[str], date: str = "month_start", bounded: bool = True
 ) -> DataFrame:
     """Threshold quantiles per calendar month over everything pooled: years, and members if any.
 
-    ``df`` holds monthly means. Columns are named q20, q40, ... q90. ``hot_rows`` as in
-    ``group_quantiles``.
+    ``df`` holds monthly means. Columns are named q20, q40, ... q90. ``bounded`` as in
+    ``group_quantiles``: cell and month bound a group unless the caller says otherwise.
     """
     wanted = {
         f"q{round(p * 100)}": (p, "linear") for probs in THRESHOLDS.values() for p in probs
     }
     by_month = df.withColumn("month", F.month(date))
-    return group_quantiles(by_month, [*keys, "month"], "value", wanted, hot_rows)
+    return group_quantiles(by_month, [*keys, "month"], "value", wanted, bounded)

@@ -1,10 +1,11 @@
 """Exact quantiles and interpolation for groups of any size.
 
 Groups that fit a task use sorted arrays (``functions.sorted_arrays``) or ``percentile``. The
-functions here hold for a group that does not: copies are counted before the shuffle, and a
-large group is cut into value slices that sort independently; a short per-slice summary carries
-positions and neighbours across the cuts. The slice limits depend on counts, minimum and maximum
-only, so a recomputed task cuts at the same places.
+functions here hold for a group of any size: copies are counted before the shuffle, and every
+group is cut into value slices that sort independently; a short per-slice summary carries
+positions and neighbours across the cuts. The cuts are values of the group itself, picked by a hash of
+the value, so they follow its distribution, one far outlier moves none of them, and a recomputed task
+cuts at the same places.
 """
 
 from __future__ import annotations
@@ -12,26 +13,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caelum.operators.skew import split_by_size
+from caelum.functions.sorted_arrays import last_at_most
+from caelum.operators.skew import join_facts
 
-SLICE_ROWS = 500_000
+SLICE_ROWS = 2_000_000
+DRAWN = 32
 LONG = "decimal(18,0)"  # positions times knot counts pass 64 bits for very large groups
 
 
-def _slice(x: Column, lo: Column, hi: Column, slices: Column) -> Column:
-    """Slice of ``x``: equal steps of log(1 + distance from the minimum)."""
-    inside = F.least(F.greatest(x, lo), hi)
-    share = F.log1p(inside - lo) / F.log1p(hi - lo)
-    return F.when((slices <= 1) | (hi <= lo), F.lit(0)).otherwise(
-        F.least(F.floor(share * slices).cast("int"), slices - 1)
-    )
-
+def sliced(df: DataFrame, keys: list[str], x: str, rows: Column, slice_rows: int) -> DataFrame:
+    """``df``, which has few rows of equal keys and ``x``, with ``slice``: 0, 1, ... by rising ``x``.
 
-def _n_slices(rows: Column, slice_rows: int) -> Column:
-    # four times as many as strictly needed, since slices are uneven
-    return F.when(rows <= slice_rows, F.lit(1)).otherwise(
-        F.ceil(rows * 4 / F.lit(slice_rows)).cast("int")
-    )
+    A group gets about one slice for ``slice_rows`` rows and eight more, by the same rule whether it holds a hundred rows
+    or 1e12: of values drawn by their hash, ``DRAWN`` for each slice, every ``DRAWN``-th in order begins one, so
+    slices are about even. ``rows`` is a column, the number of rows of the group.
+    """
+    share = F.least(F.lit(1.0), DRAWN * (1.0 / slice_rows + 8.0 / rows))
+    drawn = F.shiftrightunsigned(F.xxhash64(*keys, x), 12) < share * float(1 << 52)
+    cuts = df.where(drawn).groupBy(*keys).agg(F.sort_array(F.collect_set(x)).alias("_cuts"))
+    cuts = cuts.withColumn("_cuts", F.filter("_cuts", lambda _, k: k % DRAWN == DRAWN - 1))
+    return join_facts(df, cuts, keys).withColumn("slice", F.coalesce(F.expr(last_at_most("_cuts", x)), F.lit(-1))).drop("_cuts")
 
 
 def weight(df: DataFrame) -> Column:
@@ -57,16 +58,12 @@ def positions(
         F.count("*").alias("d"),
         F.sum("copies").alias("m"),
         F.min("x").alias("lo"),
-        F.max("x").alias("hi"),
-    )
-    sliced = seen.join(extent, keys).withColumn(
-        "slice",
-        _slice(F.col("x"), F.col("lo"), F.col("hi"), _n_slices(F.col("d"), slice_rows)),
     )
+    parts = sliced(join_facts(seen, extent, keys, "inner"), keys, "x", F.col("d"), slice_rows)
     by_slice = Window.partitionBy(*keys).orderBy("slice")
     before = by_slice.rowsBetween(Window.unboundedPreceding, -1)
     summary = (
-        sliced.groupBy(*keys, "slice")
+        parts.groupBy(*keys, "slice")
         .agg(F.sum("copies").alias("in_slice"), F.min("x").alias("first_x"))
         .select(
             *keys,
@@ -78,7 +75,7 @@ def positions(
     in_order = Window.partitionBy(*keys, "slice").orderBy("x")
     upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        sliced.withColumn("upto", F.sum("copies").over(upto))
+        parts.withColumn("upto", F.sum("copies").over(upto))
         .withColumn("next_here", F.lead("x").over(in_order))
         .join(summary, [*keys, "slice"])
         .select(
@@ -149,12 +146,8 @@ def bracket(
     both = knots.select(*keys, at, knot.alias("knot")).unionByName(
         points.select(*keys, at), allowMissingColumns=True
     )
-    extent = both.groupBy(*keys).agg(
-        F.count("*").alias("rows"), F.min(at).alias("lo"), F.max(at).alias("hi")
-    )
-    both = both.join(extent, keys).withColumn(
-        "slice", _slice(F.col(at), F.col("lo"), F.col("hi"), _n_slices(F.col("rows"), slice_rows))
-    )
+    extent = both.groupBy(*keys).agg(F.count("*").alias("rows"))
+    both = sliced(join_facts(both, extent, keys, "inner"), keys, at, F.col("rows"), slice_rows)
     by_slice = Window.partitionBy(*keys).orderBy("slice")
     carry = (
         both.groupBy(*keys, "slice")
@@ -211,24 +204,20 @@ def group_quantiles(
     keys: list[str],
     value: str,
     wanted: dict[str, tuple[float, str]],
-    hot_rows: int | None = None,
+    bounded: bool = False,
     slice_rows: int = SLICE_ROWS,
     also: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Exact quantiles per group; ``wanted`` maps a column name to (probability, method).
 
     ``linear`` interpolates between order statistics, ``midpoint`` takes their mean. Missing
-    values are skipped. ``also`` holds further aggregates for the same pass. Groups above
-    ``hot_rows`` rows go through value slices; None states that the input's key bounds every
-    group.
+    values are skipped. ``also`` holds further aggregates for the same pass. ``bounded`` states that the
+    input's key bounds every group, which is then sorted as one array; else all groups go through value slices.
     """
     also = also or {}
     others = [agg.alias(name) for name, agg in also.items()]
-    cold, hot = df, None
-    if hot_rows is not None:
-        (cold,), large = split_by_size([df], keys, hot_rows)
-        hot = large[0] if large else None
-
+    if not bounded:
+        return _sliced_quantiles(df, keys, value, wanted, slice_rows, also)
     linear = {k: p for k, (p, method) in wanted.items() if method == "linear"}
     middle = {k: p for k, (p, method) in wanted.items() if method == "midpoint"}
     aggs = list(others)
@@ -239,11 +228,12 @@ def group_quantiles(
     columns = {k: F.get("_linear", F.lit(n)) for n, k in enumerate(linear)}
     columns.update({k: from_sorted("_sorted", p, "midpoint") for k, p in middle.items()})
     picked = [*also, *[columns[k].alias(k) for k in wanted]]
-    out = cold.groupBy(*keys).agg(*aggs).select(*keys, *picked)
-    if hot is None:
-        return out
+    return df.groupBy(*keys).agg(*aggs).select(*keys, *picked)
 
-    pos = positions(hot, keys, value, slice_rows)
+
+def _sliced_quantiles(df: DataFrame, keys: list[str], value: str, wanted: dict, slice_rows: int, also: dict[str, Column]) -> DataFrame:
+    others = [agg.alias(name) for name, agg in also.items()]
+    pos = positions(df, keys, value, slice_rows)
     sums = []
     for k, (p, method) in wanted.items():
         parts = [
@@ -251,5 +241,5 @@ def group_quantiles(
             for at, w in _weights(method, p, F.col("m"))
         ]
         sums.append(F.sum(parts[0] + parts[1]).alias(k))
-    groups = hot.groupBy(*keys).agg(*others) if others else hot.select(*keys).distinct()
-    return out.unionByName(groups.join(pos.groupBy(*keys).agg(*sums), keys, "left"))
+    groups = df.groupBy(*keys).agg(*others) if others else df.select(*keys).distinct()
+    return groups.join(pos.groupBy(*keys).agg(*sums), keys, "left").select(*keys, *also, *wanted)

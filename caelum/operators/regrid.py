@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -51,33 +51,11 @@ def regrid_bilinear(
 ) -> DataFrame:
     """Interpolate ``source`` (lat_idx, lon_idx, extra, value) to ``target`` (…, lat, lon).
 
-    The four corners of each source box are put side by side at source resolution; the target
-    cells of a box then only read that row. So nothing at target resolution is shuffled by time
-    or member. A target is NULL if a corner it needs is missing,
-    and absent if its box has no corner at all for that time and member.
+    Every field of ``extra`` gets every target cell; a cell is NULL if a corner it needs is missing, so
+    also wherever it lies outside the source. A field's values are hashed by ``extra`` once, each a single time. The cells that
+    targets need but the field lacks are added without a value, so that neighbours are next rows of two windows
+    over the same hash. Target cells of a box then only read that box: nothing at target resolution is shuffled.
     """
-    corners = source.select(
-        *extra,
-        "value",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        (F.col("lat_idx") - a).alias("box_lat"),
-                        (F.col("lon_idx") - b).alias("box_lon"),
-                        F.lit(2 * a + b).alias("corner"),
-                    )
-                    for a in (0, 1)
-                    for b in (0, 1)
-                ]
-            )
-        ).alias("at"),
-    ).select(*extra, "value", "at.*")
-    boxes = corners.groupBy("box_lat", "box_lon", *extra).agg(
-        *[
-            F.max(F.when(F.col("corner") == c, F.col("value"))).alias(f"v{c}") for c in range(4)
-        ]
-    )
     row, dy = _place(F.col("lat"), axes.lat0, axes.dlat)
     col, dx = _place(F.col("lon"), axes.lon0, axes.dlon)
     placed = target.select(
@@ -90,6 +68,33 @@ def regrid_bilinear(
         dy.alias("dy"),
         dx.alias("dx"),
     )
+
+    def span(box: str) -> Column:
+        """The boxes of an axis that hold targets, and the one beyond for its far corners."""
+        least, most = (placed.select(f(box)).scalar() for f in (F.min, F.max))
+        return F.explode(F.sequence(least, most + 1))
+
+    needed = (
+        source.select(*extra)
+        .distinct()
+        .withColumn("lat_idx", span("box_lat"))
+        .withColumn("lon_idx", span("box_lon"))
+    )
+    cells = (
+        source.select(*extra, "lat_idx", "lon_idx", "value")
+        .unionByName(needed, allowMissingColumns=True)
+        .repartition(*extra)
+        .groupBy(*extra, "lat_idx", "lon_idx")
+        .agg(F.max("value").alias("v0"))
+    )
+    east = Window.partitionBy(*extra, "lat_idx").orderBy("lon_idx").rangeBetween(1, 1)
+    north = Window.partitionBy(*extra, "lon_idx").orderBy("lat_idx").rangeBetween(1, 1)
+    boxes = (
+        cells.withColumn("v1", F.max("v0").over(east))
+        .withColumn("v2", F.max("v0").over(north))
+        .withColumn("v3", F.max("v1").over(north))
+        .withColumnsRenamed({"lat_idx": "box_lat", "lon_idx": "box_lon"})
+    )
     weights = [
         (1 - F.col("dy")) * (1 - F.col("dx")),
         (1 - F.col("dy")) * F.col("dx"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,11 +43,15 @@ def deaccumulate(df: DataFrame, series: list[str], order: str = "lead", value: s
     ``series`` must identify one forecast series (cell, issue, member), whose length is the
     number of lead days.
     """
+    return df.withColumn(value, step_of_total(series, order, value))
+
+
+def step_of_total(series: list[str], order: str = "lead", value: str = "value") -> Column:
+    """Step of a running total; NULL where the step before is absent, since its total is not known."""
     w = Window.partitionBy(*series).orderBy(order)
-    first = F.row_number().over(w) == 1
-    return df.withColumn(
-        value, F.when(first, F.col(value)).otherwise(F.col(value) - F.lag(value).over(w))
-    )
+    before = F.lag(value).over(w)
+    follows = F.lag(order).over(w) == F.col(order) - 1
+    return F.when(F.row_number().over(w) == 1, F.col(value)).when(follows, F.col(value) - before)
 
 
 def flatten_hindcast(df: DataFrame) -> DataFrame:
@@ -66,12 +72,12 @@ def columns_to_variables(df: DataFrame, keys: list[str], names: list[str]) -> Da
 
 
 def join_variables(frames: dict[str, DataFrame], keys: list[str]) -> DataFrame:
-    """Outer join of one table per variable on the coordinates."""
-    out = None
-    for name, df in frames.items():
-        df = df.select(*keys, F.col("value").alias(name))
-        out = df if out is None else out.join(df, keys, "full")
-    return out
+    """Outer join of one table per variable on the coordinates, by one grouping of their union.
+
+    ``keys`` identify a row of each table.
+    """
+    parts = [df.select(*keys, F.lit(name).alias("variable"), "value") for name, df in frames.items()]
+    return variables_to_columns(reduce(DataFrame.unionByName, parts), keys, list(frames))
 
 
 def select_variables(df: DataFrame, wanted: list[str]) -> DataFrame:

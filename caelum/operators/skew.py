@@ -1,39 +1,19 @@
-"""Separating groups too large for one task from the rest."""
+"""Joining group facts to rows whose groups may be of any size."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caelum.session import cut
-
-HOT_ROWS = 4_000_000
-
-
-def oversized(frames: list[DataFrame], keys: list[str], limit: int) -> DataFrame:
-    """Keys holding more than ``limit`` rows in any frame (counted with map-side combine).
-
-    At most rows / limit keys come back, whatever the data.
-    """
-    counts = [f.groupBy(*keys).count().where(F.col("count") > limit).select(*keys) for f in frames]
-    return reduce(DataFrame.unionByName, counts).distinct()
+SALTS = 16
 
 
-def split_by_size(
-    frames: list[DataFrame], keys: list[str], limit: int
-) -> tuple[list[DataFrame], list[DataFrame] | None]:
-    """(regular, oversized) part of each frame; together they hold every row once.
+def join_facts(rows: DataFrame, facts: DataFrame, on: list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
+    """``rows`` with the columns of ``facts``, of which each key of ``on`` has one row.
 
-    The counts are looked at first. Where no group is oversized, which is the rule for gridded
-    data, the frames come back as they are with None.
+    A key's rows are dealt to ``salts`` tasks by a hash of the whole row, the one row of facts goes to each of them: no task
+    gets all rows of a large group or of a NULL key, whatever adaptive execution makes of the join.
     """
-    hot = oversized(frames, keys, limit)
-    if hot.isEmpty():
-        return frames, None
-    hot = cut(hot, "oversized")
-    return (
-        [f.join(hot, keys, "left_anti") for f in frames],
-        [f.join(hot, keys, "left_semi") for f in frames],
-    )
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)).cast("int")
+    dealt = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_salt", salt).join(dealt, [*on, "_salt"], how).drop("_salt")

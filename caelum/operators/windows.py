@@ -18,16 +18,20 @@ def target_day(first_year: int, issue_month: Column, lead: Column) -> Column:
     return F.dayofyear(F.date_add(F.make_date(F.lit(first_year), issue_month, F.lit(1)), lead.cast("int")))
 
 
-def _on_ring(df: DataFrame, cell: list[str], width: int, ring: int | None) -> DataFrame:
-    """Dated values as (cell, ring length, axis position ``at``), repeated past both ends."""
+def _on_ring(df: DataFrame, cell: list[str], width: int, ring: int | None, by_year: bool = False) -> DataFrame:
+    """Dated values as (cell, ring length, axis position ``at``), repeated past both ends.
+
+    ``by_year`` keeps each value with its year, missing ones too.
+    """
     length = F.lit(ring) if ring else year_length(F.col("valid_date"))
     day = F.dayofyear("valid_date")
-    dated = df.select(*cell, length.cast("int").alias("len"), day.alias("day"), "value").where(
+    held = F.struct(F.year("valid_date").alias("year"), "value") if by_year else F.col("value")
+    dated = df.select(*cell, length.cast("int").alias("len"), day.alias("day"), held.alias("held"), "value").where(
         F.col("day") <= F.col("len")
     )
     per_day = dated.groupBy(*cell, "len", "day").agg(
-        F.sort_array(F.collect_list("value")).alias("vals"),
-        (F.count("*") - F.count("value")).alias("gone"),
+        F.sort_array(F.collect_list("held")).alias("vals"),
+        (F.lit(0) if by_year else F.count("*") - F.count("value")).cast("bigint").alias("gone"),
     )
     places = F.filter(
         F.array("day", F.col("day") - F.col("len"), F.col("day") + F.col("len")),
@@ -45,12 +49,14 @@ def calendar_pool(
     name: str = "obs",
     ring: int | None = None,
     shift: int = 0,
+    by_year: bool = False,
 ) -> DataFrame:
     """Values of all years whose day of year is within ``window`` days of each target's ``day``.
 
     ``targets`` has ``cell``, ``ids`` and ``day``. Days wrap at 365 or 366, whichever length the
     value's own year has, or always at ``ring`` with the centre moved by ``shift``. Result:
-    cell, ids, sorted array ``name`` and ``{name}_missing``.
+    cell, ids, sorted array ``name`` and ``{name}_missing``; with ``by_year`` an array of (year, value) that
+    holds the missing ones too.
     """
     if not 0 < 2 * window + 1 <= 365:
         raise ValueError("the calendar window must be shorter than a year")
@@ -64,7 +70,7 @@ def calendar_pool(
         F.lit(True).alias("target"),
     )
     framed = (
-        _on_ring(dated, cell, window, ring)
+        _on_ring(dated, cell, window, ring, by_year)
         .unionByName(spine, allowMissingColumns=True)
         .withColumn("pool", F.flatten(F.collect_list("vals").over(cell_len)))
         .withColumn("pool_gone", F.sum("gone").over(cell_len))
@@ -107,17 +113,27 @@ def hindcast_pool(mdl: DataFrame, targets: DataFrame, cell: list[str], window: i
     return pooled.join(targets.select(*cell, "lead").distinct(), [*cell, "lead"], "left_semi")
 
 
-# ---------------------------------------------------------------- copies per target, for large cells
+def other_years(pool: str, year: str) -> Column:
+    """Sorted values of a (year, value) array without those of ``year``: cross-validation."""
+    kept = f"filter({pool}, x -> x.year <> {year} and x.value is not null)"
+    return F.expr(f"array_sort(transform({kept}, x -> x.value))")
+
+
+def other_years_missing(pool: str, year: str) -> Column:
+    return F.expr(f"size(filter({pool}, x -> x.year <> {year} and x.value is null))").cast("bigint")
+
 
+# ---------------------------------------------------------------- copies per target, for cells of any size
 
-def ring_days(targets: DataFrame, ids: list[str], window: int) -> DataFrame:
-    """(ids, ring length, day) of every day in a target's window: a few thousand rows."""
-    moved = targets.select(*ids, "day").distinct()
+
+def ring_days(targets: DataFrame, keys: list[str], window: int) -> DataFrame:
+    """(keys, ring length, day) of every day in a target's window: 62 rows a target."""
+    moved = targets.select(*keys, "day").distinct()
     return (
         moved.withColumn("len", F.explode(F.array(F.lit(365), F.lit(366))))
         .withColumn("step", F.explode(F.sequence(F.lit(-window), F.lit(window))))
         .select(
-            *ids,
+            *keys,
             "len",
             (F.pmod(F.col("day") + F.col("step") - 1, F.col("len")) + 1).cast("int").alias("doy"),
         )
@@ -127,7 +143,7 @@ def ring_days(targets: DataFrame, ids: list[str], window: int) -> DataFrame:
 def calendar_rows(
     obs: DataFrame, targets: DataFrame, cell: list[str], ids: list[str], window: int
 ) -> DataFrame:
-    """Like ``calendar_pool`` but one row per distinct value and target, with its ``copies``.
+    """Like ``calendar_pool`` but one row per distinct value and target of its cell, with its ``copies``.
 
     Values are counted per day first, so copies do not multiply with the window.
     """
@@ -141,22 +157,14 @@ def calendar_rows(
         .groupBy(*cell, "len", "doy", "value")
         .agg(F.count("*").alias("copies"))
     )
-    return dated.join(ring_days(targets, ids, window), ["len", "doy"]).select(
+    return dated.join(ring_days(targets, [*cell, *ids], window), [*cell, "len", "doy"]).select(
         *cell, *ids, "value", "copies"
     )
 
 
-def lead_rows(mdl: DataFrame, cell: list[str], window: int) -> DataFrame:
-    """Like ``lead_pool`` but one row per distinct value and lead it serves, with ``copies``."""
+def lead_rows(mdl: DataFrame, targets: DataFrame, cell: list[str], window: int) -> DataFrame:
+    """Like ``lead_pool`` but one row per distinct value and target lead it serves, with ``copies``."""
     counted = mdl.groupBy(*cell, "lead", "value").agg(F.count("*").alias("copies"))
     reach = F.sequence(F.col("lead") - window, F.col("lead") + window)
-    return counted.select(*cell, F.explode(reach).alias("lead"), "value", "copies")
-
-
-def without_years(df: DataFrame, year: Column, years: DataFrame) -> DataFrame:
-    """Cross-validation: drop the rows of the predicted ``years`` (one column ``year``)."""
-    return (
-        df.withColumn("year", year)
-        .join(years.select("year").distinct(), "year", "left_anti")
-        .drop("year")
-    )
+    spread = counted.select(*cell, F.explode(reach).alias("lead"), "value", "copies")
+    return spread.join(targets.select(*cell, "lead").distinct(), [*cell, "lead"], "left_semi")

@@ -8,28 +8,18 @@ from pyspark.sql import functions as F
 from caelum.config import CorrectionParams
 from caelum.operators.mapping import group_samples, map_arrays, map_rows, with_draw
 from caelum.operators.quantiles import SLICE_ROWS
-from caelum.operators.skew import HOT_ROWS, split_by_size
 from caelum.operators.tails import finish, needs_gumbel
 from caelum.operators.windows import (
     calendar_pool,
     calendar_rows,
     lead_pool,
     lead_rows,
+    other_years,
+    other_years_missing,
     target_day,
-    without_years,
 )
 
 
-def _spread(frames: list[DataFrame], keys: list[str]) -> list[DataFrame]:
-    """Hash every frame by ``keys`` into the configured number of partitions.
-
-    The number is stated because little data here means much work: adaptive coalescing by size
-    would leave too few tasks. Groupings and joins on these keys then need no further shuffle.
-    """
-    tasks = int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return [f.repartition(tasks, *keys) for f in frames]
-
-
 def map_groups(
     pred: DataFrame,
     obs: DataFrame,
@@ -37,24 +27,20 @@ def map_groups(
     keys: list[str],
     ids: list[str],
     params: CorrectionParams,
-    hot_rows: int | None = HOT_ROWS,
+    bounded: bool = False,
     slice_rows: int = SLICE_ROWS,
     gumbel: bool = False,
 ) -> DataFrame:
     """Quantile-map ``pred`` (keys, ids, value) group by group; all values of a group pooled.
 
-    Groups with more than ``hot_rows`` rows in any input are cut into value slices. None states
-    that the inputs' keys bound every group.
+    ``bounded`` states that the inputs' keys bound every group, which then is one row; else all groups are cut into
+    value slices.
     """
     pred = with_draw(pred, [*keys, *ids])
-    cold, hot = [pred, obs, mdl], None
-    if hot_rows is not None:
-        cold, hot = split_by_size(cold, keys, hot_rows)
-    groups = group_samples(*_spread(cold, keys), keys, ids)
-    mapped = map_arrays(groups, keys, ids, params, gumbel)
-    if hot is not None:
-        mapped = mapped.unionByName(map_rows(*hot, keys, ids, params, slice_rows, gumbel))
-    return mapped
+    if not bounded:
+        return map_rows(pred, obs, mdl, keys, ids, params, slice_rows, gumbel)
+    frames = [f.repartition(*keys) for f in (pred, obs, mdl)]
+    return map_arrays(group_samples(*frames, keys, ids), keys, ids, params, gumbel)
 
 
 def correct_groups(
@@ -65,12 +51,12 @@ def correct_groups(
     ids: list[str],
     params: CorrectionParams,
     precip: bool = False,
-    hot_rows: int | None = HOT_ROWS,
+    bounded: bool = False,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """``map_groups`` followed by tails, dry days and guards: adds ``corrected``."""
     gumbel = needs_gumbel(params, precip)
-    mapped = map_groups(pred, obs, mdl, keys, ids, params, hot_rows, slice_rows, gumbel)
+    mapped = map_groups(pred, obs, mdl, keys, ids, params, bounded, slice_rows, gumbel)
     return finish(mapped, params, precip)
 
 
@@ -83,30 +69,48 @@ def _corrected_in_arrays(
     first_year: int,
     params: CorrectionParams,
     gumbel: bool,
+    crossval: bool,
 ) -> DataFrame:
-    """Mapping with sliding windows; after hashing by cell nothing else is shuffled."""
+    """Mapping with sliding windows; after hashing by cell nothing else is shuffled.
+
+    For cross-validation the pools hold (year, value), and a group is taken apart by predicted year only once it is one
+    row: each predicted year keeps the other years' values, within the task.
+    """
     group = [*cell, "issue_month", "lead"]
-    pred, obs, mdl = _spread([pred, obs, mdl], cell)
+    pred, obs, mdl = (f.repartition(*cell) for f in (pred, obs, mdl))
     day = target_day(first_year, F.col("issue_month"), F.col("lead"))
     targets = pred.select(*group).distinct().withColumn("day", day)
-    reference = calendar_pool(obs, targets, cell, ["issue_month", "lead"], params.window)
+    reference = calendar_pool(obs, targets, cell, ["issue_month", "lead"], params.window, by_year=crossval)
     members = pred.select(*group, F.struct(*ids, "value", "draw").alias("member"))
-    history = mdl.select(*group, "value", F.lit(True).alias("real"))
+    if crossval:
+        held, gone = F.struct(F.col("issue_year").alias("year"), "value"), F.lit(0)
+    else:
+        held, gone = F.col("value"), F.col("value").isNull().cast("int")
+    history = mdl.select(*group, held.alias("held"), gone.alias("gone"))
     # one grouping brings the three together; all are hashed by cell, so nothing moves
     steps = (
         history.unionByName(members, allowMissingColumns=True)
         .unionByName(reference, allowMissingColumns=True)
         .groupBy(*group)
         .agg(
-            F.sort_array(F.collect_list("value")).alias("vals"),
-            F.count_if(F.col("real") & F.col("value").isNull()).alias("gone"),
+            F.sort_array(F.collect_list("held")).alias("vals"),
+            F.coalesce(F.sum("gone"), F.lit(0)).alias("gone"),
             F.collect_list("member").alias("members"),
             F.flatten(F.collect_list("obs")).alias("obs"),
             F.sum("obs_missing").alias("obs_missing"),
         )
     )
-    pooled = lead_pool(steps, [*cell, "issue_month"], params.mdl_window)
-    return map_arrays(pooled.where(F.size("members") > 0), group, ids, params, gumbel)
+    pooled = lead_pool(steps, [*cell, "issue_month"], params.mdl_window).where(F.size("members") > 0)
+    if crossval:
+        years = F.array_distinct(F.transform("members", lambda m: m["issue_year"]))
+        one = pooled.withColumn("_year", F.explode(years))
+        pooled = one.select(
+            *group,
+            F.expr("filter(members, m -> m.issue_year = _year)").alias("members"),
+            *[other_years(p, "_year").alias(p) for p in ("obs", "mdl")],
+            *[other_years_missing(p, "_year").alias(f"{p}_missing") for p in ("obs", "mdl")],
+        )
+    return map_arrays(pooled, group, ids, params, gumbel)
 
 
 def bias_correct(
@@ -119,7 +123,7 @@ def bias_correct(
     params: CorrectionParams,
     precip: bool = False,
     crossval: bool = False,
-    hot_rows: int | None = HOT_ROWS,
+    bounded: bool = False,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Correct every member of every lead day in one plan.
@@ -127,34 +131,31 @@ def bias_correct(
     ``pred``: cell, ids (``issue_year`` among them), issue_month, lead, value; ``obs``: cell,
     valid_date, value; ``mdl``: cell, issue_year, issue_month, lead, value. Reference days come
     from ``params.window`` days around the lead's calendar day in ``first_year``, hindcast steps
-    from ``params.mdl_window`` lead days around it. ``crossval`` leaves the predicted years out
-    of both. Cells with more than ``hot_rows`` rows in any input are expanded to one row per
-    value and window and mapped in value slices; None states that no cell is that large.
+    from ``params.mdl_window`` lead days around it. ``bounded`` states that ``cell`` bounds the rows of a cell
+    in every input, as on a grid, where years, members and days do; else every value is a row of each
+    window it belongs to, and groups are mapped in value slices.
+
+    ``crossval`` corrects each predicted issue year without it: without the hindcast issued in it and without the reference days dated in it
+    (days of a lead that has crossed New Year are dated in the next year and stay). It needs ``bounded``.
     """
     group = [*cell, "issue_month", "lead"]
     pred = with_draw(pred, [*group, *ids])
-    if crossval:
-        years = pred.select(F.col("issue_year").alias("year"))
-        obs = without_years(obs, F.year("valid_date"), years)
-        mdl = without_years(mdl, F.col("issue_year"), years)
-    cold, hot = [pred, obs, mdl], None
-    if hot_rows is not None:
-        cold, hot = split_by_size(cold, cell, hot_rows)
     gumbel = needs_gumbel(params, precip)
-    mapped = _corrected_in_arrays(*cold, cell, ids, first_year, params, gumbel)
-    if hot is not None:
-        p, o, m = hot
-        day = target_day(first_year, F.col("issue_month"), F.col("lead"))
-        targets = p.select("issue_month", "lead").distinct().withColumn("day", day)
-        large = map_rows(
-            p,
-            calendar_rows(o, targets, cell, ["issue_month", "lead"], params.window),
-            lead_rows(m, [*cell, "issue_month"], params.mdl_window),
-            group,
-            ids,
-            params,
-            slice_rows,
-            gumbel,
-        )
-        mapped = mapped.unionByName(large)
+    if bounded:
+        mapped = _corrected_in_arrays(pred, obs, mdl, cell, ids, first_year, params, gumbel, crossval)
+        return finish(mapped, params, precip)
+    if crossval:
+        raise ValueError("cross-validation holds a window's values by year: it needs bounded cells")
+    day = target_day(first_year, F.col("issue_month"), F.col("lead"))
+    targets = pred.select(*group).distinct().withColumn("day", day)
+    mapped = map_rows(
+        pred,
+        calendar_rows(obs, targets, cell, ["issue_month", "lead"], params.window),
+        lead_rows(mdl, targets, [*cell, "issue_month"], params.mdl_window),
+        group,
+        ids,
+        params,
+        slice_rows,
+        gumbel,
+    )
     return finish(mapped, params, precip)

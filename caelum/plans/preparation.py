@@ -20,9 +20,9 @@ from caelum.functions.fields import (
 from caelum.operators.regrid import Axes, regrid_bilinear, target_grid
 from caelum.operators.reshape import (
     columns_to_variables,
-    deaccumulate,
     deinterleave,
     rename_variables,
+    step_of_total,
     variables_to_columns,
 )
 
@@ -39,13 +39,16 @@ def cut_out(df: DataFrame, domain: Domain, halo: float = 1.0) -> DataFrame:
 
 
 def raw_to_daily(raw: DataFrame, members: int = RAW_MEMBERS) -> DataFrame:
-    """Interleaved raw axis (variable, issue_date, pos, lat, lon, value) to daily values."""
+    """Interleaved raw axis (variable, issue_date, pos, lat, lon, value) to daily values, in one pass.
+
+    Rows without a variable stay as they are.
+    """
     df = deinterleave(raw, members).drop("pos")
     df = df.withColumn("variable", rename_variables(F.col("variable")))
     df = df.withColumn("value", convert_units(F.col("variable"), missing_to_null(F.col("value"))))
-    total = F.col("variable").isin(*ACCUMULATED)
-    steps = deaccumulate(df.where(total), SERIES)
-    daily = steps.unionByName(df.where(~total))
+    total = F.coalesce(F.col("variable").isin(*ACCUMULATED), F.lit(False))
+    step = step_of_total(SERIES)
+    daily = df.withColumn("value", F.when(total, step).otherwise(F.col("value")))
     return daily.withColumn("valid_date", valid_date(F.col("issue_date"), F.col("lead")))
 
 

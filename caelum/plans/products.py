@@ -2,36 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caelum.config import VARIABLES, CorrectionParams, Domain
 from caelum.functions.calendar import evaluation_months, month_start, valid_date
 from caelum.operators.categories import nominal_members
-from caelum.operators.monthly import (
-    monthly_mean,
-    monthly_thresholds,
-    reference_climatology,
-)
-from caelum.plans.bias_correction import HOT_ROWS, bias_correct
+from caelum.operators.monthly import monthly_mean, monthly_thresholds
+from caelum.plans.bias_correction import bias_correct
 from caelum.plans.evaluation import evaluate
 from caelum.sources.scan import scan_store
-from caelum.sources.sink import partition_columns, write_partitions
+from caelum.sources.sink import (
+    packed_by_variable,
+    partition_columns,
+    period_column,
+    unpacked_by_variable,
+    write_partitions,
+)
 
 CELL = ["variable", "lat", "lon"]
-ISSUE = ["variable", "issue_year", "issue_month"]
+ISSUE = ["variable", "period", "issue_year", "issue_month"]
 
 
-def write_issue(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """Add one or more issues (variable, issue_date, ...) to a forecast store.
+def write_issue(df: DataFrame, path: str, domain: Domain, order: list[str] | None = None) -> None:
+    """Add one or more issues (variable, issue_date, ...) to a forecast store, packed.
 
-    ``order`` is the layout inside an issue: cell first for series, date first for maps.
+    Partitions are labelled by period: ``calib`` for the domain's calibration years. ``order`` is the layout inside an
+    issue: cell first for series, date first for maps.
     """
     order = order or ["lat", "lon", "valid_date", "ens"]
-    stored = df.withColumns(partition_columns(F.col("issue_date")))
+    parts = partition_columns(F.col("issue_date"))
+    stored = df.withColumns({**parts, "period": period_column(parts["issue_year"], domain.syr, domain.eyr)})
+    stored = stored.withColumn("value", packed_by_variable(F.col("variable"), F.col("value")))
     write_partitions(stored, path, ISSUE, [c for c in order if c in df.columns])
 
 
+def read_issues(spark: SparkSession, path: str, variables: list[str] | None = None, period: str | None = None, years: str | None = None, months: str | None = None) -> DataFrame:
+    """What ``write_issue`` stored, unpacked; conditions prune partitions."""
+    df = scan_store(spark, path, variables, years, months, "issue_year", "issue_month")
+    if period is not None:
+        df = df.where(F.col("period") == period)
+    return df.withColumn("value", unpacked_by_variable(F.col("variable"), F.col("value")))
+
+
 def write_reference(df: DataFrame, path: str) -> None:
     """Add years of a reference (variable, valid_date, lat, lon, value) to its store."""
     stored = df.withColumn("year", F.year("valid_date"))
@@ -40,15 +53,7 @@ def write_reference(df: DataFrame, path: str) -> None:
 
 def hindcast(spark, path: str, variable: str, issue_month: int, domain: Domain) -> DataFrame:
     """All calibration years of an issue month; partitions outside are not read."""
-    return scan_store(
-        spark,
-        path,
-        [variable],
-        f"{domain.syr},0,{domain.eyr}",
-        str(issue_month),
-        "issue_year",
-        "issue_month",
-    )
+    return read_issues(spark, path, [variable], "calib", f"{domain.syr},0,{domain.eyr}", str(issue_month))
 
 
 def reference(spark, path: str, variable: str, domain: Domain) -> DataFrame:
@@ -63,12 +68,13 @@ def correct_variable(
     variable: str,
     params: CorrectionParams | None = None,
     crossval: bool = False,
-    hot_rows: int | None = HOT_ROWS,
+    bounded: bool = True,
 ) -> DataFrame:
     """Corrected forecast of one variable in the schema of the raw one.
 
     ``forecast`` and ``past`` (the hindcast) have variable, issue_date, lead, ens, lat, lon and
-    value; ``history`` has variable, valid_date, lat, lon and value.
+    value; ``history`` has variable, valid_date, lat, lon and value. A cell of a grid bounds its rows by
+    years, members and days; say ``bounded=False`` of inputs without such a bound.
     """
 
     def issued(df: DataFrame) -> DataFrame:
@@ -86,7 +92,7 @@ def correct_variable(
         params or domain.params,
         VARIABLES[variable].precip,
         crossval,
-        hot_rows,
+        bounded,
     )
     issue = F.make_date(F.col("issue_year"), F.col("issue_month"), F.lit(1))
     return corrected.select(
@@ -106,9 +112,14 @@ def monthly_forecast(df: DataFrame) -> DataFrame:
 
 
 def normals(history: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(climatology, thresholds) of a daily reference."""
-    months = monthly_mean(history, CELL)
-    return reference_climatology(history, CELL), monthly_thresholds(months, CELL)
+    """(climatology, thresholds) of a daily reference, both from one table of monthly sums and counts."""
+    months = history.groupBy(*CELL, month_start(F.col("valid_date")).alias("month_start")).agg(
+        F.sum("value").alias("total"), F.count("value").alias("days")
+    )
+    by_month = months.groupBy(*CELL, F.month("month_start").alias("month"))
+    climatology = by_month.agg(F.try_divide(F.sum("total"), F.sum("days")).alias("value"))
+    means = months.select(*CELL, "month_start", F.try_divide("total", "days").alias("value"))
+    return climatology, monthly_thresholds(means, CELL)
 
 
 def forecast_thresholds(months: DataFrame) -> DataFrame:

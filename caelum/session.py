@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # little data means much work here: tasks may be small, and are coalesced only below this
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -25,17 +26,21 @@ def build_session(master: str | None = None, app: str = "caelum", **extra: str)
     return builder.getOrCreate()
 
 
+def _scratch(spark: SparkSession) -> str:
+    """This application's folder below ``spark.checkpoint.dir``, or below the warehouse where that is unset, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/caelum-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder that driver and executors share."""
+    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
 
-    A machine-local folder is used only where none is configured (tests, local mode).
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="caelum-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written to scratch folders, once no result that reads them is needed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:

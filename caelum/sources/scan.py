@@ -6,12 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caelum.functions.calendar import in_period
+from caelum.functions.codec import missing_to_null
 
+#: What sources write for a missing value, besides NaN.
+FILL = -9999.0
 
-def scan_members(spark: SparkSession, pattern: str, member: str = r"_(\d+)\.parquet") -> DataFrame:
+
+def _without_fill(df: DataFrame, fill: float | None, value: str = "value") -> DataFrame:
+    """NaN and ``fill`` as NULL in a floating ``value``; packed integers are left to ``read_packed``."""
+    if dict(df.dtypes).get(value) not in ("double", "float"):
+        return df
+    return df.withColumn(value, missing_to_null(F.col(value), fill))
+
+
+def scan_members(
+    spark: SparkSession, pattern: str, member: str = r"_(\d+)\.parquet", fill: float | None = FILL
+) -> DataFrame:
     """Files of one member each, in one read; the member number comes from the file path."""
     path = F.col("_metadata.file_path")
-    return spark.read.parquet(pattern).withColumn("ens", F.regexp_extract(path, member, 1).cast("int"))
+    df = spark.read.parquet(pattern).withColumn("ens", F.regexp_extract(path, member, 1).cast("int"))
+    return _without_fill(df, fill)
 
 
 def scan_store(
@@ -22,10 +36,12 @@ def scan_store(
     months: str | None = None,
     year: str = "year",
     month: str = "month",
+    fill: float | None = FILL,
 ) -> DataFrame:
     """Partitioned table; variable, year and month conditions prune partitions.
 
-    ``years`` and ``months`` are period texts such as "1981,0,2016".
+    ``years`` and ``months`` are period texts such as "1981,0,2016". NaN and ``fill`` in ``value``
+    become NULL.
     """
     df = spark.read.parquet(path)
     if variables is not None:
@@ -34,7 +50,7 @@ def scan_store(
         df = df.where(in_period(F.col(year), years))
     if months is not None:
         df = df.where(in_period(F.col(month), months))
-    return df
+    return _without_fill(df, fill)
 
 
 def axis(df: DataFrame, name: str) -> DataFrame:

@@ -6,7 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caelum.config import VARIABLES
-from caelum.functions.codec import pack, unpack
+from caelum.functions.codec import missing_to_null, pack, unpack
+
+
+def period_column(year: Column, syr: int, eyr: int) -> Column:
+    """``period_label`` of rows by their year: calibration years together, any other by itself."""
+    text = year.cast("string")
+    return F.when(year.between(syr, eyr), "calib").otherwise(F.concat_ws("_", text, text))
 
 
 def period_label(first: int, last: int, syr: int, eyr: int) -> str:
@@ -20,15 +26,18 @@ def write_partitions(
     by: list[str],
     sort: list[str] | None = None,
     replace_all: bool = False,
+    files: int = 8,
 ) -> None:
     """Replace the partitions present in ``df`` and keep the others.
 
     A rerun of the same issue therefore writes it again instead of twice. ``sort`` gives the
-    order inside a partition. ``replace_all`` drops the partitions not in ``df`` as well.
+    order inside a file; rows of one first sort column stay in one of at most ``files`` files a partition. Rows are dealt by
+    hash, since a range partitioning would evaluate a computed ``df`` twice. ``replace_all`` drops the
+    partitions not in ``df`` as well.
     """
     if sort:
-        # range partitions: few files per partition, and a large partition spans several tasks
-        df = df.repartitionByRange(*by, *sort).sortWithinPartitions(*by, *sort)
+        tile = F.pmod(F.xxhash64(sort[0]), F.lit(files))
+        df = df.repartition(*by, tile).sortWithinPartitions(*by, *sort)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
@@ -40,8 +49,8 @@ def write_partitions(
 def write_packed(
     df: DataFrame, path: str, variable: str, by: list[str], sort: list[str] | None = None
 ) -> None:
-    """Store ``value`` as the variable's scaled integer."""
-    packed = df.withColumn("value", pack(F.col("value"), VARIABLES[variable]))
+    """Store ``value`` as the variable's scaled integer; NaN counts as missing."""
+    packed = df.withColumn("value", pack(missing_to_null(F.col("value")), VARIABLES[variable]))
     write_partitions(packed, path, by, sort)
 
 
@@ -49,24 +58,25 @@ def read_packed(df: DataFrame, variable: str) -> DataFrame:
     return df.withColumn("value", unpack(F.col("value"), VARIABLES[variable]))
 
 
-def series_layout(df: DataFrame, cell: list[str], order: list[str], files: int | None = None) -> DataFrame:
-    """Each cell's whole series contiguous, for work along time.
+def packed_by_variable(variable: Column, value: Column) -> Column:
+    """``value`` as the scaled integer of the row's own variable; of an unknown one as NULL."""
+    value = missing_to_null(value)
+    return F.coalesce(*[F.when(variable == name, pack(value, v).cast("int")) for name, v in VARIABLES.items()])
 
-    Range partitioning with the order columns behind the cell lets one very long cell span files.
-    """
-    keys = [*cell, *order]
-    df = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
-    return df.sortWithinPartitions(*keys)
 
+def unpacked_by_variable(variable: Column, packed: Column) -> Column:
+    return F.coalesce(*[F.when(variable == name, unpack(packed.cast("int"), v)) for name, v in VARIABLES.items()])
 
-def map_layout(df: DataFrame, date: str, cell: list[str], files: int | None = None) -> DataFrame:
-    """Each date's whole field contiguous, for work across cells."""
-    keys = [date, *cell]
-    df = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
-    return df.sortWithinPartitions(*keys)
 
+def series_layout(df: DataFrame, cell: list[str], order: list[str]) -> DataFrame:
+    """Each cell's whole series contiguous in one file, for work along time."""
+    return df.repartition(*cell).sortWithinPartitions(*cell, *order)
 
-def partition_columns(issue_date: Column) -> dict[str, Column]:
-    return {"issue_year": F.year(issue_date), "issue_month": F.month(issue_date)}
+
+def map_layout(df: DataFrame, date: str, cell: list[str]) -> DataFrame:
+    """Each date's whole field contiguous in one file, for work across cells."""
+    return df.repartition(date).sortWithinPartitions(date, *cell)
 
 
+def partition_columns(issue_date: Column) -> dict[str, Column]:
+    return {"issue_year": F.year(issue_date), "issue_month": F.month(issue_date)}

@@ -26,28 +26,28 @@ def mapping_ctes(keys: str, dry: float = 0.1, nq: int = NQ) -> str:
     on = lambda a, b: " and ".join(f"{a}.{k} = {b}.{k}" for k in keys.split(","))
     k_of = lambda a: ", ".join(f"{a}.{k}" for k in keys.split(","))
     return f"""
-os as (select {keys}, value, row_number() over (partition by {keys} order by value) - 1 k from o where value is not null),
-ms as (select {keys}, value, row_number() over (partition by {keys} order by value) - 1 k from m where value is not null),
-og as (select {keys}, count(*) n, count(value) m, count(distinct value) d, avg(value) mean, stddev_pop(value) sd,
+os as materialized (select {keys}, value, row_number() over (partition by {keys} order by value) - 1 k from o where value is not null),
+ms as materialized (select {keys}, value, row_number() over (partition by {keys} order by value) - 1 k from m where value is not null),
+og as materialized (select {keys}, count(*) n, count(value) m, count(distinct value) d, avg(value) mean, stddev_pop(value) sd,
   min(value) lo, max(value) hi, sum(case when value < {dry} then 1 else 0 end) / count(*) dry from o group by {keys}),
-mg as (select {keys}, count(*) mn, count(value) mm, count(distinct value) md,
+mg as materialized (select {keys}, count(*) mn, count(value) mm, count(distinct value) md,
   sum(case when value < {dry} then 1 else 0 end) / count(*) mdry from m group by {keys}),
 g as (select og.*, mg.mn, mg.mm, mg.md, mg.mdry,
   og.m > 0 and mg.mm > 0 usable,
   og.d + (case when og.m < og.n then 1 else 0 end) > 10 and mg.md + (case when mg.mm < mg.mn then 1 else 0 end) > 10 varied
   from og join mg on {on('og', 'mg')}),
-gg as (select * from g where usable and varied),
+gg as materialized (select * from g where usable and varied),
 mi as (select {keys}, i, (i * (mm - 1)) // {nq + 1} a, (i * (mm - 1)) // {nq + 1} + (case when (i * (mm - 1)) % {nq + 1} > 0 then 1 else 0 end) b
   from (select *, unnest(range(1, {nq + 1})) i from gg)),
 mk as (select {k_of('mi')}, mi.i, (x.value + y.value) / 2 q from mi
   join ms x on {on('mi', 'x')} and x.k = mi.a join ms y on {on('mi', 'y')} and y.k = mi.b),
-mu as (select *, lead(q) over w q2, lead(p) over w p2 from (select {keys}, q, min(i) / {nq + 1} p from mk group by {keys}, q)
+mu as materialized (select *, lead(q) over w q2, lead(p) over w p2 from (select {keys}, q, min(i) / {nq + 1} p from mk group by {keys}, q)
   window w as (partition by {keys} order by q)),
 oi as (select {keys}, n, i, (i * (m - 1)) // (n + 1) a, (i * (m - 1)) // (n + 1) + (case when (i * (m - 1)) % (n + 1) > 0 then 1 else 0 end) b
   from (select *, unnest(range(1, n + 1)) i from gg)),
-ok as (select {k_of('oi')}, oi.n, oi.i, (x.value + y.value) / 2 q from oi
+ok as materialized (select {k_of('oi')}, oi.n, oi.i, (x.value + y.value) / 2 q from oi
   join os x on {on('oi', 'x')} and x.k = oi.a join os y on {on('oi', 'y')} and y.k = oi.b),
-ou as (select *, lead(q) over w q2, lead(p) over w p2 from (select {keys}, q, min(i) / (max(n) + 1) p from ok group by {keys}, q)
+ou as materialized (select *, lead(q) over w q2, lead(p) over w p2 from (select {keys}, q, min(i) / (max(n) + 1) p from ok group by {keys}, q)
   window w as (partition by {keys} order by p)),
 lim as (select {keys}, min(q) qmin, max(q) qmax from mk group by {keys}),
 pc as (select p.*, case when p.value is null then null when p.value < qmin then qmin when p.value > qmax then qmax else p.value end c
@@ -119,7 +119,8 @@ def corrected(rule: str = "delta_additive", precip: bool = False, intermittency:
     return f"case when not usable then null when not varied then mean else {value} end"
 
 
-PRICE = "o as (select cell, value from obs), m as (select cell, value from mdl), p as (select cell, lead, ens, value, 0e0 draw from pred),"
+STEP = 'issue_year, issue_month, "lead", ens'
+PRICE = f"o as (select cell, value from obs), m as (select cell, value from mdl), p as (select cell, {STEP}, value, 0e0 draw from pred),"
 PRICE_VIEWS = ["obs", "mdl", "pred"]
 
 ORACLES["qmap_knots"] = with_views(
@@ -131,10 +132,10 @@ i as (select cell, m, unnest(range(1, {NQ + 1})) i from c)""",
 join s a on a.cell = i.cell and a.k = (i.i * (m - 1)) // {NQ + 1}
 join s b on b.cell = i.cell and b.k = (i.i * (m - 1) + {NQ}) // {NQ + 1}""",
 )
-ORACLES["rank_space"] = with_views(PRICE_VIEWS, PRICE + mapping_ctes("cell"), f"select cell, lead, ens, {r('c')} clamped, {r('y')} rank from res")
-ORACLES["qmap"] = with_views(PRICE_VIEWS, PRICE + mapping_ctes("cell"), f"select cell, lead, ens, {r('value')} as value, {r('mapped')} mapped from res")
+ORACLES["rank_space"] = with_views(PRICE_VIEWS, PRICE + mapping_ctes("cell"), f"select cell, {STEP}, {r('c')} clamped, {r('y')} rank from res")
+ORACLES["qmap"] = with_views(PRICE_VIEWS, PRICE + mapping_ctes("cell"), f"select cell, {STEP}, {r('value')} as value, {r('mapped')} mapped from res")
 for name, rule in TAIL_QUERIES.items():
-    ORACLES[name] = with_views(PRICE_VIEWS, PRICE + mapping_ctes("cell", 0.01), f"select cell, lead, ens, {r(corrected(rule))} corrected from full_res")
+    ORACLES[name] = with_views(PRICE_VIEWS, PRICE + mapping_ctes("cell", 0.01), f"select cell, {STEP}, {r(corrected(rule))} corrected from full_res")
 
 RAIN = """o as (select cell, value from rain where role = 'obs'), m as (select cell, value from rain where role = 'mdl'),
 p as (select cell, event_id, value, ((cell * 7919 + lead * 10473 + event_id * 1299) % 10007) / 10007e0 draw from rain where role = 'pred'),"""
@@ -148,7 +149,8 @@ ORACLES["qmap_events"] = rain(f"select cell, event_id, {r('y')} rank, {r('mapped
 ORACLES["dry_zero"] = rain(f"select cell, event_id, {r(corrected(precip=True, intermittency=False))} corrected from full_res")
 ORACLES["intermittency_dry"] = rain(f"select cell, event_id, {r(corrected(precip=True))} corrected from full_res where dry >= mdry")
 ORACLES["intermittency_wet"] = rain(f"select cell, event_id, {r(corrected(precip=True))} corrected from full_res where dry < mdry")
-ORACLES["dry_share"] = with_views(["rain"], "", f"select cell, role, {r('avg(case when value < 0.1 then 1 else 0 end)')} p_dry from rain group by 1, 2")
+DRY = "avg(case when value < 0.1 then 1 else 0 end) filter (role = '{}')"
+ORACLES["dry_share"] = with_views(["rain"], "", f"select cell, {r(DRY.format('obs'))} dry_obs, {r(DRY.format('mdl'))} dry_mdl from rain group by 1")
 
 # Newton on the scale equation, bracket-free, started from the moment estimate
 steps = ["gf0 as (select cell, max(value) top, max(value) - avg(value) mx, stddev_pop(value) * sqrt(6e0) / pi() s from o group by cell)"]
@@ -163,6 +165,9 @@ steps.append("gl as (select f.cell, any_value(s) scale, any_value(top) + any_val
 steps.append("gr as (select full_res.*, loc, scale from full_res left join gl on full_res.cell = gl.cell)")
 GUMBEL = corrected("constant", True, up="case when y > 0 and y < 1 then loc + scale * ln(-ln(1 - y)) end").replace("then lo0", "then mapped")
 ORACLES["tail_gumbel"] = rain(f"select cell, event_id, {r(GUMBEL)} corrected from gr", ",\n" + ",\n".join(steps))
+ORACLES["tail_gumbel_cells"] = with_views(
+    PRICE_VIEWS, PRICE + mapping_ctes("cell") + ",\n" + ",\n".join(steps), f"select cell, {STEP}, {r(GUMBEL)} corrected from gr"
+)
 
 ORACLES["positions_events"] = with_views(
     ["rain"],
@@ -183,57 +188,66 @@ p as (select user_id, event_id, v as value, 0e0 draw from e where event_type = '
 
 # ------------------------------------------------------------------ calendar windows
 
-DAY = "cast(dayofyear(date '1995-01-01' + lead) as int)"
+DAY = 'cast(dayofyear(make_date(1995, issue_month, 1) + "lead") as int)'
 SUMMARY = f"count(value) n, {r('sum(value)')} total, {r('min(value)')} lowest"
 RING = """((({doy} - t.d + 15) % {len}) + {len}) % {len} <= 30"""
 YEAR_DAYS = "dayofyear(make_date(cast(year({0}) as int), 12, 31))"
-TARGETS = f"t as (select distinct cell, lead, {DAY} d from pred)"
+TARGETS = f't as materialized (select distinct cell, issue_month, "lead", {DAY} d from pred)'
 OBS_JOIN = "obs join t on obs.cell = t.cell and " + RING.format(doy="dayofyear(valid_date)", len=YEAR_DAYS.format("valid_date"))
-ORACLES["obs_window"] = with_views(["obs", "pred"], TARGETS, f"select t.cell, t.lead, {SUMMARY} from {OBS_JOIN} group by 1, 2")
-ORACLES["mdl_window"] = with_views(["mdl", "pred"], TARGETS, f"select t.cell, t.lead, {SUMMARY} from mdl join t on mdl.cell = t.cell and abs(mdl.lead - t.lead) <= 15 group by 1, 2")
+ORACLES["obs_window"] = with_views(["obs", "pred"], TARGETS, f"select t.cell, t.issue_month, t.lead, {SUMMARY} from {OBS_JOIN} group by 1, 2, 3")
+MDL_JOIN = "mdl join t on mdl.cell = t.cell and mdl.issue_month = t.issue_month and abs(mdl.lead - t.lead) <= 15"
+ORACLES["mdl_window"] = with_views(["mdl", "pred"], TARGETS, f"select t.cell, t.issue_month, t.lead, {SUMMARY} from {MDL_JOIN} group by 1, 2, 3")
 ORACLES["mdl_ring_window"] = with_views(
     ["mdl", "pred"],
-    "t as (select distinct cell, lead, dayofyear(date '2000-01-01' + lead) d from pred), h as (select *, make_date(issue_year, 1, 1) + lead dt from mdl)",
-    f"select t.cell, t.lead, {SUMMARY} from h join t on h.cell = t.cell and "
+    't as (select distinct cell, issue_month, "lead", dayofyear(make_date(2000, issue_month, 1) + "lead") d from pred), h as (select *, make_date(issue_year, issue_month, 1) + "lead" dt from mdl)',
+    f"select t.cell, t.issue_month, t.lead, {SUMMARY} from h join t on h.cell = t.cell and "
     + RING.format(doy="dayofyear(dt)", len=YEAR_DAYS.format("dt"))
-    + " group by 1, 2",
+    + " group by 1, 2, 3",
 )
 ORACLES["fixed_ring_window"] = with_views(
     ["obs", "pred"],
-    TARGETS + ", days as (select cell, lead, (d + s + 365) % 365 + 1 doy from t, (select unnest(range(-15, 16)) s))",
-    f"select t.cell, t.lead, {SUMMARY} from obs join days t on obs.cell = t.cell and dayofyear(valid_date) = t.doy group by 1, 2",
+    TARGETS + ', days as (select cell, issue_month, "lead", (d + s + 365) % 365 + 1 doy from t, (select unnest(range(-15, 16)) s))',
+    f"select t.cell, t.issue_month, t.lead, {SUMMARY} from obs join days t on obs.cell = t.cell and dayofyear(valid_date) = t.doy group by 1, 2, 3",
 )
 
 BCSD = (
     TARGETS
     + f""",
-o as (select t.cell, t.lead, value from {OBS_JOIN}),
-m as (select t.cell, t.lead, value from mdl join t on mdl.cell = t.cell and abs(mdl.lead - t.lead) <= 15),
-p as (select cell, lead, ens, issue_year, value, 0e0 draw from pred),"""
-    + mapping_ctes("cell,lead")
+o as materialized (select t.cell, t.issue_month, t.lead, value from {OBS_JOIN}),
+m as materialized (select t.cell, t.issue_month, t.lead, value from {MDL_JOIN}),
+p as (select cell, {STEP}, value, 0e0 draw from pred),"""
+    + mapping_ctes("cell,issue_month,lead")
+)
+FULL = f"select cell, {STEP}, {r('y')} rank, {r(corrected())} corrected from full_res"
+ORACLES["bcsd_full"] = ORACLES["bcsd_full_rows"] = with_views(PRICE_VIEWS, BCSD, FULL)
+# each predicted year is a group of its own, which its own year's rows do not join
+CROSS = (
+    TARGETS.replace("select distinct cell", "select distinct issue_year, cell").replace("from pred", "from mdl")
+    + f""",
+o as materialized (select t.cell, t.issue_year, t.issue_month, t.lead, value from {OBS_JOIN} and year(obs.valid_date) <> t.issue_year),
+m as materialized (select t.cell, t.issue_year, t.issue_month, t.lead, value from {MDL_JOIN} and mdl.issue_year <> t.issue_year),
+p as (select cell, {STEP}, value, 0e0 draw from mdl),"""
+    + mapping_ctes("cell,issue_year,issue_month,lead")
 )
-ORACLES["bcsd_full"] = with_views(PRICE_VIEWS, BCSD, f"select cell, lead, ens, {r('y')} rank, {r(corrected())} corrected from full_res")
-CROSS = BCSD.replace("from pred", "from mdl where issue_year = 1997")
-CROSS = CROSS.replace(f"from {OBS_JOIN}", f"from {OBS_JOIN} where year(valid_date) <> 1997").replace("<= 15),", "<= 15 and mdl.issue_year <> 1997),")
-ORACLES["bcsd_crossval"] = with_views(["obs", "mdl"], CROSS, f"select cell, lead, ens, {r(corrected())} corrected from full_res")
+ORACLES["bcsd_crossval"] = with_views(["obs", "mdl"], CROSS, f"select cell, {STEP}, {r(corrected())} corrected from full_res")
 
 # ------------------------------------------------------------------ monthly products
 
-ISSUED = "cell, make_date(issue_year, 1, 1) issue_date, ens, cast(date_trunc('month', make_date(issue_year, 1, 1) + lead) as date) month_start"
+ISSUED = "cell, make_date(issue_year, issue_month, 1) issue_date, ens, cast(date_trunc('month', make_date(issue_year, issue_month, 1) + \"lead\") as date) month_start"
 MM = f"mm as (select {ISSUED}, avg(value) as value from {{0}} group by all)"
 MR = "mr as (select cell, cast(date_trunc('month', valid_date) as date) month_start, avg(value) as value from obs group by all)"
 ORACLES["monthly_mean_ens"] = with_views(["mdl"], MM.format("mdl"), f"select cell, issue_date, ens, month_start, {r('value')} as value from mm")
 ORACLES["monthly_mean_ref"] = with_views(["obs"], MR, f"select cell, month_start, {r('value')} as value from mr")
 ORACLES["monthly_series"] = with_views(
-    ["mdl"], MM.format("mdl"), f"select cell, issue_date, ens, month_start, {r('value')} as value from mm where month(month_start) <= 6"
+    ["mdl"], MM.format("mdl"), f"select cell, issue_date, ens, month_start, {r('value')} as value from mm where (month(month_start) - month(issue_date) + 12) % 12 < 5"
 )
-CORRECTED = BCSD + f", fr as (select cell, lead, ens, issue_year, {corrected()} as value from full_res), " + MM.format("fr")
+CORRECTED = BCSD + f", fr as (select cell, {STEP}, {corrected()} as value from full_res), " + MM.format("fr")
 ORACLES["monthly_mean_corrected"] = with_views(PRICE_VIEWS, CORRECTED, f"select cell, issue_date, ens, month_start, {r('value')} as value from mm")
 ORACLES["clim_ref"] = with_views(["obs"], "", f"select cell, cast(month(valid_date) as int) as month, {r('avg(value)')} as value from obs group by 1, 2")
 ORACLES["clim_fcst"] = with_views(
     ["mdl"],
     "",
-    f"select cell, ens, 1 issue_month, cast(month(make_date(issue_year, 1, 1) + lead) as int) as month, {r('avg(value)')} as value from mdl group by all",
+    f"select cell, ens, issue_month, cast(month(make_date(issue_year, issue_month, 1) + \"lead\") as int) as month, {r('avg(value)')} as value from mdl group by all",
 )
 PROBS = {"q20": 0.2, "q40": 0.4, "q60": 0.6, "q80": 0.8, "q33": 0.33, "q66": 0.66, "q10": 0.1, "q90": 0.9}
 
@@ -247,7 +261,9 @@ def thresholds(source: str) -> str:
 
 
 ORACLES["thresholds_ref"] = with_views(["obs"], MR, thresholds("mr"))
-ORACLES["thresholds_fcst"] = with_views(["mdl"], MM.format("mdl"), thresholds("mm"))
+ORACLES["thresholds_fcst"] = with_views(
+    ["mdl"], MM.format("mdl"), f"select cell, cast(month(issue_date) as int) issue_month, cast(month(month_start) as int) as month, {quantile_columns()} from mm group by 1, 2, 3"
+)
 ORACLES["thresholds_corrected"] = with_views(PRICE_VIEWS, CORRECTED, thresholds("mm"))
 ORACLES["thresholds_events"] = with_views(["rain"], "", f"select cell, cast(cell % 3 + 1 as int) as month, {quantile_columns()} from rain group by 1, 2")
 
@@ -265,7 +281,7 @@ def stats(source: str, keys: str, wrap=r) -> str:
 
 
 ORACLES["ens_stats"] = with_views(["pred"], MM.format("pred"), stats("mm", "cell, month_start"))
-ORACLES["ens_stats_daily"] = with_views(["pred"], "", stats("pred", "cell, lead"))
+ORACLES["ens_stats_daily"] = with_views(["pred"], "", stats("pred", 'cell, issue_year, issue_month, "lead"'))
 CLIM = "cl as (select cell, month(valid_date) mon, avg(value) clim from obs group by 1, 2)"
 MEANS = (
     MM.format("pred") + ", " + CLIM
@@ -293,7 +309,7 @@ def counted(unit: str = "1") -> str:
         + ", "
         + MR.replace("avg(value)", f"avg(value) / ({unit})").replace("group by all", "group by 1, 2")
         + f", th as (select cell, month(month_start) mon, {quantile_columns(lambda x: x)} from mr group by 1, 2)"
-        + f", ct as (select mm.cell, month_start, any_value(q90) q90, {sums} from mm left join th on mm.cell = th.cell and month(month_start) = mon group by 1, 2)"
+        + f", ct as (select mm.cell, month_start, any_value(issue_date) issue_date, any_value(q90) q90, {sums} from mm left join th on mm.cell = th.cell and month(month_start) = mon group by 1, 2)"
     )
 
 
@@ -333,15 +349,15 @@ ORACLES["cat_encoded"] = with_views(
 FIRST = "(first_ens.v is not null)"
 MASKED = (
     counted("20000e0 * (1 + cell % 5)")
-    + """, fe as (select cell, case when cell % 4 = 0 and month(month_start) = 1 and ens = 1 then null else value end v,
-  row_number() over (partition by cell order by month_start, ens) k from mm), first_ens as (select * from fe where k = 1)"""
+    + """, fe as (select cell, issue_date, case when cell % 4 = 0 and month(month_start) in (1, 4) and ens = 1 then null else value end v,
+  row_number() over (partition by cell, issue_date order by month_start, ens) k from mm), first_ens as (select * from fe where k = 1)"""
 )
 ORACLES["cat_masked"] = with_views(
     ["obs", "pred"],
     MASKED,
     f"select ct.cell, month_start, {FIRST} present, "
     + ", ".join(f"{r(code(p, wet=True, mask=FIRST))} {p}" for p in ORDER)
-    + " from ct join first_ens on ct.cell = first_ens.cell",
+    + " from ct join first_ens on ct.cell = first_ens.cell and ct.issue_date = first_ens.issue_date",
 )
 ORACLES["valid_cell_mask"] = with_views(
     ["mdl"],
@@ -355,30 +371,61 @@ def even(x: str, digits: int) -> str:
     return f"round_even(round({x}, 6) * {10 ** digits}e0, 0) / {10 ** digits}e0"
 
 
-ORACLES["eval_product"] = with_views(
-    ["obs", "pred"],
-    counted() + ", " + CLIM + ", st as (" + stats("mm", "cell, month_start", lambda x: x) + ")",
-    "select ct.cell, make_date(2000, 1, 1) issue_date, ct.month_start, "
-    + ", ".join(
-        f"{even(x, n)} {name}"
-        for x, n, name in [
-            ("mean", 1, "ensemble_mean"),
-            ("median", 1, "ensemble_median"),
-            ("spread", 1, "ensemble_spread"),
-            ("std", 1, "ensemble_std"),
-            ("iqr", 1, "ensemble_iqr"),
-            ("mean - clim", 1, "ensemble_anomaly"),
-            ("(mean / clim - 1) * 100", 1, "ensemble_mean_relative"),
-            (code("tercile"), 2, "tercile_probab"),
-            (code("quintile"), 2, "quintile_probab"),
-            (code("extreme"), 2, "extreme_probab"),
-            (prob("tercile", 3), 1, "above_normal_probab"),
-            (prob("tercile", 1), 1, "below_normal_probab"),
-            (prob("extreme", 2), 1, "extreme_high_probab"),
-            (prob("extreme", 1), 1, "extreme_low_probab"),
-        ]
+def evaluation(unit: str = "1", wet: bool = False) -> str:
+    clim = CLIM.replace("avg(value)", f"avg(value / ({unit}))")
+    measures = [
+        ("mean", 1, "ensemble_mean"),
+        ("median", 1, "ensemble_median"),
+        ("spread", 1, "ensemble_spread"),
+        ("std", 1, "ensemble_std"),
+        ("iqr", 1, "ensemble_iqr"),
+        ("mean - clim", 1, "ensemble_anomaly"),
+        ("(mean / clim - 1) * 100", 1, "ensemble_mean_relative"),
+        (code("tercile", wet=wet), 2, "tercile_probab"),
+        (code("quintile", wet=wet), 2, "quintile_probab"),
+        (code("extreme", wet=wet), 2, "extreme_probab"),
+        (prob("tercile", 3), 1, "above_normal_probab"),
+        (prob("tercile", 1), 1, "below_normal_probab"),
+        (prob("extreme", 2), 1, "extreme_high_probab"),
+        (prob("extreme", 1), 1, "extreme_low_probab"),
+    ]
+    return with_views(
+        ["obs", "pred"],
+        counted(unit) + ", " + clim + ", st as (" + stats("mm", "cell, month_start", lambda x: x) + ")",
+        "select ct.cell, issue_date, ct.month_start, "
+        + ", ".join(f"{even(x, n)} {name}" for x, n, name in measures)
+        + " from ct join st on ct.cell = st.cell and ct.month_start = st.month_start join cl on ct.cell = cl.cell and month(ct.month_start) = mon",
     )
-    + " from ct join st on ct.cell = st.cell and ct.month_start = st.month_start join cl on ct.cell = cl.cell and month(ct.month_start) = mon",
+
+
+DRY_UNIT = "20000e0 * (1 + cell % 5)"
+ORACLES["eval_product"] = evaluation()
+ORACLES["eval_precip"] = evaluation(DRY_UNIT, True)
+ORACLES["cat_nominal"] = with_views(
+    ["obs", "pred"],
+    counted(),
+    f"""select cell, month_start, cast(issue_date + to_months(case when cell % 2 = 1 then 204 else 0 end) as date) issue_date,
+{r("tercile_3 / (case when year(issue_date) + (cell % 2) * 17 < 2017 then 25 else 51 end) * 100")} above from ct""",
+)
+TWENTY = (
+    """mm as (select cast(s_nationkey as int) cell, cast(date_trunc('month', l_shipdate) as date) issue_date, l_orderkey % 20 ens,
+  cast(date_trunc('month', l_shipdate) as date) month_start, max(l_extendedprice) as value from lineitem join supplier on l_suppkey = s_suppkey group by 1, 2, 3, 4)"""
+    + counted()[counted().index(", mr as") :]
+)
+
+
+def of_twenty(sql: str) -> str:
+    return sql.replace("/ 7 * 100", "/ 20 * 100")
+
+
+ORACLES["cat_sentinel"] = with_views(
+    ["obs"], TWENTY, of_twenty("select cell, month_start, " + ", ".join(f"{r(code(p, s))} {p}_{s}" for p in ("tercile", "quintile") for s in ("equal", "below")) + " from ct")
+)
+ORACLES["normals_store"] = with_views(
+    ["obs"],
+    MR + ", " + CLIM + f", th as (select cell, month(month_start) mon, {quantile_columns(lambda x: x)} from mr group by 1, 2)",
+    f"""select 10e0 + th.cell // 5 lat, -8e0 + 4 * (th.cell % 5) lon, cast(th.mon as int) as month, {r('clim')} clim, {r('q20')} q20, {r('q33')} q33, {r('q90')} q90
+from th join cl on th.cell = cl.cell and th.mon = cl.mon""",
 )
 
 # ------------------------------------------------------------------ raw fields
@@ -393,13 +440,31 @@ from raw a left join raw b on a.issue = b.issue and b.pos = a.pos - 51""",
 )
 ORACLES["raw_to_daily"] = with_views(
     [],
-    "raw as (select event_id % 2 v, event_id // 21930 k, (event_id // 2) % 10965 pos, value from events)",
-    f"""select case when a.v = 0 then 'tp' else 't2m' end as variable, cast(date '2000-01-01' + to_months(cast(a.k as int)) as date) issue_date,
-cast(a.pos % 51 as int) ens, cast(a.pos // 51 as int) lead,
-cast(cast(date '2000-01-01' + to_months(cast(a.k as int)) as date) + cast(a.pos // 51 as int) as date) valid_date,
-{r('case when a.v = 0 then a.value * 1000 - coalesce(b.value, 0) * 1000 else a.value end')} as value
-from raw a left join raw b on a.v = b.v and a.k = b.k and b.pos = a.pos - 51""",
+    """raw as (select case when event_id % 97 = 0 then null when event_id % 2 = 0 then 'tp' else 't2m' end v, event_id % 2 side, event_id // 21930 k,
+  (event_id // 2) % 10965 % 51 ens, (event_id // 2) % 10965 // 51 as "lead",
+  case when event_id % 101 = 0 or event_id % 103 = 0 then null when event_id % 97 <> 0 and event_id % 2 = 0 then value * 1000 else value end as value
+  from events where event_id % 89 <> 0),
+head as (select v, side, k, ens, min("lead") first from raw group by all)""",
+    f"""select a.v as variable, cast(date '2000-01-01' + to_months(cast(a.k as int)) as date) issue_date, cast(a.ens as int) ens, cast(a.lead as int) "lead", 2.5e0 + a.side lon,
+cast(cast(date '2000-01-01' + to_months(cast(a.k as int)) as date) + cast(a.lead as int) as date) valid_date,
+{r("case when a.v = 'tp' and a.lead > first then a.value - b.value else a.value end")} as value
+from raw a join head h on a.v is not distinct from h.v and a.side = h.side and a.k = h.k and a.ens = h.ens
+left join raw b on a.v = b.v and a.side = b.side and a.k = b.k and a.ens = b.ens and b.lead = a.lead - 1""",
 )
+ORACLES["prepare"] = with_views(
+    [],
+    """raw as (select event_id % 25 // 5 y, event_id % 5 x, event_id // 25 // 10965 k, event_id // 25 % 10965 % 51 ens, event_id // 25 % 10965 // 51 as "lead", value * 1000 as value from events),
+src as (select a.y, a.x, a.k, a.ens, a.lead, case when a.lead = 0 then a.value else a.value - b.value end v
+  from raw a left join raw b on a.y = b.y and a.x = b.x and a.k = b.k and a.ens = b.ens and b.lead = a.lead - 1),
+field as (select distinct k, ens, "lead" from src),
+tg as (select 11e0 + i lat, -5e0 + j lon, 1e0 + i fy, (j + 3) / 4e0 fx from generate_series(0, 4) a(i), generate_series(0, 14) b(j)),
+cr as (select tg.*, floor(fy) + dy y, floor(fx) + dx x, (case dy when 0 then 1 - (fy - floor(fy)) else fy - floor(fy) end) * (case dx when 0 then 1 - (fx - floor(fx)) else fx - floor(fx) end) w
+  from tg, (select unnest([0, 1]) dy), (select unnest([0, 1]) dx))""",
+    f"""select lat, lon, cast(date '2000-01-01' + to_months(cast(f.k as int)) as date) issue_date, cast(f.ens as int) ens, cast(f.lead as int) "lead",
+{r('case when bool_and(w = 0 or v is not null) then sum(case when w > 0 then w * v end) end')} as value
+from cr cross join field f left join src on src.k = f.k and src.ens = f.ens and src.lead = f.lead and src.y = cr.y and src.x = cr.x group by all""",
+)
+ORACLES["drop_auxiliary"] = "select l_orderkey, l_linenumber, l_quantity from lineitem"
 ORACLES["lon_wrap"] = with_views(["grid"], "", "select lat_idx, lon_idx, case when lon >= 180 then lon - 360 else lon end lon from grid")
 ORACLES["bbox_halo"] = with_views(
     ["grid"],
@@ -480,38 +545,52 @@ tg as (select i, j, 10 + i * 0.5e0 lat, -8 + j * 0.5e0 lon, i * 0.5e0 fy, j * 0.
 cr as (select tg.*, floor(fy) + dy y, floor(fx) + dx x, (case dy when 0 then 1 - (fy - floor(fy)) else fy - floor(fy) end) * (case dx when 0 then 1 - (fx - floor(fx)) else fx - floor(fx) end) w
   from tg, (select unnest([0, 1]) dy), (select unnest([0, 1]) dx))""",
     f"""select cast(i as int) lat_idx, cast(j as int) lon_idx, lat, lon, seg.seg c_mktsegment, {r('case when bool_and(w = 0 or v is not null) then sum(case when w > 0 then w * v end) end')} as value
-from cr cross join seg left join src on src.seg = seg.seg and src.y = cr.y and src.x = cr.x group by 1, 2, 3, 4, 5 having count(src.seg) > 0""",
+from cr cross join seg left join src on src.seg = seg.seg and src.y = cr.y and src.x = cr.x group by 1, 2, 3, 4, 5""",
 )
 
 # ------------------------------------------------------------------ sources and sinks
 
-PLACED = "pl as (select cell, 10e0 + cell // 5 lat, -8e0 + 4 * (cell % 5) lon, valid_date from obs)"
+PLACED = "pl as (select cell, 10e0 + cell // 5 lat, -8e0 + 4 * (cell % 5) lon, valid_date from history)"
 ORACLES["axes"] = with_views(
-    ["obs"],
+    ["history"],
     PLACED,
     """select distinct 'lat' axis, lat "at" from pl union all select distinct 'lon', lon from pl
 union all select distinct 'time', cast(valid_date - date '1950-01-01' as double) from pl""",
 )
 ORACLES["coverage"] = with_views(
-    ["obs"], PLACED, 'select min(lon) lon_min, max(lon) lon_max, min(lat) lat_min, max(lat) lat_max, min(valid_date) "start", max(valid_date) stop from pl'
+    ["history"], PLACED, 'select min(lon) lon_min, max(lon) lon_max, min(lat) lat_min, max(lat) lat_max, min(valid_date) "start", max(valid_date) stop from pl'
 )
-SAME = f"select cell, valid_date, {r('value')} as value from obs"
-for name in ("append_idempotent", "layout_series", "layout_map"):
-    ORACLES[name] = with_views(["obs"], "", SAME)
-ORACLES["roundtrip_packed"] = with_views(["obs"], "", f"select cell, valid_date, {r('round_even(value / 0.01e0, 0) * 0.01e0')} as value from obs")
-ORACLES["scan_store"] = with_views(["obs"], "", SAME + " where year(valid_date) in (1996, 1997) and month(valid_date) in (6, 7)")
-ORACLES["scan_members"] = f"select cast(user_id % 7 as int) ens, event_id, {r('value')} as value from events"
+SAME = f"select cell, valid_date, {r('value')} as value from history"
+ORACLES["append_idempotent"] = with_views(["history"], "", SAME)
+ORACLES["replace_store"] = with_views(["history"], "", SAME + " where month(valid_date) <= 6")
+for name, whole in (("layout_series", "cell"), ("layout_map", "valid_date")):
+    ORACLES[name] = with_views(
+        ["history"], "", f"select {whole}, cast(1 as bigint) n_files, true in_order, true in_one_piece, count(*) n, {r('max(value)')} top from history group by 1"
+    )
+ORACLES["roundtrip_packed"] = with_views(["history"], "", f"select cell, valid_date, {r('round_even(value / 0.01e0, 0) * 0.01e0')} as value from history")
+STORED = """st as (select case when cell % 2 = 0 then 'tp' else 'ssrd' end as variable, make_date(issue_year, issue_month, 1) issue_date,
+  cast(make_date(issue_year, issue_month, 1) + "lead" as date) valid_date, ens, cast(cell as double) lat,
+  case when cell % 7 <> 3 then round_even(value / 0.01e0, 0) * 0.01e0 end as value from mdl)"""
+ORACLES["roundtrip_issue"] = with_views(["mdl"], STORED, f"select variable, issue_date, valid_date, ens, lat, {r('value')} as value from st")
 ORACLES["period_partition"] = with_views(
-    ["obs"], "", "select cell, case when min(year(valid_date)) = 1995 and max(year(valid_date)) = 1999 then 'calib' else 'other' end period from obs group by cell"
+    ["mdl"],
+    STORED,
+    """select case when year(issue_date) = 1999 then '1999_1999' else 'calib' end period, variable, cast(year(issue_date) as int) issue_year,
+cast(month(issue_date) as int) issue_month, count(*) n, count(value) n_value from st where year(issue_date) between 1996 and 1999 group by all""",
 )
-
+ORACLES["scan_store"] = with_views(
+    ["history"],
+    "",
+    f"select cell, valid_date, case when day(valid_date) not in (3, 5) then {r('value')} end as value from history where year(valid_date) in (1996, 1997) and month(valid_date) in (6, 7)",
+)
+ORACLES["scan_members"] = f"select cast(user_id % 7 as int) ens, event_id, {r('value')} as value from events"
 # ------------------------------------------------------------------ dates as text, on both sides
 
 DATES = {
     "month_start": "monthly_mean_ens monthly_mean_ref monthly_mean_corrected monthly_series ens_stats anomaly anomaly_rel "
-    "cat_extreme cat_quintile cat_tercile cat_best cat_encoded cat_masked eval_product calendar_parts",
-    "issue_date": "monthly_mean_ens monthly_mean_corrected monthly_series valid_cell_mask eval_product raw_to_daily",
-    "valid_date": "raw_to_daily valid_date flatten_5d roundtrip_packed append_idempotent layout_series layout_map scan_store",
+    "cat_extreme cat_quintile cat_tercile cat_best cat_encoded cat_masked cat_sentinel cat_nominal eval_product eval_precip calendar_parts",
+    "issue_date": "monthly_mean_ens monthly_mean_corrected monthly_series valid_cell_mask eval_product eval_precip cat_nominal raw_to_daily prepare roundtrip_issue",
+    "valid_date": "raw_to_daily valid_date flatten_5d roundtrip_packed roundtrip_issue append_idempotent replace_store layout_map scan_store",
     "date": "period_filter",
     "back": "day_number",
     "start": "coverage",

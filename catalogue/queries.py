@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caelum.config import LEADS, RAW_MEMBERS, VARIABLES, CorrectionParams, Domain
@@ -14,10 +14,10 @@ from caelum.functions import codec, fields
 from caelum.functions import sorted_arrays as sa
 from caelum.operators import categories as cat
 from caelum.operators import ensemble, mapping, monthly, quantiles, regrid, reshape, windows
-from caelum.operators.skew import HOT_ROWS
 from caelum.plans import bias_correction as bc
 from caelum.plans import preparation as prep
-from caelum.plans.evaluation import evaluate
+from caelum.plans import products
+from caelum.plans.evaluation import evaluate, member_counts
 from caelum.session import scratch_path
 from caelum.sources import scan, sink
 from catalogue import views as V
@@ -27,6 +27,8 @@ PRICE = CorrectionParams(nquants=NQ, dry_thresh=0.1)
 RAIN = CorrectionParams(nquants=NQ, dry_thresh=0.1)
 MEMBERS = 7
 FIRST_YEAR = 1995
+STEP = ["issue_year", "issue_month", "lead", "ens"]
+WINDOW = ["issue_month", "lead"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -76,20 +78,20 @@ def qmap_knots(spark, d):
 @query
 def rank_space(spark, d):
     pred, obs, mdl = _price_views(spark, d)
-    mapped = bc.map_groups(pred, obs, mdl, ["cell"], ["lead", "ens"], PRICE, hot_rows=None)
-    return mapped.select("cell", "lead", "ens", out("clamped").alias("clamped"), out("rank").alias("rank"))
+    mapped = bc.map_groups(pred, obs, mdl, ["cell"], STEP, PRICE, bounded=True)
+    return mapped.select("cell", *STEP, out("clamped").alias("clamped"), out("rank").alias("rank"))
 
 
 @query
 def qmap(spark, d):
     pred, obs, mdl = _price_views(spark, d)
-    mapped = bc.map_groups(pred, obs, mdl, ["cell"], ["lead", "ens"], PRICE, hot_rows=None)
-    return mapped.select("cell", "lead", "ens", out("value").alias("value"), out("mapped").alias("mapped"))
+    mapped = bc.map_groups(pred, obs, mdl, ["cell"], STEP, PRICE, bounded=True)
+    return mapped.select("cell", *STEP, out("value").alias("value"), out("mapped").alias("mapped"))
 
 
 @query
 def qmap_events(spark, d):
-    """Groups that grow with the table: sizes are checked, large cells go through slices."""
+    """Groups that grow with the table, in value slices."""
     pred, obs, mdl = _rain_views(spark, d)
     mapped = bc.map_groups(pred, obs, mdl, ["cell"], ["event_id"], RAIN)
     return mapped.select("cell", "event_id", out("rank").alias("rank"), out("mapped").alias("mapped"))
@@ -121,8 +123,8 @@ def _tail(rule: str):
         pred, obs, mdl = _price_views(spark, d)
         params = CorrectionParams(nquants=NQ, low_extrapol=rule, up_extrapol=rule)
         # hindcast values reach beyond the reference, so both ends are used
-        res = bc.correct_groups(pred, obs, mdl, ["cell"], ["lead", "ens"], params, hot_rows=None)
-        return res.select("cell", "lead", "ens", out("corrected").alias("corrected"))
+        res = bc.correct_groups(pred, obs, mdl, ["cell"], STEP, params, bounded=True)
+        return res.select("cell", *STEP, out("corrected").alias("corrected"))
 
     return run
 
@@ -149,14 +151,21 @@ def tail_gumbel(spark, d):
     return _rain_corrected(spark, d, params).select("cell", "event_id", "corrected")
 
 
+@query
+def tail_gumbel_cells(spark, d):
+    """The same tail for groups that their key bounds, in one row each."""
+    pred, obs, mdl = _price_views(spark, d)
+    params = CorrectionParams(nquants=NQ, dry_thresh=0.1, up_extrapol="distribution", low_extrapol="distribution")
+    res = bc.correct_groups(pred, obs, mdl, ["cell"], STEP, params, precip=True, bounded=True)
+    return res.select("cell", *STEP, out("corrected").alias("corrected"))
+
+
 @query
 def dry_share(spark, d):
-    """Dry-day probability of reference and hindcast; missing values count as days."""
-    return (
-        V.rain(spark, d)
-        .groupBy("cell", "role")
-        .agg(out(F.count_if(F.col("value") < 0.1) / F.count("*")).alias("p_dry"))
-    )
+    """Dry-day probability of reference and hindcast as the mapping finds them."""
+    pred, obs, mdl = _rain_views(spark, d)
+    mapped = bc.map_groups(pred, obs, mdl, ["cell"], ["event_id"], RAIN)
+    return mapped.groupBy("cell").agg(out(F.max("dry_obs")).alias("dry_obs"), out(F.max("dry_mdl")).alias("dry_mdl"))
 
 
 @query
@@ -182,14 +191,14 @@ def intermittency_wet(spark, d):
 
 def _targets(pred: DataFrame) -> DataFrame:
     """Lead days of the forecast, with their day of year in the first hindcast year."""
-    day = windows.target_day(FIRST_YEAR, F.lit(1), F.col("lead"))
-    return pred.select("cell", "lead").distinct().withColumn("day", day)
+    day = windows.target_day(FIRST_YEAR, F.col("issue_month"), F.col("lead"))
+    return pred.select("cell", *WINDOW).distinct().withColumn("day", day)
 
 
 def _pool_summary(df: DataFrame, name: str) -> DataFrame:
     return df.select(
         "cell",
-        "lead",
+        *WINDOW,
         F.size(name).cast("bigint").alias("n"),
         out(F.expr(sa.total(name))).alias("total"),
         out(F.get(name, F.lit(0))).alias("lowest"),
@@ -199,69 +208,72 @@ def _pool_summary(df: DataFrame, name: str) -> DataFrame:
 @query
 def obs_window(spark, d):
     targets = _targets(V.pred(spark, d))
-    return _pool_summary(windows.calendar_pool(V.obs(spark, d), targets, ["cell"], ["lead"]), "obs")
+    return _pool_summary(windows.calendar_pool(V.obs(spark, d), targets, ["cell"], WINDOW), "obs")
 
 
 @query
 def mdl_window(spark, d):
     targets = _targets(V.pred(spark, d))
-    return _pool_summary(windows.hindcast_pool(V.mdl(spark, d), targets, ["cell"]), "mdl")
+    return _pool_summary(windows.hindcast_pool(V.mdl(spark, d), targets, ["cell", "issue_month"]), "mdl")
 
 
 def _dated(mdl: DataFrame) -> DataFrame:
-    date = cal.hindcast_date(F.col("issue_year"), F.lit(1), F.col("lead"))
+    date = cal.hindcast_date(F.col("issue_year"), F.col("issue_month"), F.col("lead"))
     return mdl.withColumn("valid_date", date)
 
 
 @query
 def mdl_ring_window(spark, d):
     """Hindcast days by the calendar rule, around the forecast's own days."""
-    day = F.dayofyear(F.date_add(F.make_date(F.lit(2000), F.lit(1), F.lit(1)), F.col("lead")))
-    targets = V.pred(spark, d).select("cell", "lead").distinct().withColumn("day", day)
-    pooled = windows.calendar_pool(_dated(V.mdl(spark, d)), targets, ["cell"], ["lead"], name="mdl")
+    day = windows.target_day(2000, F.col("issue_month"), F.col("lead"))
+    targets = V.pred(spark, d).select("cell", *WINDOW).distinct().withColumn("day", day)
+    pooled = windows.calendar_pool(_dated(V.mdl(spark, d)), targets, ["cell"], WINDOW, name="mdl")
     return _pool_summary(pooled, "mdl")
 
 
 @query
 def fixed_ring_window(spark, d):
     targets = _targets(V.pred(spark, d))
-    pooled = windows.calendar_pool(V.obs(spark, d), targets, ["cell"], ["lead"], ring=365, shift=1)
+    pooled = windows.calendar_pool(V.obs(spark, d), targets, ["cell"], WINDOW, ring=365, shift=1)
     return _pool_summary(pooled, "obs")
 
 
-def _january(df: DataFrame) -> DataFrame:
-    return df.withColumn("issue_month", F.lit(1))
+def _bias_corrected(spark, d, bounded=True):
+    pred, obs, mdl = _price_views(spark, d)
+    return bc.bias_correct(pred, obs, mdl, ["cell"], ["issue_year", "ens"], FIRST_YEAR, PRICE, bounded=bounded)
 
 
-def _bias_corrected(spark, d, hot_rows=None):
-    pred, obs, mdl = _price_views(spark, d)
-    return bc.bias_correct(
-        _january(pred), obs, _january(mdl), ["cell"], ["issue_year", "ens"], FIRST_YEAR, PRICE, hot_rows=hot_rows
-    )
+def _ranked_and_corrected(df: DataFrame) -> DataFrame:
+    return df.select("cell", *STEP, out("rank").alias("rank"), out("corrected").alias("corrected"))
 
 
 @query
 def bcsd_full(spark, d):
-    res = _bias_corrected(spark, d, HOT_ROWS)
-    return res.select("cell", "lead", "ens", out("rank").alias("rank"), out("corrected").alias("corrected"))
+    return _ranked_and_corrected(_bias_corrected(spark, d))
+
+
+@query
+def bcsd_full_rows(spark, d):
+    """The same for cells of any size."""
+    return _ranked_and_corrected(_bias_corrected(spark, d, bounded=False))
 
 
 @query
 def bcsd_crossval(spark, d):
-    """Correct one hindcast year with that year left out of both samples."""
-    mdl = _january(V.mdl(spark, d))
-    pred = mdl.where(F.col("issue_year") == 1997)
+    """Every hindcast year corrected with that year left out of both samples."""
+    lines = V.shipped(spark, d)
+    mdl = V.mdl(spark, d, lines)
     res = bc.bias_correct(
-        pred, V.obs(spark, d), mdl, ["cell"], ["issue_year", "ens"], FIRST_YEAR, PRICE, crossval=True, hot_rows=None
+        mdl, V.obs(spark, d, lines), mdl, ["cell"], ["issue_year", "ens"], FIRST_YEAR, PRICE, crossval=True, bounded=True
     )
-    return res.select("cell", "lead", "ens", out("corrected").alias("corrected"))
+    return res.select("cell", *STEP, out("corrected").alias("corrected"))
 
 
 # ------------------------------------------------------------------ monthly products
 
 
 def _issued(df: DataFrame) -> DataFrame:
-    issue = F.make_date(F.col("issue_year"), F.lit(1), F.lit(1))
+    issue = F.make_date(F.col("issue_year"), F.col("issue_month"), F.lit(1))
     return df.withColumn("issue_date", issue).withColumn(
         "valid_date", cal.valid_date(issue, F.col("lead"))
     )
@@ -287,13 +299,14 @@ def monthly_mean_ref(spark, d):
 
 @query
 def monthly_mean_corrected(spark, d):
-    res = _bias_corrected(spark, d).select("cell", "issue_year", "lead", "ens", F.col("corrected").alias("value"))
+    res = _bias_corrected(spark, d).select("cell", *STEP, F.col("corrected").alias("value"))
     return monthly.monthly_mean(_issued(res), ["cell", "issue_date", "ens"]).withColumn("value", out("value"))
 
 
 @query
 def monthly_series(spark, d):
-    series = monthly.monthly_series(_issued(V.mdl(spark, d)), ["cell", "issue_date", "ens"], 6)
+    # issues of October go on into the next year
+    series = monthly.monthly_series(_issued(V.mdl(spark, d)), ["cell", "issue_date", "ens"], 5)
     return series.withColumn("value", out("value"))
 
 
@@ -308,7 +321,8 @@ def clim_fcst(spark, d):
 
 
 def _rounded_thresholds(df: DataFrame) -> DataFrame:
-    return df.select("cell", "month", *[out(c).alias(c) for c in df.columns if c.startswith("q")])
+    keys = [c for c in ("cell", "issue_month", "month") if c in df.columns]
+    return df.select(*keys, *[out(c).alias(c) for c in df.columns if c.startswith("q")])
 
 
 @query
@@ -318,12 +332,14 @@ def thresholds_ref(spark, d):
 
 @query
 def thresholds_fcst(spark, d):
-    return _rounded_thresholds(monthly.monthly_thresholds(_monthly_members(spark, d), ["cell"]))
+    """Kept apart by issue month."""
+    months = _monthly_members(spark, d).withColumn("issue_month", F.month("issue_date"))
+    return _rounded_thresholds(monthly.monthly_thresholds(months, ["cell", "issue_month"]))
 
 
 @query
 def thresholds_corrected(spark, d):
-    res = _bias_corrected(spark, d).select("cell", "issue_year", "lead", "ens", F.col("corrected").alias("value"))
+    res = _bias_corrected(spark, d).select("cell", *STEP, F.col("corrected").alias("value"))
     months = monthly.monthly_mean(_issued(res), ["cell", "issue_date", "ens"])
     return _rounded_thresholds(monthly.monthly_thresholds(months, ["cell"]))
 
@@ -332,7 +348,7 @@ def thresholds_corrected(spark, d):
 def thresholds_events(spark, d):
     """Thresholds over groups that grow with the table."""
     rows = V.rain(spark, d).select("cell", "value", F.make_date(F.lit(2024), F.col("cell") % 3 + 1, F.lit(1)).alias("month_start"))
-    return _rounded_thresholds(monthly.monthly_thresholds(rows, ["cell"], hot_rows=HOT_ROWS))
+    return _rounded_thresholds(monthly.monthly_thresholds(rows, ["cell"], bounded=False))
 
 
 # ------------------------------------------------------------------ ensemble and categories
@@ -346,8 +362,8 @@ def ens_stats(spark, d):
 
 @query
 def ens_stats_daily(spark, d):
-    stats = ensemble.ensemble_statistics(V.pred(spark, d), ["cell", "lead"])
-    return stats.select("cell", "lead", *[out(c).alias(c) for c in ("mean", "median", "std", "iqr", "spread")])
+    stats = ensemble.ensemble_statistics(V.pred(spark, d), ["cell", *STEP[:3]])
+    return stats.select("cell", *STEP[:3], *[out(c).alias(c) for c in ("mean", "median", "std", "iqr", "spread")])
 
 
 def _with_clim(spark, d):
@@ -372,8 +388,6 @@ def anomaly_rel(spark, d):
 
 def _counts(spark, d, unit: Column | None = None):
     """Monthly members and thresholds, and the members per category."""
-    from caelum.plans.evaluation import member_counts
-
     months, ref = _monthly_members(spark, d, V.pred), _monthly_ref(spark, d)
     if unit is not None:
         months = months.withColumn("value", F.col("value") / unit)
@@ -426,12 +440,33 @@ def _dry_unit() -> Column:
     return 20000.0 * (1 + F.col("cell") % 5)
 
 
+@query
+def cat_sentinel(spark, d):
+    """Twenty members, of which exactly a quarter or seven can make up the largest category."""
+    lines = V.shipped_orders(spark, d)
+    value = F.max("l_extendedprice").alias("value")
+    months = lines.groupBy("cell", "month_start", (F.col("l_orderkey") % 20).alias("ens")).agg(value).withColumn("issue_date", F.col("month_start"))
+    counts = member_counts(months, monthly.monthly_thresholds(_monthly_ref(spark, d), ["cell"]), ["cell"], ["issue_date"])
+    code = lambda p, s: cat.encode_category(cat.best_category([cat.probability(F.col(c), F.lit(20)) for c in cat.count_columns(p)]), p, s)
+    names = [(p, s) for p in ("tercile", "quintile") for s in ("equal", "below")]
+    return counts.select("cell", "month_start", *[out(code(p, s)).alias(f"{p}_{s}") for p, s in names])
+
+
+@query
+def cat_nominal(spark, d):
+    """Probabilities by the ensemble size of the issue's year: 25 members until 2016, 51 from 2017 on."""
+    _, counts = _counts(spark, d)
+    issue = F.add_months("issue_date", F.when(F.col("cell") % 2 == 1, 17 * 12).otherwise(0))
+    share = cat.probability(F.col("tercile_3"), cat.nominal_members(issue))
+    return counts.select("cell", "month_start", issue.alias("issue_date"), out(share).alias("above"))
+
+
 @query
 def cat_masked(spark, d):
     """Dry cells undecided, cells without a first member masked."""
     months, counts = _counts(spark, d, _dry_unit())
     # the first member of every fourth cell is taken as missing
-    gone = (F.col("cell") % 4 == 0) & (F.month("month_start") == 1) & (F.col("ens") == 1)
+    gone = (F.col("cell") % 4 == 0) & F.month("month_start").isin(1, 4) & (F.col("ens") == 1)
     holed = months.withColumn("value", F.when(~gone, F.col("value")))
     mask = cat.first_present(holed, ["cell", "issue_date"])
     df = counts.join(mask, ["cell", "issue_date"])
@@ -456,6 +491,24 @@ def eval_product(spark, d):
     return evaluate(months, clim, limits, ["cell"], ["issue_date"], MEMBERS)
 
 
+@query
+def eval_precip(spark, d):
+    """Measures of precipitation: dry cells are undecided."""
+    scaled = lambda df: df.withColumn("value", F.col("value") / _dry_unit())
+    months, ref = scaled(_monthly_members(spark, d, V.pred)), scaled(_monthly_ref(spark, d))
+    clim = monthly.reference_climatology(scaled(V.obs(spark, d)), ["cell"])
+    return evaluate(months, clim, monthly.monthly_thresholds(ref, ["cell"]), ["cell"], ["issue_date"], MEMBERS, precip=True)
+
+
+@query
+def normals_store(spark, d):
+    """Climatology and thresholds of a reference store, from one table of monthly sums."""
+    placed = _placed_obs(spark, d).withColumn("variable", F.lit("tp"))
+    clim, limits = products.normals(placed)
+    both = clim.withColumnRenamed("value", "clim").join(limits, ["variable", "lat", "lon", "month"])
+    return both.select("lat", "lon", "month", out("clim").alias("clim"), *[out(c).alias(c) for c in ("q20", "q33", "q90")])
+
+
 # ------------------------------------------------------------------ raw fields
 
 
@@ -482,18 +535,48 @@ def deaccumulate(spark, d):
 
 @query
 def raw_to_daily(spark, d):
-    """Interleaving, units, de-accumulation and dates of a raw table with several variables."""
+    """Interleaving, units, de-accumulation and dates of a raw table with several variables.
+
+    Some values are missing in each way sources have, some rows have no variable, and some leads are absent.
+    """
     block = LEADS * RAW_MEMBERS
-    raw = V.table(spark, d, "events").select(
-        F.when(F.col("event_id") % 2 == 0, "var228").otherwise("var55").alias("variable"),
-        F.add_months(F.lit("2000-01-01").cast("date"), F.floor(F.col("event_id") / (2 * block)).cast("int")).alias("issue_date"),
-        (F.floor(F.col("event_id") / 2) % block).alias("pos"),
+    e = F.col("event_id")
+    value = F.when(e % 101 == 0, F.lit(float("nan"))).when(e % 103 == 0, F.lit(None)).otherwise(F.col("value"))
+    raw = V.table(spark, d, "events").where(e % 89 != 0).select(
+        F.when(e % 97 == 0, F.lit(None)).when(e % 2 == 0, "var228").otherwise("var55").alias("variable"),
+        F.add_months(F.lit("2000-01-01").cast("date"), F.floor(e / (2 * block)).cast("int")).alias("issue_date"),
+        (F.floor(e / 2) % block).alias("pos"),
         F.lit(1.5).alias("lat"),
-        F.lit(2.5).alias("lon"),
-        "value",
+        (2.5 + e % 2).alias("lon"),
+        value.alias("value"),
     )
     daily = prep.raw_to_daily(raw)
-    return daily.select("variable", "issue_date", "ens", "lead", "valid_date", out("value").alias("value"))
+    return daily.select("variable", "issue_date", "ens", "lead", "lon", "valid_date", out("value").alias("value"))
+
+
+@query
+def prepare(spark, d):
+    """Raw axis of a global field to daily values on the target grid."""
+    at, e = F.col("event_id") % 25, F.floor(F.col("event_id") / 25)
+    block = LEADS * RAW_MEMBERS
+    raw = V.table(spark, d, "events").select(
+        F.lit("var228").alias("variable"),
+        F.add_months(F.lit("2000-01-01").cast("date"), F.floor(e / block).cast("int")).alias("issue_date"),
+        (e % block).alias("pos"),
+        (10.0 + F.floor(at / 5)).alias("lat"),
+        (352.0 + 4 * (at % 5)).alias("lon"),
+        "value",
+    )
+    box = Domain("box", (-5.0, 9.0, 11.0, 15.0), ("tp",), res=1.0)
+    daily = prep.raw_to_daily(prep.cut_out(raw, box, halo=3.0))
+    res = prep.to_target_grid(daily, box, regrid.Axes(10.0, 1.0, -8.0, 4.0), ["issue_date", "ens", "lead"])
+    return res.select("lat", "lon", "issue_date", "ens", "lead", out("value").alias("value"))
+
+
+@query
+def drop_auxiliary(spark, d):
+    lines = _lines(spark, d).select("l_orderkey", "l_linenumber", F.col("l_tax").alias("time_bnds"), F.col("l_discount").alias("bnds"), "l_quantity")
+    return reshape.drop_auxiliary(lines)
 
 
 @query
@@ -738,8 +821,8 @@ def regrid_bilinear(spark, d):
 # ------------------------------------------------------------------ sources and sinks
 
 
-def _placed_obs(spark, d):
-    return V.obs(spark, d).select(
+def _placed(df: DataFrame) -> DataFrame:
+    return df.select(
         "cell",
         (10.0 + F.floor(F.col("cell") / 5)).alias("lat"),
         fields.wrap_longitude(352.0 + 4 * (F.col("cell") % 5)).alias("lon"),
@@ -748,9 +831,17 @@ def _placed_obs(spark, d):
     )
 
 
+def _placed_obs(spark, d):
+    return _placed(V.obs(spark, d))
+
+
+def _placed_history(spark, d):
+    return _placed(V.history(spark, d))
+
+
 @query
 def axes(spark, d):
-    df = _placed_obs(spark, d)
+    df = _placed_history(spark, d)
     parts = [
         scan.axis(df, name).select(F.lit(name).alias("axis"), F.col(name).cast("double").alias("at"))
         for name in ("lat", "lon")
@@ -761,7 +852,7 @@ def axes(spark, d):
 
 @query
 def coverage(spark, d):
-    return scan.coverage(_placed_obs(spark, d))
+    return scan.coverage(_placed_history(spark, d))
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -771,39 +862,98 @@ def _stored(df: DataFrame) -> DataFrame:
 @query
 def roundtrip_packed(spark, d):
     path = scratch_path(spark, "packed")
-    sink.write_packed(_stored(V.obs(spark, d)), path, "ssrd", ["issue_year"], ["cell", "valid_date"])
+    sink.write_packed(_stored(V.history(spark, d)), path, "ssrd", ["issue_year"], ["cell", "valid_date"])
     back = sink.read_packed(spark.read.parquet(path), "ssrd")
     return back.select("cell", "valid_date", out("value").alias("value"))
 
 
+def _issues(spark, d):
+    """Hindcast days as two variables, as a forecast store takes them; some values are NaN."""
+    rows = _issued(V.mdl(spark, d))
+    names = F.when(F.col("cell") % 2 == 0, "tp").otherwise("ssrd")
+    value = F.when(F.col("cell") % 7 == 3, F.lit(float("nan"))).otherwise(F.col("value"))
+    return rows.select(names.alias("variable"), "issue_date", "valid_date", "ens", F.col("cell").cast("double").alias("lat"), F.lit(0.0).alias("lon"), value.alias("value"))
+
+
+STORE = Domain("store", (0.0, 25.0, 0.0, 1.0), ("tp", "ssrd"), syr=1996, eyr=1998)
+
+
+@query
+def roundtrip_issue(spark, d):
+    """Written twice as packed issues, read back unpacked."""
+    path = scratch_path(spark, "issues")
+    products.write_issue(_issues(spark, d), path, STORE)
+    products.write_issue(_issues(spark, d).where(F.year("issue_date") == 1997), path, STORE)
+    back = products.read_issues(spark, path)
+    return back.select("variable", "issue_date", "valid_date", "ens", "lat", out("value").alias("value"))
+
+
+@query
+def period_partition(spark, d):
+    """Rows read back from the partitions labelled as calibration, and from one labelled otherwise."""
+    path = scratch_path(spark, "periods")
+    products.write_issue(_issues(spark, d), path, STORE)
+    parts = [products.read_issues(spark, path, period=p) for p in ("calib", "1999_1999")]
+    rows = parts[0].unionByName(parts[1])
+    return rows.groupBy("period", "variable", "issue_year", "issue_month").agg(F.count("*").alias("n"), F.count("value").alias("n_value"))
+
+
 @query
 def append_idempotent(spark, d):
     """Writing an issue twice leaves it once; other issues stay."""
     path = scratch_path(spark, "append")
-    df = _stored(V.obs(spark, d))
+    df = _stored(V.history(spark, d))
     sink.write_partitions(df, path, ["issue_year"], ["cell", "valid_date"])
     sink.write_partitions(df.where(F.col("issue_year") == 1997), path, ["issue_year"], ["cell", "valid_date"])
     return spark.read.parquet(path).select("cell", "valid_date", out("value").alias("value"))
 
 
+@query
+def replace_store(spark, d):
+    """Replacing a store leaves nothing of what it held before."""
+    path = scratch_path(spark, "replace")
+    df = _stored(V.history(spark, d))
+    sink.write_partitions(df, path, ["issue_year"], ["cell", "valid_date"])
+    sink.write_partitions(df.where(F.col("issue_month") <= 6), path, ["issue_year", "issue_month"], ["cell", "valid_date"], replace_all=True)
+    return spark.read.parquet(path).select("cell", "valid_date", out("value").alias("value"))
+
+
+def _layout(df: DataFrame, whole: str, along: str) -> DataFrame:
+    """Of each ``whole``: in how many files it is, and whether ``along`` rises there without another in between."""
+    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    rows = df.select(whole, along, "value", file.alias("file"), row.alias("row"))
+    order = Window.partitionBy(whole, "file").orderBy("row")
+    rows = rows.withColumn("rises", F.coalesce(F.col(along) > F.lag(along).over(order), F.lit(True)))
+    return rows.groupBy(whole).agg(
+        F.countDistinct("file").alias("n_files"),
+        F.bool_and("rises").alias("in_order"),
+        (F.max("row") - F.min("row") + 1 == F.count("*")).alias("in_one_piece"),
+        F.count("*").alias("n"),
+        out(F.max("value")).alias("top"),
+    )
+
+
 @query
 def layout_series(spark, d):
     path = scratch_path(spark, "series")
-    sink.series_layout(V.obs(spark, d), ["cell"], ["valid_date"]).write.parquet(path)
-    return spark.read.parquet(path).select("cell", "valid_date", out("value").alias("value"))
+    sink.series_layout(V.history(spark, d), ["cell"], ["valid_date"]).write.parquet(path)
+    return _layout(spark.read.parquet(path), "cell", "valid_date")
 
 
 @query
 def layout_map(spark, d):
     path = scratch_path(spark, "maps")
-    sink.map_layout(V.obs(spark, d), "valid_date", ["cell"]).write.parquet(path)
-    return spark.read.parquet(path).select("cell", "valid_date", out("value").alias("value"))
+    sink.map_layout(V.history(spark, d), "valid_date", ["cell"]).write.parquet(path)
+    return _layout(spark.read.parquet(path), "valid_date", "cell")
 
 
 @query
 def scan_store(spark, d):
+    """Some days of a year and season; NaN and the fill value become NULL."""
     path = scratch_path(spark, "store")
-    df = _stored(V.obs(spark, d)).withColumn("variable", F.lit("tp"))
+    day = F.dayofmonth("valid_date")
+    value = F.when(day == 3, F.lit(float("nan"))).when(day == 5, F.lit(-9999.0)).otherwise(F.col("value"))
+    df = _stored(V.history(spark, d)).withColumn("variable", F.lit("tp")).withColumn("value", value)
     sink.write_partitions(df, path, ["variable", "issue_year", "issue_month"], ["cell", "valid_date"])
     got = scan.scan_store(spark, path, ["tp"], "1996,0,1997", "6,7", "issue_year", "issue_month")
     return got.select("cell", "valid_date", out("value").alias("value"))
@@ -819,14 +969,6 @@ def scan_members(spark, d):
     return df.select("ens", "event_id", out("value").alias("value"))
 
 
-@query
-def period_partition(spark, d):
-    """Which stored years form the calibration period."""
-    years = V.obs(spark, d).groupBy("cell").agg(F.min(F.year("valid_date")).alias("first"), F.max(F.year("valid_date")).alias("last"))
-    calib = (F.col("first") == 1995) & (F.col("last") == 1999)
-    return years.select("cell", F.when(calib, sink.period_label(1995, 1999, 1995, 1999)).otherwise("other").alias("period"))
-
-
 def _dates_as_text(fn):
     """Dates are returned as text, since engines hand them to clients in different types."""
 

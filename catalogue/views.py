@@ -1,8 +1,9 @@
 """The given tables read as forecasts: reference, hindcast, forecast, rain and a source grid.
 
-``obs``, ``mdl`` and ``pred`` keep one value per key (cell, date, line number), so a cell holds at
-most 5 years x 366 days x 7 line numbers whatever the size of the tables. ``rain`` keeps every
-event, so its cells grow with the tables.
+Forecasts are issued on 1 April and 1 October; every day belongs to the last issue before it, so October issues cross New
+Year. Days of 1995-1999 are the calibration period (``obs``, ``mdl``), days since 2000 the forecast (``pred``), ``history``
+has all years. All keep one value per key (cell, date, line number), so a cell holds at most 7 values a day
+whatever the size of the tables. ``rain`` keeps every event, so its cells grow with the tables.
 """
 
 from __future__ import annotations
@@ -32,34 +33,42 @@ def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def obs(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+def shipped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all years by cell, month and order."""
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").cast("int").alias("cell"))
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_extendedprice", F.trunc("l_shipdate", "month").alias("month_start"))
+    return lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+
+
+def history(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     return (
         (lines or shipped(spark, sf_dir))
-        .where(F.year("valid_date").between(1995, 1999))
         .groupBy("cell", "valid_date")
         .agg(F.max("l_extendedprice").alias("value"))
     )
 
 
-def _steps(lines: DataFrame, first: int, last: int) -> DataFrame:
-    return (
-        lines.where(F.year("valid_date").between(first, last) & (F.dayofyear("valid_date") <= 215))
-        .groupBy(
-            "cell",
-            F.year("valid_date").alias("issue_year"),
-            (F.dayofyear("valid_date") - 1).alias("lead"),
-            F.col("l_linenumber").alias("ens"),
-        )
-        .agg((F.max("l_extendedprice") * 1.2 + 50).alias("value"))
+def obs(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    return history(spark, sf_dir, lines).where(F.year("valid_date").between(1995, 1999))
+
+
+def _steps(lines: DataFrame) -> DataFrame:
+    month = F.month("valid_date")
+    year = (F.year("valid_date") - F.when(month < 4, 1).otherwise(0)).alias("issue_year")
+    issue_month = F.when(month.between(4, 9), 4).otherwise(10).alias("issue_month")
+    issued = lines.select("cell", year, issue_month, "valid_date", "l_linenumber", "l_extendedprice")
+    lead = F.datediff("valid_date", F.make_date("issue_year", "issue_month", F.lit(1))).alias("lead")
+    return issued.groupBy("cell", "issue_year", "issue_month", lead, F.col("l_linenumber").alias("ens")).agg(
+        (F.max("l_extendedprice") * 1.2 + 50).alias("value")
     )
 
 
 def mdl(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    return _steps(lines or shipped(spark, sf_dir), 1995, 1999)
+    return _steps((lines or shipped(spark, sf_dir)).where(F.year("valid_date").between(1995, 1999)))
 
 
 def pred(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    return _steps(lines or shipped(spark, sf_dir), 2000, 2000)
+    return _steps((lines or shipped(spark, sf_dir)).where(F.year("valid_date") >= 2000))
 
 
 def rain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,21 +100,22 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The same views in SQL, for the oracles.
+_STEPS = """
+select cell, issue_year, issue_month, cast(dt - make_date(issue_year, issue_month, 1) as int) as "lead", ens, max(price) * 1.2 + 50 as value
+from (select cast(s_nationkey as int) cell, cast(l_shipdate as date) dt, l_linenumber ens, l_extendedprice price,
+    cast(year(l_shipdate) - case when month(l_shipdate) < 4 then 1 else 0 end as int) issue_year,
+    case when month(l_shipdate) between 4 and 9 then 4 else 10 end issue_month
+  from lineitem join supplier on l_suppkey = s_suppkey where year(l_shipdate) {}) group by all"""
 VIEW_SQL = {
+    "history": """
+select cast(s_nationkey as int) cell, cast(l_shipdate as date) valid_date, max(l_extendedprice) value
+from lineitem join supplier on l_suppkey = s_suppkey group by 1, 2""",
     "obs": """
 select cast(s_nationkey as int) cell, cast(l_shipdate as date) valid_date, max(l_extendedprice) value
 from lineitem join supplier on l_suppkey = s_suppkey
 where year(l_shipdate) between 1995 and 1999 group by 1, 2""",
-    "mdl": """
-select cast(s_nationkey as int) cell, cast(year(l_shipdate) as int) issue_year,
-  cast(dayofyear(l_shipdate) - 1 as int) lead, l_linenumber ens, max(l_extendedprice) * 1.2 + 50 value
-from lineitem join supplier on l_suppkey = s_suppkey
-where year(l_shipdate) between 1995 and 1999 and dayofyear(l_shipdate) <= 215 group by 1, 2, 3, 4""",
-    "pred": """
-select cast(s_nationkey as int) cell, cast(year(l_shipdate) as int) issue_year,
-  cast(dayofyear(l_shipdate) - 1 as int) lead, l_linenumber ens, max(l_extendedprice) * 1.2 + 50 value
-from lineitem join supplier on l_suppkey = s_suppkey
-where year(l_shipdate) = 2000 and dayofyear(l_shipdate) <= 215 group by 1, 2, 3, 4""",
+    "mdl": _STEPS.format("between 1995 and 1999"),
+    "pred": _STEPS.format(">= 2000"),
     "rain": """
 select cast(user_id % 5 as int) cell,
   case when event_type in ('view','click') then 'obs'

@@ -1,10 +1,10 @@
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from catalogue.oracles import ORACLES
+from catalogue.queries import QUERIES
 from tools.compare import connect, difference
 
-QUERIES, ORACLES = queries(), oracle_sql()
-
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)

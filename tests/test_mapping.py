@@ -54,16 +54,16 @@ def frames(spark, data):
     return spark.createDataFrame(rows, "g int, k int, value double, draw double"), flat(obs), flat(mdl)
 
 
-@pytest.mark.parametrize("hot_rows", [None, 0])
+@pytest.mark.parametrize("bounded", [True, False])
 @pytest.mark.parametrize(
     "rule,precip", [("delta_additive", False), ("constant", True), ("delta_scaling", True), ("distribution", False)]
 )
-def test_against_brute_force(spark, rule, precip, hot_rows):
+def test_against_brute_force(spark, rule, precip, bounded):
     """Both routes, the sliced one with slices of a few values."""
     data = samples(7)
     params = CorrectionParams(nquants=101, dry_thresh=0.1, low_extrapol=rule, up_extrapol=rule)
     pred, obs, mdl = frames(spark, data)
-    got = correct_groups(pred, obs, mdl, ["g"], ["k"], params, precip, hot_rows=hot_rows, slice_rows=9)
+    got = correct_groups(pred, obs, mdl, ["g"], ["k"], params, precip, bounded=bounded, slice_rows=9)
     found = {(r["g"], r["k"]): r["corrected"] for r in got.collect()}
     assert len(found) == sum(len(v) for v in data[2].values())
     for g, members in data[2].items():
@@ -81,12 +81,12 @@ def test_tied_maximum(spark):
     pred = spark.createDataFrame([(1, 0, 180.0)], "g int, k int, value double")
     obs = spark.createDataFrame([(1, float(v)) for v in list(range(1, 12)) + [12, 12, 12]], SCHEMA)
     mdl = spark.createDataFrame([(1, float(v)) for v in range(1, 200)], SCHEMA)
-    for hot in (None, 0):
+    for bounded in (True, False):
         plain = CorrectionParams(nquants=100)
         filled = CorrectionParams(nquants=100, fill_tied_max=True)
-        row = correct_groups(pred, obs, mdl, ["g"], ["k"], plain, hot_rows=hot).first()
+        row = correct_groups(pred, obs, mdl, ["g"], ["k"], plain, bounded=bounded).first()
         assert 13 / 15 < row["rank"] < 14 / 15 and row["corrected"] is None
-        assert correct_groups(pred, obs, mdl, ["g"], ["k"], filled, hot_rows=hot).first()["corrected"] == 12.0
+        assert correct_groups(pred, obs, mdl, ["g"], ["k"], filled, bounded=bounded).first()["corrected"] == 12.0
 
 
 def test_identity_and_order(spark):
@@ -104,8 +104,8 @@ def test_identity_and_order(spark):
 def test_gumbel_routes_agree(spark):
     params = CorrectionParams(nquants=50, up_extrapol="distribution", low_extrapol="distribution")
     pred, obs, mdl = frames(spark, samples(11))
-    a = correct_groups(pred, obs, mdl, ["g"], ["k"], params, True, hot_rows=None)
-    b = correct_groups(pred, obs, mdl, ["g"], ["k"], params, True, hot_rows=0, slice_rows=20)
+    a = correct_groups(pred, obs, mdl, ["g"], ["k"], params, True, bounded=True)
+    b = correct_groups(pred, obs, mdl, ["g"], ["k"], params, True, bounded=False, slice_rows=20)
     j = a.alias("a").join(b.alias("b"), ["g", "k"], "full")
     for c in ("corrected", "gumbel_loc", "gumbel_scale"):
         x, y = F.col(f"a.{c}"), F.col(f"b.{c}")
@@ -154,14 +154,14 @@ def calendar_inputs(spark):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [None, 0])
-def test_calendar_against_brute_force(spark, hot_rows):
+@pytest.mark.parametrize("bounded", [True, False])
+def test_calendar_against_brute_force(spark, bounded):
     from datetime import date, timedelta
 
     pred, obs, mdl, (p, o, m) = calendar_inputs(spark)
     params = CorrectionParams(nquants=40, window=10, mdl_window=7)
     got = bias_correct(
-        pred, obs, mdl, ["cell"], ["issue_year", "ens"], 1995, params, hot_rows=hot_rows, slice_rows=25
+        pred, obs, mdl, ["cell"], ["issue_year", "ens"], 1995, params, bounded=bounded, slice_rows=25
     )
     found = {(r["cell"], r["lead"], r["ens"]): r["corrected"] for r in got.collect()}
     assert len(found) == len(p)

@@ -36,8 +36,7 @@ def test_regrid_plane(spark):
     source = spark.createDataFrame(src, "lat_idx int, lon_idx int, t int, value double")
     target = regrid.target_grid(spark, (0, 6, 0, 3), 0.5)
     rows = regrid.regrid_bilinear(source, target, regrid.Axes(0, 1, 0, 2), ["t"]).collect()
-    # the target on the missing corner has no other corner, so it has no row
-    assert len(rows) == 2 * 7 * 13 - 1
+    assert len(rows) == 2 * 7 * 13
     for r in rows:
         if r["t"] == 100 and r["lat"] > 2 and r["lon"] > 4:
             assert r["value"] is None
@@ -45,6 +44,27 @@ def test_regrid_plane(spark):
             assert r["value"] == pytest.approx(2 * r["lat"] + 3 * r["lon"] + r["t"])
 
 
+def test_regrid_beyond_the_source(spark):
+    """Every field gets every target, NULL where its corners are missing."""
+    source = spark.createDataFrame([(i, j, t, float(i + 10 * j)) for i in range(3) for j in range(3) for t in (0, 1)] + [(0, 0, 2, 5.0)], "lat_idx int, lon_idx int, t int, value double")
+    target = regrid.target_grid(spark, (-3, 7, -3, 7), 1.0)
+    rows = {(r["t"], r["lat"], r["lon"]): r["value"] for r in regrid.regrid_bilinear(source, target, regrid.Axes(0, 1, 0, 1), ["t"]).collect()}
+    assert len(rows) == 3 * 121
+    for (t, lat, lon), v in rows.items():
+        inside = 0 <= lat <= 2 and 0 <= lon <= 2
+        want = (5.0 if (lat, lon) == (0, 0) else None) if t == 2 else lat + 10 * lon if inside else None
+        assert v == want, (t, lat, lon, v)
+    assert regrid.regrid_bilinear(source.limit(0), target, regrid.Axes(0, 1, 0, 1), ["t"]).count() == 0
+
+
+def test_slices_follow_the_values(spark):
+    """One far outlier moves no cut: no slice holds twice the mean."""
+    df = spark.range(1_000_000).select(F.lit(1).alias("g"), (280 + F.col("id") / 1e5).alias("x")).union(spark.range(1).select(F.lit(1), F.lit(-9999.0)))
+    sizes = [r[1] for r in quantiles.sliced(df, ["g"], "x", F.lit(1_000_001), 10_000).groupBy("slice").count().collect()]
+    mean = sum(sizes) / len(sizes)
+    assert sum(sizes) == 1_000_001 and len(sizes) > 80 and max(sizes) < 2 * mean
+
+
 def test_calendar_ring(spark):
     """Day 5 with 15 days around it reaches into the old year, at its own length."""
     days = [dt.date(y, 1, 1) + dt.timedelta(days=k) for y in (1995, 1996) for k in range(366) if (dt.date(y, 1, 1) + dt.timedelta(days=k)).year == y]
@@ -74,7 +94,7 @@ def test_sliced_quantiles(spark):
     df = spark.createDataFrame(rows, "g int, value double")
     wanted = {"a": (0.33, "linear"), "b": (0.5, "linear"), "c": (0.25, "midpoint"), "d": (0.9, "midpoint")}
     for hot in (None, 0, 350):
-        got = {r["g"]: r for r in quantiles.group_quantiles(df, ["g"], "value", wanted, hot, slice_rows=20).collect()}
+        got = {r["g"]: r for r in quantiles.group_quantiles(df, ["g"], "value", wanted, hot is None, slice_rows=20).collect()}
         assert len(got) == 5 and got[5]["a"] is None
         for g, vs in data.items():
             for name, (p, method) in wanted.items():
@@ -204,6 +224,8 @@ def test_labels():
 
 
 def test_cross_validation_years(spark):
-    df = spark.createDataFrame([(y, float(y)) for y in range(2000, 2005)], "y int, value double")
-    kept = windows.without_years(df, F.col("y"), spark.createDataFrame([(2001,), (2003,)], "year int"))
-    assert sorted(r["y"] for r in kept.collect()) == [2000, 2002, 2004]
+    """A predicted year keeps the other years' values, missing ones counted apart."""
+    df = spark.createDataFrame([([(y, float(-y)) for y in range(2000, 2004)] + [(2001, None), (2002, None)], 2001)], "pool array<struct<year:int,value:double>>, y int")
+    row = df.select(windows.other_years("pool", "y").alias("v"), windows.other_years_missing("pool", "y").alias("n")).first()
+    assert row["v"] == [-2003.0, -2002.0, -2000.0] and row["n"] == 1
+
