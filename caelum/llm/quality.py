@@ -144,7 +144,7 @@ def resample(
     temperature: float = 0.1,
     bound: int = 20_000,
     least_z: float = 6.0,
-    least_log: float = 2.0,
+    least_log: float = 3.5,
     seed: int = 0,
     text: str = "text",
 ) -> tuple[DataFrame, dict[int, float], int | None]:

@@ -241,7 +241,7 @@ def test_search_ties_and_odd_vectors(spark):
     rnd = np.random.default_rng(4)
     vectors = [(k, [float(x) for x in rnd.normal(size=6)]) for k in range(300)]
     vectors += [(1000 + k, vectors[7][1]) for k in range(150)]  # many equal vectors
-    vectors += [(2000, None), (2050, [1.0, None, 0, 0, 0, 0]), (2100, [float("nan")] * 6), (2150, [float("inf")] * 6), (2200, []), (2250, [1.0, 2.0]), (2251, [3.0, 4.0]), (None, [9.0] * 6), (2300, [3e38] * 6), (50, vectors[50][1])]
+    vectors += [(2000, None), (2050, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2100, [float("nan")] * 6), (2150, [float("inf")] * 6), (2200, []), (2250, [1.0, 2.0]), (2251, [3.0, 4.0]), (None, [9.0] * 6), (2300, [3e38] * 6), (50, vectors[50][1])]
     df = spark.createDataFrame([(*v, 0) for v in vectors], "vec_id long, embedding array<float>, score int")
     got = sorted(rows(exact_search.top_k(df, F.col("vec_id") % 50 == 0, shard_rows=64, leaf=8, group=4)))
     good = {k: np.floor(256 * np.array(v, np.float32).astype(np.float64)) for k, v in vectors if k is not None and v and None not in v and np.isfinite(v).all() and max(map(abs, v)) < 1e9}
@@ -290,8 +290,8 @@ def test_quality(spark):
         words = [rnd.choice(vocabulary) for _ in range(rnd.randrange(20, 400))]
         bad = k % 5 == 0
         if bad:
-            for _ in range(3):
-                words.insert(rnd.randrange(len(words)), rnd.choice(["nasty", "awful"]))
+            for word in ("nasty", "awful"):
+                words.insert(rnd.randrange(len(words)), word)
         docs.append((k, " ".join(words)))
         if k % 2 == 0:
             labels.append((k, 1, int(bad)))
