@@ -9,6 +9,7 @@ from caelum.functions import codec, fields
 from caelum.functions.normal import normal_quantile
 
 
+# Period texts and the years or months they stand for.
 @pytest.mark.parametrize(
     "text,want",
     [
