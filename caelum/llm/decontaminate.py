@@ -93,14 +93,12 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-FOUND = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+FOUND = "struct<n_words:long,spans:array<struct<start:long,end:long>>,items:array<string>>"
 
 
 def _scan(docs: DataFrame, grams: Grams, text: str) -> DataFrame:
-    """Adds or widens ``_found``: words, spans of hit words and items of each document."""
+    """Fills or widens the last column: words, spans of hit words and items of each document."""
     shared = docs.sparkSession.sparkContext.broadcast(grams)
-    if "_found" not in docs.columns:
-        docs = docs.withColumn("_found", F.lit(None).cast(f"struct<{FOUND.replace(' long', ':long').replace(' array', ':array')}>"))
     at = docs.columns.index(text)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +121,7 @@ def _scan(docs: DataFrame, grams: Grams, text: str) -> DataFrame:
 
 
 def scan_benchmark(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text", block_bytes: int = 1 << 22) -> DataFrame:
-    """``docs`` with ``_found`` (n_words, spans of hit words, items) after them.
+    """``docs`` and a last column (n_words, spans of hit words, items), named ``_found`` unless ``docs`` has that name.
 
     A window is ``n`` consecutive words of an item, or all of a shorter item. Items are dealt by hash into as many blocks
     as keep each block's text below ``block_bytes``, the size that is measured before anything is sent; one block
@@ -131,6 +129,10 @@ def scan_benchmark(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str
     one before. So memory is bounded whatever the size of the benchmark, and documents are never shuffled.
     A single item above the bound makes a block of its own.
     """
+    name = "_found"
+    while name in docs.columns:
+        name += "_"
+    docs = docs.withColumn(name, F.lit(None).cast(FOUND))
     items = benchmark.select("item_id", F.col("text").alias("_text")).where("_text is not null")
     size = F.sum(F.octet_length("_text"))
     total = items.agg(size.alias("b")).first()["b"] or 0
@@ -148,13 +150,14 @@ def scan_benchmark(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str
 
 def report(found: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of scanned documents."""
-    hit = F.aggregate("_found.spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    name = found.columns[-1]
+    hit = F.aggregate(f"{name}.spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return found.select(
         "doc_id",
-        F.col("_found.n_words").alias("n_words"),
+        F.col(f"{name}.n_words").alias("n_words"),
         hit.alias("n_hit"),
-        F.size("_found.items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", F.array_sort("_found.items")), 256).alias("items_sha256"),
+        F.size(f"{name}.items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort(f"{name}.items")), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
 
@@ -171,7 +174,7 @@ def decontaminate(
     """
     found = scan_benchmark(docs, benchmark, n, text, block_bytes)
     if remove == "documents":
-        return found.where(F.size("_found.spans") == 0).drop("_found")
+        return found.where(F.size(f"{found.columns[-1]}.spans") == 0).select(*[f"`{c}`" for c in docs.columns])
     at = docs.columns.index(text)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -153,7 +153,7 @@ def test_decontamination_in_blocks(spark):
     bench = [(1, "A b c d e f g h i j k"), (2, "short item"), (3, None), (4, "..."), (None, "z y x w v u t s r q")]
     docs = [(1, "x, a B c. d e f g h i j k l"), (2, "a short item; A SHORT ITEM"), (3, None), (4, ""), (5, "z y x w v u t s r q p"), (6, "b c d e f g h i j"), (6, "short-item")]
     b = spark.createDataFrame(bench, "item_id long, text string")
-    df = spark.createDataFrame([(*d, 0) for d in docs], "doc_id long, text string, n_words int")
+    df = spark.createDataFrame([(*d, 0) for d in docs], "doc_id long, text string, _found int")
     whole = sorted(rows(decontaminate.report(decontaminate.scan_benchmark(df, b))))
     assert whole == sorted(rows(decontaminate.report(decontaminate.scan_benchmark(df, b, block_bytes=25))))
     assert [r[:4] for r in whole] == [(1, 13, 11, 1), (2, 6, 4, 1), (3, 0, 0, 0), (4, 0, 0, 0), (5, 11, 10, 0), (6, 2, 2, 1), (6, 9, 0, 0)]
