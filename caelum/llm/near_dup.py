@@ -241,8 +241,7 @@ def near_duplicates(
     never name one that has another member. Repeated rows are members like others. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    rows = cut(sketches(docs, words, k, text), "near-sketches").withColumn("rid", F.monotonically_increasing_id())
-    rows = cut(rows, "near-rows")
+    rows = cut(sketches(docs, words, k, text).withColumn("rid", F.monotonically_increasing_id()), "near-rows")
     full = rows.where("n > 0")
     heads = full.groupBy("d1", "d2").agg(F.min("rid").alias("cid"), F.min("_doc").alias("doc"))
     heads = cut(heads, "near-classes")
