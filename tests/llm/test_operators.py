@@ -310,6 +310,59 @@ def test_quality(spark):
     assert quality.sample(df, lab.limit(0)).count() == len(docs) and quality.sample(df.limit(0), lab).count() == 0
 
 
+def test_quality_old(spark):
+    """Bad documents hold one or both of two words, three times in all."""
+    rnd = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(300)]
+    docs, labels = [], []
+    for k in range(1200):
+        words = [rnd.choice(vocabulary) for _ in range(rnd.randrange(20, 400))]
+        if k % 5 == 0:
+            for _ in range(3):
+                words.insert(rnd.randrange(len(words)), rnd.choice(["nasty", "awful"]))
+        docs.append((k, " ".join(words)))
+        if k % 2 == 0:
+            labels.append((k, 1, int(k % 5 == 0)))
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    ids = [r[0] for r in quality.sample(spark.createDataFrame(docs, DOCS), lab).select("doc_id").collect()]
+    assert not [d for d in ids if d % 5 == 0] and len(ids) >= 0.99 * 960
+
+
+@pytest.mark.parametrize("n", [1000, 8000])
+def test_quality_one_word_and_repeats(spark, n):
+    """Bad documents hold one of four words once, or repeat words that differ from one document to the next."""
+    rnd = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(2000)]
+    docs, labels, kinds = [], [], {}
+    for k in range(n):
+        words = [rnd.choice(vocabulary) for _ in range(rnd.randrange(20, 400))]
+        kinds[k] = {0: "toxic", 1: "repeats"}.get(rnd.randrange(10))
+        if kinds[k] == "toxic":
+            words.insert(rnd.randrange(len(words)), rnd.choice(["nasty", "awful", "horrid", "vile"]))
+        elif kinds[k]:
+            words = [w for _ in range(rnd.randrange(1, 6)) for w in [f"x{rnd.randrange(10**6)}"] * rnd.randrange(15, 40)]
+        docs.append((k, " ".join(words)))
+        if rnd.random() < 0.4:
+            labels.append((k, int(kinds[k] != "repeats"), int(kinds[k] == "toxic")))
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    kept = [kinds[r[0]] for r in quality.sample(spark.createDataFrame(docs, DOCS), lab).select("doc_id").collect()]
+    every = [*kinds.values()]
+    assert kept.count("toxic") <= 0.05 * every.count("toxic") and kept.count("repeats") <= 0.05 * every.count("repeats")
+    assert kept.count(None) >= 0.97 * every.count(None)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_quality_planted(spark, sf):
+    """Of the given documents most of those with a planted insult go, and few of those labelled good."""
+    docs = documents(spark, f"/root/testdata/{sf}")
+    lab = documents(spark, f"/root/testdata/{sf}", "labels")
+    bad = F.rlike("text", F.lit(r"(?i)\b(idiot|moron|worthless|stupid|scum|trash|loser|pathetic|disgusting|clown)\b"))
+    kept = quality.sample(docs, lab)
+    assert kept.where(bad).count() <= 0.05 * docs.where(bad).count()
+    good = lab.where("quality = 1 and toxic = 0").select("doc_id")
+    assert kept.join(good, "doc_id", "left_semi").count() >= 0.97 * docs.join(good, "doc_id", "left_semi").count()
+
+
 # ------------------------------------------------------------------ archives
 
 
