@@ -234,7 +234,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, k: int) -> DataFr
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64, shared: int = 30, block: int = 2048, text: str = "text"
 ) -> DataFrame:
-    """``_doc, _th, rid, n, component`` of every row: its shingles and the least doc_id of its group.
+    """``_doc, _th, rid, n, group, component`` of every row: its shingles, its group (a rid) and the least doc_id of that.
 
     Rows whose sets reach ``percent`` per cent Jaccard are linked, groups are what links connect. Null and empty
     texts, and texts of white space, have no shingles and are linked with nothing. Null doc_ids belong to groups but
@@ -266,24 +266,28 @@ def near_duplicates(
 
     named = labels.withColumnRenamed("id", "cid").join(heads.select("cid", "doc"), "cid")
     names = named.groupBy("component").agg(F.min("doc").alias("name"))
-    named = named.join(names, "component").select("cid", "name")
-    of_class = heads.join(named, "cid", "left").select("d1", "d2", F.coalesce("name", "doc").alias("component"))
+    named = named.join(names, "component").select("cid", "name", F.col("component").alias("label"))
+    of_class = heads.join(named, "cid", "left").select("d1", "d2", F.coalesce("label", "cid").alias("group"), F.coalesce("name", "doc").alias("component"))
     narrow = rows.select("_doc", "_th", "rid", "n", "d1", "d2")
     return narrow.join(of_class, ["d1", "d2"], "left").select(
-        "_doc", "_th", "rid", "n", F.when(F.col("n") == 0, F.col("_doc")).otherwise(F.col("component")).alias("component")
+        "_doc",
+        "_th",
+        "rid",
+        "n",
+        F.when(F.col("n") == 0, F.col("rid")).otherwise(F.col("group")).alias("group"),
+        F.when(F.col("n") == 0, F.col("_doc")).otherwise(F.col("component")).alias("component"),
     )
 
 
 def one_of_each(docs: DataFrame, **parameters) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates, that of the least doc_id; its columns stay.
+    """``docs`` with one row of each group of near-duplicates, that of the least doc_id (of these, of the least text hash); its columns stay.
 
-    Texts without words stay; of rows equal in doc_id and text one stays.
+    Null doc_ids come last. A doc_id only orders: unrelated texts that share one, or have none, all stay. Texts without words stay; of rows equal in doc_id and text one stays.
     """
     text = parameters.get("text", "text")
     rows = near_duplicates(docs, **parameters)
-    named = rows.where(F.col("_doc").eqNullSafe(F.col("component")) & (F.col("n") > 0))
-    first = named.groupBy("component").agg(F.min("rid").alias("rid")).select("rid")
-    stay = named.join(first, "rid", "left_semi").select("_doc", "_th").union(rows.where("n = 0").select("_doc", "_th").distinct())
+    first = rows.where("n > 0").groupBy("group").agg(F.min(F.struct(F.col("_doc").isNull(), "_doc", "_th")).alias("first"))
+    stay = first.select("first._doc", "first._th").union(rows.where("n = 0").select("_doc", "_th").distinct())
     # Grouping and join share keys without NULLs, so each text moves once; copies of a row meet before they move.
     key = [F.coalesce("_doc", F.lit(0)).alias("_k"), F.col("_doc").isNull().alias("_n"), "_th"]
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")

@@ -101,6 +101,15 @@ def test_near_duplicates_odd_rows(spark):
     assert near_dup.near_duplicates(df.limit(0)).count() == 0 and near_dup.one_of_each(df.limit(0)).count() == 0
 
 
+def test_one_of_each_by_group(spark):
+    """Null and shared doc_ids name no group: unrelated texts stay, near copies among them go."""
+    a, b, c, d = (" ".join(f"{k}{n}" for n in range(40)) for k in "abcd")
+    docs = [(None, a), (None, b), (None, a + " more"), (None, b), (7, c), (7, d), (7, c + " more"), (9, d), (None, d)]
+    kept = rows(near_dup.one_of_each(spark.createDataFrame(docs, DOCS)))
+    near = {a: a, a + " more": a, b: b, c: c, c + " more": c, d: d}
+    assert sorted((i or 0, near[t]) for i, t in kept) == [(0, a), (0, b), (7, c), (7, d)]
+
+
 def test_components(spark):
     rnd = random.Random(2)
     edges = [(k, k + 1) for k in range(40)] + [(100 + rnd.randrange(60), 100 + rnd.randrange(60)) for _ in range(40)]
