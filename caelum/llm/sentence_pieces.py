@@ -29,6 +29,39 @@ def _step(h: np.ndarray, c: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+class State:
+    """A place in the lattice and how it was reached from the end of the unit: a link to the state before and the piece between.
+
+    States are in the order of their piece lengths from the end, longer ones first. Two are compared where their ways part, which jump
+    links find in logarithmic time, so a state has the same size wherever it is.
+    """
+
+    __slots__ = ("before", "jump", "depth", "length", "ids", "at", "score")
+
+    def __init__(self, before: State | None, length: int, ids: tuple[int, ...], at: int, score: float):
+        self.before, self.length, self.ids, self.at, self.score = before, length, ids, at, score
+        if before is None:
+            self.depth, self.jump = 0, self
+        else:
+            self.depth, far = before.depth + 1, before.jump
+            self.jump = far.jump if before.depth - far.depth == far.depth - far.jump.depth else before
+
+    def up(self, depth: int) -> State:
+        state = self
+        while state.depth > depth:
+            state = state.jump if state.jump.depth >= depth else state.before
+        return state
+
+    def __lt__(self, other: State) -> bool:
+        depth = min(self.depth, other.depth)
+        a, b = self.up(depth), other.up(depth)
+        if a is b:
+            return self.depth < other.depth
+        while a.before is not b.before:
+            a, b = (a.jump, b.jump) if a.jump is not b.jump else (a.before, b.before)
+        return a.length > b.length
+
+
 class Pieces:
     """The normal pieces of a model, its byte pieces, and the score of a character that needs bytes."""
 
@@ -42,6 +75,7 @@ class Pieces:
         own = [i for i in range(size) if not special[i] and not model.is_byte(i)]
         self.ids = {model.id_to_piece(i): i for i in own}
         self.scores = {i: float(model.get_score(i)) for i in own}
+        self.arc_of = {p: (len(p), (i,), self.scores[i]) for p, i in self.ids.items()}
         self.single = frozenset(p for p in self.ids if len(p) == 1)
         self.unknown = min(s for s in self.scores.values() if s > -1e8) - 10
         self.longest = max(map(len, self.ids))
@@ -91,9 +125,9 @@ class Pieces:
         out: list = [[] for _ in range(len(unit) + 1)]
         for end in range(1, len(unit) + 1):
             for n in range(min(end, self.longest), 0, -1):
-                i = self.ids.get(unit[end - n : end])
-                if i is not None:
-                    out[end].append((n, (i,), self.scores[i]))
+                arc = self.arc_of.get(unit[end - n : end])
+                if arc is not None:
+                    out[end].append(arc)
             if not out[end] or out[end][-1][0] > 1:
                 raw = unit[end - 1].encode("utf-8", "surrogatepass")
                 out[end].append((1, tuple(self.bytes[b] for b in raw), self.unknown))
@@ -105,17 +139,19 @@ class Pieces:
         best = [0.0]
         for end in range(1, len(arcs)):
             best.append(max(best[end - k] + s for k, _, s in arcs[end]))
-        found, todo = [], [(-best[-1], (), len(unit), 0.0, None)]
+        found, todo = [], [(-best[-1], State(None, 0, (), len(unit), 0.0))]
         while todo and len(found) < n:
-            _, path, at, score, tail = heapq.heappop(todo)
+            state = heapq.heappop(todo)[1]
+            at, score = state.at, state.score
             if not at:
-                ids = ()
-                while tail:
-                    ids, tail = ids + tail[0], tail[1]
-                found.append((score, ids))
+                ids = []
+                while state.before is not None:
+                    ids += state.ids
+                    state = state.before
+                found.append((score, tuple(ids)))
                 continue
             for k, ids, s in arcs[at]:
-                heapq.heappush(todo, (-(score + s + best[at - k]), path + (-k,), at - k, score + s, (ids, tail)))
+                heapq.heappush(todo, (-(score + s + best[at - k]), State(state, k, ids, at - k, score + s)))
         return found
 
 

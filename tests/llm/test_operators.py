@@ -3,6 +3,7 @@
 import glob
 import html
 import random
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -243,6 +244,21 @@ def test_pieces(spark, sf_dir, pieces):
     assert sentence_pieces.encode(df.limit(0)).count() == 0
 
 
+def test_long_units(spark, pieces):
+    """Runs that no pair cuts: memory grows with their length, not with its square."""
+    tracemalloc.start()
+    pieces.nbest("▁" + "a" * 5000, 4)
+    assert tracemalloc.get_traced_memory()[1] < 40e6
+    tracemalloc.stop()
+    rnd = random.Random(9)
+    docs = [(1, "".join(rnd.choice("etaoinsrhld") for _ in range(100_000))), (2, " " * 100_000), (3, "a" * 100_000)]
+    assert all(len(pieces.units(t)) == 1 for _, t in docs)
+    out = sentence_pieces.encode(spark.createDataFrame(docs, DOCS), all_ids=True).collect()
+    assert len(out) == 3
+    for r in out:
+        assert r["round_trip"] and r["nbest"][0] == r["ids"] and len({tuple(x) for x in r["nbest"]}) == len(r["scores"]) == 4
+
+
 # ------------------------------------------------------------------ search
 
 
