@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5, name2codepoint
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,15 +13,8 @@ CRLF = "\r\n"
 VERSION = "WARC/1.1"
 NO_DATE = "1970-01-01T00:00:00Z"
 
-# Named character references of HTML that are decoded, besides all numeric ones.
-NAMED = {
-    "amp": 38, "lt": 60, "gt": 62, "quot": 34, "apos": 39, "nbsp": 160, "copy": 169, "reg": 174, "deg": 176, "sect": 167,
-    "para": 182, "middot": 183, "laquo": 171, "raquo": 187, "times": 215, "pound": 163, "yen": 165, "euro": 8364,
-    "ndash": 8211, "mdash": 8212, "lsquo": 8216, "rsquo": 8217, "ldquo": 8220, "rdquo": 8221, "bull": 8226, "hellip": 8230,
-    "trade": 8482, "agrave": 224, "aacute": 225, "acirc": 226, "auml": 228, "aring": 229, "ccedil": 231, "egrave": 232,
-    "eacute": 233, "ecirc": 234, "euml": 235, "iacute": 237, "ntilde": 241, "oacute": 243, "ocirc": 244, "ouml": 246,
-    "uacute": 250, "uuml": 252, "szlig": 223, "Auml": 196, "Ouml": 214, "Uuml": 220, "Eacute": 201, "Ntilde": 209,
-}
+#: Named character references that are decoded, besides all numeric ones: those of HTML 4, and the apostrophe's.
+NAMED = {**{k: ord(html5[f"{k};"]) for k in name2codepoint}, "apos": 39}
 REFERENCE = "&[#A-Za-z0-9]{1,31};"
 HIDDEN = r"(?is)<(?:!--.*?--|script\b[^>]*>.*?</script\s*|style\b[^>]*>.*?</style\s*)>"
 BLOCK = (
@@ -29,8 +24,9 @@ BLOCK = (
 TAG = r"<[A-Za-z/!?][^>]*>"
 BLANKS = "[ \\t\\r\\f\\x0B\\x{A0}]{2,}|[\\t\\r\\f\\x0B\\x{A0}]"  # a lone space stays as it is
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
-LANGUAGE = r'(?i)<html\b[^>]*\blang\s*=\s*"([^"]*)"'
-LINK = r'(?i)<a\b[^>]*\bhref\s*=\s*"([^"]*)"'
+VALUE = "(\"[^\"]*\"|'[^']*'|[^\\s\"'>]+)"  # of an attribute, with its quotes
+LANGUAGE = rf"(?i)<html\b[^>]*\blang\s*=\s*{VALUE}"
+LINK = rf"(?i)<a\b[^>]*\bhref\s*=\s*{VALUE}"
 
 
 def digest(value: Column) -> Column:
@@ -48,29 +44,38 @@ def record_id(kind: str, *parts: Column) -> Column:
 
 
 def decoded(text: Column) -> Column:
-    """Character references decoded once; what is no known name or no valid character stays as it is."""
-    names = F.create_map(*[x for k, v in NAMED.items() for x in (F.lit(f"&{k};"), F.lit(chr(v)))])
+    """Character references decoded once; what is no known name or no valid character stays as it is.
+
+    ``text`` is looked at once, by a split at each ampersand. It should be a column, not an expression that is dear to compute.
+    """
+    names = F.create_map(*[x for k, v in NAMED.items() for x in (F.lit(k), F.lit(chr(v)))])
 
-    def char(ref: Column) -> Column:
-        code = F.when(
-            F.lower(F.substring(ref, 1, 3)) == "&#x", F.conv(F.regexp_extract(ref, "^&#[xX]([0-9A-Fa-f]{1,6});$", 1), 16, 10)
-        ).otherwise(F.regexp_extract(ref, "^&#([0-9]{1,7});$", 1))
+    def char(name: Column) -> Column:
+        code = F.when(F.lower(F.substring(name, 1, 2)) == "#x", F.conv(F.regexp_extract(name, "^#[xX]([0-9A-Fa-f]{1,6})$", 1), 16, 10)).otherwise(
+            F.regexp_extract(name, "^#([0-9]{1,7})$", 1)
+        )
         code = code.try_cast("bigint")
         valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         numeric = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-        return F.when(F.substring(ref, 2, 1) == "#", F.coalesce(numeric, ref)).otherwise(F.coalesce(F.try_element_at(names, ref), ref))
+        return F.when(F.startswith(name, F.lit("#")), numeric).otherwise(F.try_element_at(names, name))
+
+    def piece(part: Column, place: Column) -> Column:
+        name = F.regexp_extract(part, "^([#A-Za-z0-9]{1,31});", 1)
+        after = F.substr(part, F.length(name) + 2)
+        plain = F.concat(F.lit("&"), part)
+        return F.when(place == 0, part).when(name == "", plain).otherwise(F.coalesce(F.concat(char(name), after), plain))
+
+    return F.array_join(F.transform(F.split(text, "&", -1), piece), "")
+
 
-    parts = F.split(text, REFERENCE, -1)
-    refs = F.concat(F.array(F.lit("")), F.regexp_extract_all(text, F.lit(f"({REFERENCE})"), F.lit(1)))
-    return F.when(F.contains(text, F.lit("&")), F.array_join(F.zip_with(refs, parts, lambda r, p: F.concat(F.when(r == "", r).otherwise(char(r)), p)), "")).otherwise(text)
+def without_tags(html: Column) -> Column:
+    """No comments, scripts and styles; block tags end lines, other tags vanish."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(html, HIDDEN, ""), BLOCK, "\n"), TAG, "")
 
 
-def plain_text(html: Column) -> Column:
-    """Text of a page: no comments, scripts and styles; block tags end lines, other tags vanish."""
-    text = F.regexp_replace(html, HIDDEN, "")
-    text = F.regexp_replace(F.regexp_replace(text, BLOCK, "\n"), TAG, "")
-    text = F.regexp_replace(decoded(text), BLANKS, " ")
-    return F.trim(F.regexp_replace(text, " ?\\n[ \\n]*", "\n"), F.lit(" \n"))
+def tidy(text: Column) -> Column:
+    """Runs of blanks as one space, no blanks around line ends and no empty lines."""
+    return F.trim(F.regexp_replace(F.regexp_replace(text, BLANKS, " "), " ?\\n[ \\n]*", "\n"), F.lit(" \n"))
 
 
 def head(fields: list[tuple[str, Column]]) -> Column:
@@ -114,16 +119,19 @@ def derive(records: DataFrame) -> DataFrame:
         .withColumn("_payload", F.when(split > 0, F.expr("substring(_block, locate('\r\n\r\n', _block) + 4)")).otherwise(F.col("_block")))
         .withColumn("source_digest", digest(F.col("_block")))
         .withColumn("payload_digest", digest(F.col("_payload")))
-        .withColumn("_text", plain_text(F.col("_payload")))
+        .withColumn("_bare", without_tags(F.col("_payload")))
+        .withColumn("_text", tidy(decoded(F.col("_bare"))))
+        .withColumn("_title", F.trim(F.regexp_replace(F.regexp_extract("_payload", TITLE, 1), "\\s+", " ")))
     )
-    one = lambda p: F.trim(F.regexp_replace(F.regexp_extract("_payload", p, 1), "\\s+", " "))
+    unquoted = lambda x: F.when(x.rlike("^[\"']"), F.substr(x, F.lit(2), F.length(x) - 2)).otherwise(x)
+    tidied = lambda x: F.trim(F.regexp_replace(unquoted(x), "\\s+", " "))
     lines = lambda name, values: F.transform(values, lambda v: F.concat(F.lit(f"{name}: "), v))
     about = F.concat(
         lines("source-header", F.filter(F.split("_http", CRLF), lambda x: x != "")),
         F.array(F.concat(F.lit("source-block-digest: "), F.col("source_digest")), F.concat(F.lit("source-payload-digest: "), F.col("payload_digest"))),
-        lines("title", F.filter(F.array(decoded(one(TITLE))), lambda x: x != "")),
-        lines("language", F.filter(F.array(one(LANGUAGE)), lambda x: x != "")),
-        lines("outlink", F.transform(F.regexp_extract_all("_payload", F.lit(LINK), F.lit(1)), lambda x: F.regexp_replace(x, "\\s+", " "))),
+        lines("title", F.filter(F.array(decoded(F.col("_title"))), lambda x: x != "")),
+        lines("language", F.filter(F.transform(F.array(F.regexp_extract("_payload", LANGUAGE, 1)), tidied), lambda x: x != "")),
+        lines("outlink", F.transform(F.regexp_extract_all("_payload", F.lit(LINK), F.lit(1)), tidied)),
     )
     source = source.withColumn("_about", F.concat(F.array_join(about, CRLF), F.lit(CRLF)))
     made = lambda kind: record_id(kind, F.col("refers_to"))
@@ -211,7 +219,8 @@ def _sql() -> str:
         f"(list_transform([sha256(concat_ws(chr(10), {q(kind)}, {', '.join(p)}))], lambda h : 'urn:uuid:' || h[1:8] || '-' || h[9:12] || '-8' || h[13:15] || '-a' || h[16:18] || '-' || h[19:30]))[1]"
     )
     nl = "chr(13) || chr(10)"
-    one = lambda p: f"trim(regexp_replace(regexp_extract(html, {q(p)}, 1), '\\s+', ' ', 'g'), ' ')"
+    one = lambda x: f"trim(regexp_replace({x}, '\\s+', ' ', 'g'), ' ')"
+    bare = lambda x: f"case when {x}[1] in (chr(34), chr(39)) then {x}[2:length({x}) - 1] else {x} end"
     kept = lambda name, x: f"list_transform(list_filter([{x}], lambda x : x <> ''), lambda x : '{name}: ' || x)"
     return f"""
 with p as (
@@ -230,9 +239,9 @@ m as (
   select *, array_to_string(list_concat(
       list_transform(http, lambda x : 'source-header: ' || x),
       ['source-block-digest: ' || source_digest, 'source-payload-digest: ' || payload_digest],
-      {kept('title', f"(list_transform([{one(TITLE)}], lambda t : {decode('t')}))[1]")},
-      {kept('language', one(LANGUAGE))},
-      list_transform(regexp_extract_all(html, {q(LINK)}, 1), lambda x : 'outlink: ' || regexp_replace(x, '\\s+', ' ', 'g'))), {nl}) || {nl} as about,
+      {kept('title', f"(list_transform([{one(f'regexp_extract(html, {q(TITLE)}, 1)')}], lambda t : {decode('t')}))[1]")},
+      {kept('language', f"(list_transform([regexp_extract(html, {q(LANGUAGE)}, 1)], lambda t : {one(bare('t'))}))[1]")},
+      list_transform(regexp_extract_all(html, {q(LINK)}, 1), lambda x : 'outlink: ' || {one(bare('x'))})), {nl}) || {nl} as about,
     {uuid('metadata', 'refers_to')} as meta_id, {uuid('conversion', 'refers_to')} as conv_id
   from d)
 select page_id, 'metadata' as warc_type, meta_id as record_id, conv_id as concurrent_to, refers_to, url as target_uri,

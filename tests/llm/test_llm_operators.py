@@ -416,6 +416,15 @@ def test_warc(spark, tmp_path):
     assert warc.derive(warc.responses(df.limit(0))).count() == 0
 
 
+def test_pages_of_other_quoting_and_length(spark):
+    links = "<html lang=de><a href='/a b'>x</a><a class=k href=/c>y</a><A HREF=\"/d&amp;e\">z</A>"
+    pages = [(1, "u", links), (2, "u", "&lt;" * 300_000 + "<p>" * 300_000 + "&oslash;&cent;&x;&" + "w" * 2_000_000)]
+    got = {(r["page_id"], r["warc_type"]): r["block"] for r in warc.derive(warc.responses(spark.createDataFrame(pages, "page_id long, url string, html string"))).collect()}
+    assert {"language: de", "outlink: /a b", "outlink: /c", "outlink: /d&amp;e"} <= {*got[1, "metadata"].split("\r\n")}
+    assert got[1, "conversion"] == "xyz"
+    assert got[2, "conversion"] == "<" * 300_000 + "\nø¢&x;&" + "w" * 2_000_000
+
+
 def test_references(spark):
     names = " ".join(f"&{n};" for n in warc.NAMED) + " &amp;lt; &#8364; &#x1F600; &;"
     got = spark.createDataFrame([(names,)], "t string").select(warc.decoded(F.col("t"))).first()[0]
