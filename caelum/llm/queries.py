@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from caelum.llm import decontaminate, exact_search, language_id, line_dedup, near_dup, quality, quotes, sentence_pieces, token_counts, warc
+from caelum.llm import (
+    decontaminate,
+    exact_search,
+    language_id,
+    line_dedup,
+    near_dup,
+    quality,
+    quotes,
+    sentence_pieces,
+    token_counts,
+    warc,
+    whitening,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +27,7 @@ QUERIES = {
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_quotes": quotes.op9_quotes,
     "op10_sentence_pieces": sentence_pieces.op10_sentence_pieces,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
