@@ -8,6 +8,7 @@ from caelum.llm import (
     language_id,
     line_dedup,
     near_dup,
+    packing,
     quality,
     quotes,
     sentence_pieces,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_quotes": quotes.op9_quotes,
     "op10_sentence_pieces": sentence_pieces.op10_sentence_pieces,
+    "op12_packing": packing.op12_packing,
     "op13_whitening": whitening.op13_whitening,
 }
 
