@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -42,7 +44,7 @@ def slices_of(text: str, most: int) -> Iterator[str]:
 
 
 class Encoder:
-    """Ids of texts as bytes (four a token, low byte first). Words seen before in a task are remembered, up to a bound."""
+    """Ids of texts as bytes (four a token, low byte first). Words seen before are remembered, up to a bound."""
 
     def __init__(self, path: str, most_known: int):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -90,6 +92,15 @@ class Encoder:
                 self.parts.pop(w, None)
 
 
+def kept_encoder(path: str, most_known: int) -> Encoder:
+    """This Python worker's encoder: Spark gives a worker one task after another, and each goes on from what is known."""
+    memory = sys.modules.setdefault("caelum_worker_memory", ModuleType("caelum_worker_memory")).__dict__
+    key = f"{path} {most_known}"
+    if key not in memory:
+        memory[key] = Encoder(path, most_known)
+    return memory[key]
+
+
 def pieces(docs: DataFrame, model: str, limit: int, end: int, text: str, most_known: int, chars: int = 1 << 20) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: the ids of every text and ``end``, cut every ``limit`` ids."""
 
@@ -100,7 +111,7 @@ def pieces(docs: DataFrame, model: str, limit: int, end: int, text: str, most_kn
         import gc
 
         gc.disable()  # nothing here is cyclic, and collections would walk all known words again and again
-        encoder = Encoder(model, most_known)
+        encoder = kept_encoder(model, most_known)
         last, size = np.array([end], "<u4").tobytes(), 4 * limit
         for batch in rows_of(batches):
             rows: list[tuple] = []
