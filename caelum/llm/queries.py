@@ -12,6 +12,7 @@ from caelum.llm import (
     quality,
     quotes,
     sentence_pieces,
+    spelling,
     token_counts,
     warc,
     whitening,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_near_dup": near_dup.op8_near_dup,
     "op9_quotes": quotes.op9_quotes,
     "op10_sentence_pieces": sentence_pieces.op10_sentence_pieces,
+    "op11_spelling": spelling.op11_spelling,
     "op12_packing": packing.op12_packing,
     "op13_whitening": whitening.op13_whitening,
 }
