@@ -17,7 +17,7 @@ from caelum.functions.fields import (
     upper_from_range,
     wrap_longitude,
 )
-from caelum.operators.regrid import Axes, regrid_bilinear, target_grid
+from caelum.operators.regrid import Axes, Coordinates, regrid_bilinear, target_grid
 from caelum.operators.reshape import (
     columns_to_variables,
     deinterleave,
@@ -71,14 +71,10 @@ def remove_ranges(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def to_target_grid(
-    df: DataFrame, domain: Domain, axes: Axes, extra: list[str], snap: bool = False
+    df: DataFrame, domain: Domain, axes: Axes | Coordinates, extra: list[str], snap: bool = False
 ) -> DataFrame:
-    """Bilinear interpolation of a cut-out to the domain's grid."""
-    source = df.select(
-        F.round((F.col("lat") - axes.lat0) / axes.dlat).cast("int").alias("lat_idx"),
-        F.round((F.col("lon") - axes.lon0) / axes.dlon).cast("int").alias("lon_idx"),
-        *extra,
-        "value",
-    )
+    """Bilinear interpolation of a cut-out, or of global fields, to the domain's grid."""
+    source = df.select(axes.lat_index().alias("lat_idx"), axes.lon_index().alias("lon_idx"), *extra, "value")
+    source = source.where("lat_idx is not null and lon_idx is not null")  # not on the axes
     grid = target_grid(df.sparkSession, domain.bbox, domain.res, snap)
     return regrid_bilinear(source, grid, axes, extra)

@@ -548,6 +548,31 @@ cr as (select tg.*, floor(fy) + dy y, floor(fx) + dx x, (case dy when 0 then 1 -
 from cr cross join seg left join src on src.seg = seg.seg and src.y = cr.y and src.x = cr.x group by 1, 2, 3, 4, 5""",
 )
 
+SEGMENTS = """src as (select c_mktsegment seg, c_nationkey // 5 y, c_nationkey % 5 x, case when c_mktsegment <> 'BUILDING' or c_nationkey <> 12 then max(c_acctbal) end v from customer group by c_mktsegment, c_nationkey),
+seg as (select distinct c_mktsegment seg from customer),
+"""
+CORNERS = f"""select {{}} seg.seg c_mktsegment, {r('case when bool_and(w = 0 or v is not null) then sum(case when w > 0 then w * v end) end')} as value
+from cr cross join seg left join src on src.seg = seg.seg and src.y = cr.y and src.x = cr.x group by all"""
+ORACLES["regrid_global"] = with_views(
+    [],
+    SEGMENTS
+    + """tg as (select i, j, -75 + i * 15e0 lat, -180 + j * 15e0 lon, (i * 15e0 - 15) / 30 fy, ((180 + j * 15) % 360) / 72e0 fx from generate_series(0, 10) a(i), generate_series(0, 24) b(j)),
+cr as (select i, j, lat, lon, floor(fy) + dy y, (floor(fx) + dx) % 5 x, (case dy when 0 then 1 - (fy - floor(fy)) else fy - floor(fy) end) * (case dx when 0 then 1 - (fx - floor(fx)) else fx - floor(fx) end) w
+  from tg, (select unnest([0, 1]) dy), (select unnest([0, 1]) dx))""",
+    CORNERS.format("cast(i as int) lat_idx, cast(j as int) lon_idx, lat, lon,"),
+)
+ORACLES["regrid_irregular"] = with_views(
+    [],
+    SEGMENTS
+    + """la as (select * from (values (-1, 90e0, 59.75e0), (0, 59.75e0, 31.25e0), (1, 31.25e0, 0.5e0), (2, 0.5e0, -28.5e0), (3, -28.5e0, -61e0), (4, -61e0, -90e0)) t(y, a, b)),
+lo as (select * from (values (4, -59e0, 5e0), (0, 5e0, 47e0), (3, -160e0, -59e0)) t(x, a, b)),
+tg as (select -66 + i * 6e0 lat, -75 + j * 6e0 lon from generate_series(0, 22) a(i), generate_series(0, 17) b(j)),
+bx as (select lat, lon, y, (la.a - lat) / (la.a - la.b) fy, x, (lon - lo.a) / (lo.b - lo.a) fx from tg join la on lat <= la.a and lat > la.b join lo on lon >= lo.a and lon < lo.b),
+cr as (select lat, lon, y + dy y, (x + dx) % 5 x, (case dy when 0 then 1 - fy else fy end) * (case dx when 0 then 1 - fx else fx end) w
+  from bx, (select unnest([0, 1]) dy), (select unnest([0, 1]) dx))""",
+    CORNERS.format("lat, lon,"),
+)
+
 # ------------------------------------------------------------------ sources and sinks
 
 PLACED = "pl as (select cell, 10e0 + cell // 5 lat, -8e0 + 4 * (cell % 5) lon, valid_date from history)"

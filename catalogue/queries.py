@@ -818,6 +818,37 @@ def regrid_bilinear(spark, d):
     return res.select("lat_idx", "lon_idx", "lat", "lon", "c_mktsegment", out("value").alias("value"))
 
 
+def _segments(spark, d):
+    """A field per market segment on 5 x 5 nations, one value missing."""
+    gone = (F.col("c_mktsegment") == "BUILDING") & (F.col("c_nationkey") == 12)
+    rows = V.table(spark, d, "customer").groupBy("c_mktsegment", "c_nationkey").agg(F.max("c_acctbal").alias("value"))
+    row, column = F.floor(F.col("c_nationkey") / 5).cast("int"), (F.col("c_nationkey") % 5).cast("int")
+    return rows.select("c_mktsegment", row.alias("row"), column.alias("column"), F.when(~gone, F.col("value")).alias("value"))
+
+
+@query
+def regrid_global(spark, d):
+    """Fields that go round the globe, onto both sides of the date line and of the first meridian."""
+    source = _segments(spark, d).withColumnsRenamed({"row": "lat_idx", "column": "lon_idx"})
+    grid = regrid.target_grid(spark, (-180.0, 180.0, -75.0, 75.0), 15.0)
+    res = regrid.regrid_bilinear(source, grid, regrid.Axes(-60.0, 30.0, 0.0, 72.0, ring=5), ["c_mktsegment"])
+    return res.select("lat_idx", "lon_idx", "lat", "lon", "c_mktsegment", out("value").alias("value"))
+
+
+# latitudes fall and neither axis is evenly spaced
+ARCHIVE = regrid.Coordinates((59.75, 31.25, 0.5, -28.5, -61.0), (5.0, 47.0, 140.0, 200.0, 301.0), ring=True)
+
+
+@query
+def regrid_irregular(spark, d):
+    """Global fields on an archive's own axes, found by their coordinates."""
+    pick = lambda values, at: F.element_at(F.array(*[F.lit(v) for v in values]), F.col(at) + 1)
+    placed = _segments(spark, d).select("c_mktsegment", pick(ARCHIVE.lats, "row").alias("lat"), fields.wrap_longitude(pick(ARCHIVE.lons, "column")).alias("lon"), "value")
+    box = Domain("box", (-75.0, 30.0, -66.0, 66.0), ("tp",), res=6.0)
+    res = prep.to_target_grid(placed, box, ARCHIVE, ["c_mktsegment"])
+    return res.select("lat", "lon", "c_mktsegment", out("value").alias("value"))
+
+
 # ------------------------------------------------------------------ sources and sinks
 
 

@@ -57,6 +57,64 @@ def test_regrid_beyond_the_source(spark):
     assert regrid.regrid_bilinear(source.limit(0), target, regrid.Axes(0, 1, 0, 1), ["t"]).count() == 0
 
 
+def plain_bilinear(values, lats, lons, ring, lat, lon):
+    """By looking at every box: values[i][j] at lats[i], lons[j]."""
+    columns = [*range(len(lons)), 0] if ring else [*range(len(lons))]
+    around = [*lons, lons[0] + (360 if lons[-1] >= lons[0] else -360)] if ring else list(lons)
+    for turn in (-720, -360, 0, 360, 720) if ring else (0,):
+        for j in range(len(around) - 1):
+            for i in range(len(lats) - 1):
+                fy, fx = (lat - lats[i]) / (lats[i + 1] - lats[i]), (lon + turn - around[j]) / (around[j + 1] - around[j])
+                if 0 <= fy <= 1 and 0 <= fx <= 1:
+                    corners = [(fy if a else 1 - fy) * (fx if b else 1 - fx) for a in (0, 1) for b in (0, 1)]
+                    own = [values[i + a][columns[j + b]] for a in (0, 1) for b in (0, 1)]
+                    return None if any(w > 0 and v is None for w, v in zip(corners, own)) else sum(w * v for w, v in zip(corners, own) if w > 0)
+    return None
+
+
+@pytest.mark.parametrize("falling", [False, True])
+@pytest.mark.parametrize("ring", [False, True])
+def test_regrid_irregular_axes(spark, ring, falling):
+    lats = (-77.3, -40.1, -3.0, 10.5, 62.0, 80.25)
+    lats = lats[::-1] if falling else lats
+    lons = (-170.0, -90.5, -3.25, 60.0, 121.0)
+    rng = random.Random(8)
+    values = [[rng.random() * 100 for _ in lons] for _ in lats]
+    values[2][1] = None
+    src = [(lats[i], lons[j] + 360 * rng.choice([0, 1]) * ring, "a", values[i][j]) for i in range(len(lats)) for j in range(len(lons))]
+    src += [(lats[0] + 1.0, lons[0], "a", 1e9)]  # not on the axes
+    target = [(lat, lon) for lat in (*lats, -90.0, -50.0, 0.0, 11.0, 79.0, 90.0) for lon in (*lons, -180.0, 180.0, 359.0, 150.0, 0.0, -100.0, 121.5)]
+    grid = spark.createDataFrame([(k, 0, float(a), float(b)) for k, (a, b) in enumerate(target)], "lat_idx int, lon_idx int, lat double, lon double")
+    axes = regrid.Coordinates(lats, lons, ring)
+    frame = spark.createDataFrame(src, "lat double, lon double, t string, value double")
+    source = frame.select(axes.lat_index().alias("lat_idx"), axes.lon_index().alias("lon_idx"), "t", "value").where("lat_idx is not null")
+    rows = regrid.regrid_bilinear(source, grid, axes, ["t"]).collect()
+    assert len(rows) == len(target)
+    for r in rows:
+        want = plain_bilinear(values, lats, lons, ring, r["lat"], r["lon"])
+        assert r["value"] == (None if want is None else pytest.approx(want)), (r["lat"], r["lon"])
+
+
+def test_regrid_round_the_globe(spark):
+    """No target between the outermost latitudes is missing; a turn on the field is the same."""
+    src = [(i, j, "f", float(i * 10 + (j - 4) ** 2)) for i in range(3) for j in range(9)]
+    source = spark.createDataFrame(src, "lat_idx int, lon_idx int, t string, value double")
+    axes = regrid.Axes(-10, 10, -180, 40, ring=9)
+    near = regrid.regrid_bilinear(source, regrid.target_grid(spark, (-180, 175, -10, 10), 5.0), axes, ["t"]).collect()
+    far = regrid.regrid_bilinear(source, regrid.target_grid(spark, (180, 535, -10, 10), 5.0), axes, ["t"]).collect()
+    assert len(near) == 72 * 5 and all(r["value"] is not None for r in near)
+    key = lambda rows: {(r["lat"], r["lon"] % 360): round(r["value"], 9) for r in rows}
+    assert key(near) == key(far)
+    plane = spark.createDataFrame([(-10.0 + 7.5 * i * i, 2.0 * j * j, "p", 3.0 * (-10 + 7.5 * i * i) - 2.0 * j * j) for i in range(4) for j in range(5)], "lat double, lon double, t string, value double")
+    own = regrid.coordinates_of(plane, falling_lats=True)
+    placed = plane.select(own.lat_index().alias("lat_idx"), own.lon_index().alias("lon_idx"), "t", "value")
+    for r in regrid.regrid_bilinear(placed, regrid.target_grid(spark, (0, 32, -10, 57), 1.0), own, ["t"]).collect():
+        assert r["value"] == pytest.approx(3 * r["lat"] - r["lon"])
+    for wrong in (lambda: regrid.Axes(0, 1, 0, 40, ring=8), lambda: regrid.Coordinates((1.0, 3.0, 2.0), (0.0,)), lambda: regrid.Coordinates((0.0,), (0.0, 360.0), True)):
+        with pytest.raises(ValueError):
+            wrong()
+
+
 def test_slices_follow_the_values(spark):
     """One far outlier moves no cut: no slice holds twice the mean."""
     df = spark.range(1_000_000).select(F.lit(1).alias("g"), (280 + F.col("id") / 1e5).alias("x")).union(spark.range(1).select(F.lit(1), F.lit(-9999.0)))
