@@ -130,7 +130,7 @@ def scan_benchmark(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str
     A single item above the bound makes a block of its own.
     """
     name = "_found"
-    while name in docs.columns:
+    while name in [c.lower() for c in docs.columns]:  # Spark does not tell names apart by case
         name += "_"
     docs = docs.withColumn(name, F.lit(None).cast(FOUND))
     items = benchmark.select("item_id", F.col("text").alias("_text")).where("_text is not null")
