@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from caelum.llm.common import cut, table
 
-#: Vectors above this squared length could overflow a long score.
-MOST = float(1 << 62)
+#: Scores beyond this do not fit a long and take no part.
+MOST = (1 << 63) - 1
 
 
 def build_tree(ids: np.ndarray, points: np.ndarray, leaf: int) -> dict:
@@ -40,8 +40,14 @@ def build_tree(ids: np.ndarray, points: np.ndarray, leaf: int) -> dict:
             end += [start[node] + half, end[node]]
             child += [0, 0]
         node += 1
-    arrays = {"lo": lo, "hi": hi, "start": start, "end": end, "child": child, "least": least}
-    return {"ids": ids[order], "points": points[order]} | {k: np.array(v, np.int64) for k, v in arrays.items()}
+    arrays = {"start": start, "end": end, "child": child, "least": least}
+    boxes = {"lo": np.array(lo), "hi": np.array(hi)}
+    return {"ids": ids[order], "points": points[order]} | boxes | {k: np.array(v, np.int64) for k, v in arrays.items()}
+
+
+def exact(x: np.ndarray) -> np.ndarray:
+    """Whole numbers held in doubles, as Python's, whose products never overflow."""
+    return np.array([int(v) for v in x.ravel()], object).reshape(x.shape)
 
 
 def search_tree(tree: dict, own: int, query: np.ndarray, bounds: np.ndarray, k: int, floor: int | None) -> list[tuple[int, int]]:
@@ -69,9 +75,10 @@ def search_tree(tree: dict, own: int, query: np.ndarray, bounds: np.ndarray, k:
         a, b = tree["start"][node], tree["end"][node]
         ids, scores = tree["ids"][a:b], tree["points"][a:b] @ query
         least = max([b[0] for b in best[:1] if len(best) == k] + [floor] * (floor is not None), default=None)
-        good = ids != own if least is None else (ids != own) & (scores >= least)
-        rows = np.flatnonzero(good)
-        for r in rows[np.lexsort((ids[rows], -scores[rows]))]:
+        good = (ids != own) & (np.abs(scores) <= MOST)
+        if least is not None:
+            good &= scores >= least
+        for r in sorted(np.flatnonzero(good), key=lambda r: (-scores[r], ids[r])):
             item = (int(scores[r]), -int(ids[r]))
             if len(best) == k and item <= best[0]:
                 break
@@ -86,12 +93,12 @@ def search_tree(tree: dict, own: int, query: np.ndarray, bounds: np.ndarray, k:
 
 
 def quantised(vectors: DataFrame, scale: int) -> DataFrame:
-    """Distinct (vec_id, vec, dim): floor(scale * x) of all usable vectors."""
+    """Distinct (vec_id, vec, dim): floor(scale * x) of all usable vectors, as doubles, which hold whole numbers of any size."""
     x = F.col("embedding").cast("array<double>")
     fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
-    scaled = F.transform(x, lambda v: F.floor(v * scale))
-    length = F.aggregate(x, F.lit(0.0), lambda a, v: a + F.pow(F.abs(v) * scale + 1, F.lit(2.0)))
-    usable = vectors.where(F.col("vec_id").isNotNull() & x.isNotNull()).where(fine).where(length < MOST)
+    small = lambda v: F.abs(v * scale) < float(1 << 53)
+    scaled = F.transform(x, lambda v: F.when(small(v), F.floor(v * scale).cast("double")).otherwise(v * scale))  # others are whole
+    usable = vectors.where(F.col("vec_id").isNotNull() & x.isNotNull()).where(fine)
     return usable.select(F.col("vec_id").cast("long"), scaled.alias("vec"), F.size(x).alias("dim")).where("dim > 0").distinct()
 
 
@@ -101,8 +108,8 @@ def top_k(
     """``query_id, rank, vec_id, score``: for each query row the ``k`` rows of largest integer inner product.
 
     Ties go to the smaller vec_id; the query's own vec_id is no candidate; with fewer than ``k`` candidates all are
-    returned. Vectors that are null, empty, hold null or non-finite components, have no vec_id, or are so long that scores
-    could overflow a long take no part. Only vectors of the query's length are candidates. Rows equal in id and vector
+    returned. Vectors that are null, empty, hold null or non-finite components or have no vec_id take no part, nor
+    do pairs whose score does not fit a long. Only vectors of the query's length are candidates. Rows equal in id and vector
     count once; where one id has several vectors, its queries are merged and keep the best score of each candidate.
 
     Shards hold about ``shard_rows`` vectors, dealt by hash, so equal vectors spread out. Queries are dealt into groups of
@@ -116,7 +123,7 @@ def top_k(
     groups = -(-max(asked.count(), 1) // group)
 
     def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = build_tree(pdf["vec_id"].to_numpy(), np.stack(pdf["vec"]).astype(np.int64), leaf)
+        tree = build_tree(pdf["vec_id"].to_numpy(), np.stack(pdf["vec"]), leaf)
         return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "tree": [pickle.dumps(tree)]})
 
     sharded = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(shards)))
@@ -136,10 +143,12 @@ def top_k(
             if not len(queries):
                 break
             tree = pickle.loads(raw)
-            q = np.stack(queries["vec"]).astype(np.int64)
-            length = lambda x: np.sqrt((x.astype(np.float64) ** 2).sum(1).max())
-            if length(q) * length(tree["points"]) < 2.0**52:  # doubles are exact, and faster
-                q, tree = q.astype(np.float64), tree | {x: tree[x].astype(np.float64) for x in ("points", "lo", "hi")}
+            q = np.stack(queries["vec"])
+            with np.errstate(over="ignore", invalid="ignore"):
+                length = lambda x: np.sqrt((x**2).sum(1).max())
+                fits = length(q) * length(tree["points"]) < 2.0**52
+            if not fits:  # doubles would round
+                q, tree = exact(q), tree | {x: exact(tree[x]) for x in ("points", "lo", "hi")}
             bounds = np.maximum(q, 0) @ tree["hi"].T + np.minimum(q, 0) @ tree["lo"].T
             for row, (own, floor) in enumerate(zip(queries["vec_id"], queries["floor"])):
                 floor = None if pd.isna(floor) else int(floor)
