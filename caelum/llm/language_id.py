@@ -65,12 +65,18 @@ class Model:
 
 
 def train(docs: DataFrame, bound: int, share: float) -> Model | None:
-    """Counts of hashed character n-grams and scripts by language, from (lang, text).
+    """Counts of hashed character n-grams and scripts by language, from (doc_id, lang, text).
 
-    A language of more than ``bound`` rows is fitted on a sample of about that many, chosen by a hash of the text.
+    A language of more than ``bound`` rows is fitted on a sample of about that many, chosen by a hash of the row, but always on
+    the row of the least hash: none is lost. Sizes are read first, a number a language, and rows are chosen while they are
+    scanned, so only the sample's counts move.
     """
-    sizes = docs.groupBy("lang").agg(F.least(F.lit(1.0), bound / F.count("*")).alias("part"))
-    sample = docs.join(sizes, "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("part") * (1 << 20))
+    row = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 12)
+    sizes = docs.groupBy("lang").agg(F.count("*").alias("n"), F.min(row).alias("least")).collect()
+    if not sizes:
+        return None
+    limit = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(max(r["least"], (bound << 52) // r["n"])))])
+    sample = docs.where(row <= F.element_at(limit, F.col("lang")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
@@ -172,7 +178,7 @@ def identify(docs: DataFrame, bound: int = 2000, share: float = 0.01, penalty: f
     """
     rest = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    model = train(rows.where((rest != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text"), bound, share)
+    model = train(rows.where((rest != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text"), bound, share)
     key = F.struct("doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out")).alias("_key")
     return predictions(rows.select(key, "text"), model, penalty).select("_key.*", "lang_pred", "score", "spans")
 

@@ -2,6 +2,8 @@
 
 import glob
 import html
+import itertools
+import math
 import random
 import tracemalloc
 
@@ -268,16 +270,29 @@ def test_search_ties_and_odd_vectors(spark):
     vectors += [(1000 + k, vectors[7][1]) for k in range(150)]  # many equal vectors
     vectors += [(2000, None), (2050, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2100, [float("nan")] * 6), (2150, [float("inf")] * 6), (2200, []), (2250, [1.0, 2.0]), (2251, [3.0, 4.0]), (None, [9.0] * 6), (2300, [3e38] * 6), (50, vectors[50][1])]
     df = spark.createDataFrame([(*v, 0) for v in vectors], "vec_id long, embedding array<float>, score int")
+    # vectors of any length take part, scores that fit a long do
+    vectors += [(3000, [1e7, 1.0, 0.5]), (3001, [1e7, 2.0, 0.0]), (3002, [3.0, 4.0, -1e7]), (3050, [3e15, -1.0, 0.0]), (3051, [0.25, 7e14, 1.0]), (3052, [-3e38, 0.0, 0.0])]
+    df = df.union(spark.createDataFrame([(*v, 0) for v in vectors[-6:]], df.schema))
     got = sorted(rows(exact_search.top_k(df, F.col("vec_id") % 50 == 0, shard_rows=64, leaf=8, group=4)))
-    good = {k: np.floor(256 * np.array(v, np.float32).astype(np.float64)) for k, v in vectors if k is not None and v and None not in v and np.isfinite(v).all() and max(map(abs, v)) < 1e9}
+    whole = lambda v: [math.floor(256 * float(np.float32(x))) for x in v]
+    good = {k: whole(v) for k, v in vectors if k is not None and v and None not in v and np.isfinite(v).all()}
     want = []
     for q in (k for k in good if k % 50 == 0):
-        scored = sorted((-int(good[q] @ v), k) for k, v in good.items() if k != q and len(v) == len(good[q]))[:5]
+        dots = ((sum(a * b for a, b in zip(good[q], v)), k) for k, v in good.items() if k != q and len(v) == len(good[q]))
+        scored = sorted((-s, k) for s, k in dots if abs(s) < 1 << 63)[:5]
         want += [(q, r, k, -s) for r, (s, k) in enumerate(scored, 1)]
     assert got == sorted(want)
     assert exact_search.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_decontaminate_keeps_columns_named_like_its_own(spark):
+    words = " ".join(f"w{k}" for k in range(12))
+    docs = spark.createDataFrame([(1, words, "x", 5), (2, "clean", "y", 6)], "doc_id long, text string, _FOUND string, _found_ int")
+    bench = spark.createDataFrame([(1, words)], "item_id long, text string")
+    assert rows(decontaminate.decontaminate(docs, bench)) == [(2, "clean", "y", 6)]
+    assert rows(decontaminate.decontaminate(docs, bench, remove="spans")) == [(1, "", "x", 5), (2, "clean", "y", 6)]
+
+
 # ------------------------------------------------------------------ languages
 
 
@@ -304,6 +319,46 @@ def test_language_spans_and_odd_rows(spark):
     assert {r["lang_pred"] for r in nothing} == {"und"} and language_id.identify(df.limit(0)).count() == 0
 
 
+def test_no_language_is_lost(spark):
+    """Equal texts are rows like others to the sample."""
+    docs = [(k, "the house and the garden of the town", "en") for k in range(3000)] + [(5000 + k, "das haus und der garten der stadt", "de") for k in range(40)]
+    docs += [(9000, "la maison et le jardin de la ville", "fr")] * 300
+    got = language_id.identify(spark.createDataFrame(docs, "doc_id long, text string, lang string"), bound=20)
+    assert {tuple(r) for r in got.select("lang_pred", F.col("doc_id") >= 9000, F.col("doc_id") >= 5000).distinct().collect()} == {("en", False, False), ("de", False, True), ("fr", True, True)}
+
+
+def test_language_scores_and_path():
+    """Scores are sums of the logarithms of a word's marked grams; the path is the best of all."""
+    rng = np.random.default_rng(3)
+    logs = rng.normal(size=(language_id.BUCKETS, 3)).astype(np.float32)
+    written = np.zeros((len(language_id.NAMES), 3), bool)
+    written[language_id.NAMES.index("Latin"), :2] = written[language_id.NAMES.index("Cyrillic"), 2] = True
+    model = language_id.Model(["a", "b", "c"], logs, written)
+    words = ["x", "été", "дом", "αβγ", "house"]
+    got = model.scores(words)
+    for word, row in zip(words, got):
+        marked, total = f"\x02{word}\x03", np.zeros(3)
+        for n in (1, 2, 3):
+            for k in range(len(marked) - n + 1):
+                h = 0
+                for c in marked[k : k + n]:
+                    h = (h * 0x100000001B3 ^ ord(c)) % 2**64
+                total += logs[((h + n) * 0x9E3779B97F4A7C15 % 2**64) >> 49]
+        if word == "αβγ":
+            want = np.zeros(3)
+        else:
+            own = [2] if word == "дом" else [0, 1]
+            want = np.where(np.isin(range(3), own), total, -1e4)
+            want = want - want.max()
+        assert np.abs(row - want).max() < 1e-2
+    for _ in range(20):
+        n = int(rng.integers(1, 7))
+        scores = rng.normal(size=(1, n, 3)).astype(np.float32) * 3
+        cost = lambda p: sum(scores[0, t, s] for t, s in enumerate(p)) - 2.0 * sum(a != b for a, b in zip(p, p[1:]))  # noqa: B023, E731
+        best = max(itertools.product(range(3), repeat=n), key=cost)
+        assert abs(cost(language_id.viterbi(scores, np.array([n]), 2.0)[0]) - cost(best)) < 1e-4
+
+
 # ------------------------------------------------------------------ quality
 
 
