@@ -44,6 +44,20 @@ def forecast_climatology(df: DataFrame, keys: list[str]) -> DataFrame:
     ).agg(F.avg("value").alias("value"))
 
 
+def _wanted() -> dict[str, tuple[float, str]]:
+    return {f"q{round(p * 100)}": (p, "linear") for probs in THRESHOLDS.values() for p in probs}
+
+
+def counted_thresholds(summary: DataFrame, keys: list[str], bounded: bool = True) -> DataFrame:
+    """Threshold quantiles of values that are counted already: keys (the month among them), value, copies."""
+    wanted = _wanted()
+    if not bounded:
+        return group_quantiles(summary, keys, "value", wanted)
+    probs = F.array(*[F.lit(p) for p, _ in wanted.values()])
+    found = summary.groupBy(*keys).agg(F.percentile("value", probs, F.col("copies")).alias("_q"))
+    return found.select(*keys, *[F.get("_q", F.lit(k)).alias(name) for k, name in enumerate(wanted)])
+
+
 def monthly_thresholds(
     df: DataFrame, keys: list[str], date: str = "month_start", bounded: bool = True
 ) -> DataFrame:
@@ -52,8 +66,6 @@ def monthly_thresholds(
     ``df`` holds monthly means. Columns are named q20, q40, ... q90. ``bounded`` as in
     ``group_quantiles``: cell and month bound a group unless the caller says otherwise.
     """
-    wanted = {
-        f"q{round(p * 100)}": (p, "linear") for probs in THRESHOLDS.values() for p in probs
-    }
+    wanted = _wanted()
     by_month = df.withColumn("month", F.month(date))
     return group_quantiles(by_month, [*keys, "month"], "value", wanted, bounded)

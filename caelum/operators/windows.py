@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caelum.functions.calendar import year_length
+from caelum.operators.skew import join_facts
 
 
 def target_day(first_year: int, issue_month: Column, lead: Column) -> Column:
@@ -141,30 +142,48 @@ def ring_days(targets: DataFrame, keys: list[str], window: int) -> DataFrame:
 
 
 def calendar_rows(
-    obs: DataFrame, targets: DataFrame, cell: list[str], ids: list[str], window: int
+    obs: DataFrame, targets: DataFrame, cell: list[str], ids: list[str], window: int, by_year: bool = False
 ) -> DataFrame:
     """Like ``calendar_pool`` but one row per distinct value and target of its cell, with its ``copies``.
 
-    Values are counted per day first, so copies do not multiply with the window.
+    Values are counted per day first, so copies do not multiply with the window. ``by_year`` keeps them apart by ``year``.
     """
+    year = [F.year("valid_date").alias("year")] if by_year else []
+    apart = ["year"] if by_year else []
     dated = (
         obs.select(
             *cell,
             year_length(F.col("valid_date")).alias("len"),
             F.dayofyear("valid_date").alias("doy"),
+            *year,
             "value",
         )
-        .groupBy(*cell, "len", "doy", "value")
+        .groupBy(*cell, "len", "doy", *apart, "value")
         .agg(F.count("*").alias("copies"))
     )
     return dated.join(ring_days(targets, [*cell, *ids], window), [*cell, "len", "doy"]).select(
-        *cell, *ids, "value", "copies"
+        *cell, *ids, *apart, "value", "copies"
     )
 
 
-def lead_rows(mdl: DataFrame, targets: DataFrame, cell: list[str], window: int) -> DataFrame:
-    """Like ``lead_pool`` but one row per distinct value and target lead it serves, with ``copies``."""
-    counted = mdl.groupBy(*cell, "lead", "value").agg(F.count("*").alias("copies"))
+def without_own_year(counted: DataFrame, years: DataFrame, keys: list[str], year: str = "year") -> DataFrame:
+    """Counted values (keys, year, value, copies) of all years but one, for each year predicted: keys, ``year``, value, copies.
+
+    ``years`` has the predicted years (keys, ``year``). A sample without a year is the count of each value over all years less
+    its count in that year: the two are added up with opposite signs, and what is left over is kept. So the sample's rows
+    are counted once, and a value that only the predicted year has is gone.
+    """
+    whole = counted.groupBy(*keys, "value").agg(F.sum("copies").alias("copies"))
+    every = join_facts(whole, years.select(*keys, year).distinct(), keys, "inner")
+    own = counted.select(*keys, "value", (-F.col("copies")).alias("copies"), F.col("year").cast("int").alias(year))
+    rest = every.unionByName(own).groupBy(*keys, year, "value").agg(F.sum("copies").alias("copies"))
+    return rest.where("copies > 0")
+
+
+def lead_rows(mdl: DataFrame, targets: DataFrame, cell: list[str], window: int, year: str | None = None) -> DataFrame:
+    """Like ``lead_pool`` but one row per distinct value and target lead it serves, with ``copies``; kept apart by ``year`` if given."""
+    apart = [F.col(year).alias("year")] if year else []
+    counted = mdl.groupBy(*cell, "lead", *apart, "value").agg(F.count("*").alias("copies"))
     reach = F.sequence(F.col("lead") - window, F.col("lead") + window)
-    spread = counted.select(*cell, F.explode(reach).alias("lead"), "value", "copies")
+    spread = counted.select(*cell, F.explode(reach).alias("lead"), *(["year"] if year else []), "value", "copies")
     return spread.join(targets.select(*cell, "lead").distinct(), [*cell, "lead"], "left_semi")

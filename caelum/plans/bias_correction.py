@@ -17,7 +17,9 @@ from caelum.operators.windows import (
     other_years,
     other_years_missing,
     target_day,
+    without_own_year,
 )
+from caelum.session import cut
 
 
 def map_groups(
@@ -136,7 +138,7 @@ def bias_correct(
     window it belongs to, and groups are mapped in value slices.
 
     ``crossval`` corrects each predicted issue year without it: without the hindcast issued in it and without the reference days dated in it
-    (days of a lead that has crossed New Year are dated in the next year and stay). It needs ``bounded``.
+    (days of a lead that has crossed New Year are dated in the next year and stay).
     """
     group = [*cell, "issue_month", "lead"]
     pred = with_draw(pred, [*group, *ids])
@@ -144,18 +146,13 @@ def bias_correct(
     if bounded:
         mapped = _corrected_in_arrays(pred, obs, mdl, cell, ids, first_year, params, gumbel, crossval)
         return finish(mapped, params, precip)
-    if crossval:
-        raise ValueError("cross-validation holds a window's values by year: it needs bounded cells")
     day = target_day(first_year, F.col("issue_month"), F.col("lead"))
     targets = pred.select(*group).distinct().withColumn("day", day)
-    mapped = map_rows(
-        pred,
-        calendar_rows(obs, targets, cell, ["issue_month", "lead"], params.window),
-        lead_rows(mdl, targets, [*cell, "issue_month"], params.mdl_window),
-        group,
-        ids,
-        params,
-        slice_rows,
-        gumbel,
-    )
+    reference = calendar_rows(obs, targets, cell, ["issue_month", "lead"], params.window, crossval)
+    hindcast = lead_rows(mdl, targets, [*cell, "issue_month"], params.mdl_window, "issue_year" if crossval else None)
+    if crossval:  # each predicted year is a group of its own, with samples that lack it
+        years = cut(pred.select(*group, "issue_year").distinct(), "predicted-years")
+        reference, hindcast = (without_own_year(f, years, group, "issue_year") for f in (reference, hindcast))
+        group, ids = [*group, "issue_year"], [c for c in ids if c != "issue_year"]
+    mapped = map_rows(pred, reference, hindcast, group, ids, params, slice_rows, gumbel)
     return finish(mapped, params, precip)

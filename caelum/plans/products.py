@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from caelum.config import VARIABLES, CorrectionParams, Domain
 from caelum.functions.calendar import evaluation_months, month_start, valid_date
 from caelum.operators.categories import nominal_members
-from caelum.operators.monthly import monthly_mean, monthly_thresholds
+from caelum.operators.monthly import counted_thresholds, monthly_mean, monthly_thresholds
 from caelum.plans.bias_correction import bias_correct
 from caelum.plans.evaluation import evaluate
-from caelum.sources.scan import scan_store
+from caelum.sources.scan import scan_store, tile
 from caelum.sources.sink import (
     packed_by_variable,
     partition_columns,
@@ -45,10 +45,15 @@ def read_issues(spark: SparkSession, path: str, variables: list[str] | None = No
     return df.withColumn("value", unpacked_by_variable(F.col("variable"), F.col("value")))
 
 
-def write_reference(df: DataFrame, path: str) -> None:
-    """Add years of a reference (variable, valid_date, lat, lon, value) to its store."""
+def write_reference(df: DataFrame, path: str, tiled: bool = False) -> None:
+    """Add years of a reference (variable, valid_date, lat, lon, value) to its store.
+
+    ``tiled`` partitions by tile too, so that a list of cells reads its own tiles only.
+    """
     stored = df.withColumn("year", F.year("valid_date"))
-    write_partitions(stored, path, ["variable", "year"], ["lat", "lon", "valid_date"])
+    if tiled:
+        stored = stored.withColumn("tile", tile(F.col("lat"), F.col("lon")))
+    write_partitions(stored, path, ["variable", *(["tile"] if tiled else []), "year"], ["lat", "lon", "valid_date"])
 
 
 def hindcast(spark, path: str, variable: str, issue_month: int, domain: Domain) -> DataFrame:
@@ -122,6 +127,22 @@ def normals(history: DataFrame) -> tuple[DataFrame, DataFrame]:
     return climatology, monthly_thresholds(means, CELL)
 
 
+def add_to_summary(months: DataFrame, path: str, keys: list[str], added: str = "year") -> None:
+    """Put years (or issues) of monthly means into a stored summary: each distinct value of a key and calendar month with its copies.
+
+    ``months`` has keys, month_start, ``added`` and value. A summary is partitioned by ``added``: a year that comes again
+    replaces itself, no other partition is read or written. Summaries are exact and add up, see ``summary_thresholds``.
+    """
+    counted = months.groupBy(*keys, F.month("month_start").alias("month"), added, "value").agg(F.count("*").alias("copies"))
+    write_partitions(counted, path, [added], [*keys, "month"])
+
+
+def summary_thresholds(spark: SparkSession, path: str, keys: list[str], bounded: bool = True) -> DataFrame:
+    """Thresholds of all that a summary holds, without the values it was made from; as ``monthly_thresholds`` would give them."""
+    summary = spark.read.parquet(path).groupBy(*keys, "month", "value").agg(F.sum("copies").alias("copies"))
+    return counted_thresholds(summary, [*keys, "month"], bounded)
+
+
 def forecast_thresholds(months: DataFrame) -> DataFrame:
     """Thresholds of monthly forecasts, kept apart by issue month."""
     by_issue = months.withColumn("issue_month", F.month("issue_date"))

@@ -27,8 +27,12 @@ def build_session(master: str | None = None, app: str = "caelum", **extra: str)
 
 
 def _scratch(spark: SparkSession) -> str:
-    """This application's folder below ``spark.checkpoint.dir``, or below the warehouse where that is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """This application's folder below ``spark.checkpoint.dir``; on one machine, as in tests, below the warehouse if that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/caelum-{spark.sparkContext.applicationId}"
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caelum.config import VARIABLES
@@ -26,18 +28,17 @@ def write_partitions(
     by: list[str],
     sort: list[str] | None = None,
     replace_all: bool = False,
-    files: int = 8,
 ) -> None:
     """Replace the partitions present in ``df`` and keep the others.
 
     A rerun of the same issue therefore writes it again instead of twice. ``sort`` gives the
-    order inside a file; rows of one first sort column stay in one of at most ``files`` files a partition. Rows are dealt by
-    hash, since a range partitioning would evaluate a computed ``df`` twice. ``replace_all`` drops the
+    order inside a file. Rows are brought together by partition, and adaptive execution then makes tasks of its advisory size:
+    small partitions share one, a large one is divided among as many as its bytes need, each writing a file in order. Hash, not
+    range, since a range partitioning would evaluate a computed ``df`` twice. ``replace_all`` drops the
     partitions not in ``df`` as well.
     """
     if sort:
-        tile = F.pmod(F.xxhash64(sort[0]), F.lit(files))
-        df = df.repartition(*by, tile).sortWithinPartitions(*by, *sort)
+        df = df.hint("rebalance", *by).sortWithinPartitions(*by, *sort)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
@@ -68,6 +69,49 @@ def unpacked_by_variable(variable: Column, packed: Column) -> Column:
     return F.coalesce(*[F.when(variable == name, unpack(packed.cast("int"), v)) for name, v in VARIABLES.items()])
 
 
+def _files(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def relay(spark: SparkSession, path: str, write: Callable[[DataFrame, str], None]) -> None:
+    """Write a store anew under its own path, in another order or partitioning.
+
+    ``write(df, to)`` writes what the store holds to ``to``. That is a folder beside the store, which takes its place when it is
+    complete; the old one is deleted last. A run that is broken off leaves the store whole under its path, or is put right
+    by ``recover``, which the next ``relay`` calls first.
+    """
+    recover(spark, path)
+    base = path.rstrip("/")
+    write(spark.read.parquet(path), f"{base}__new")
+    place, files = _files(spark, base)
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(f"{base}__{x}") for x in ("new", "old"))
+    files.rename(place, old)
+    files.rename(new, place)
+    files.delete(old, True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Bring a store back to one of its two states after a broken ``relay``: the new one if it was complete, else the old one."""
+    base = path.rstrip("/")
+    place, files = _files(spark, base)
+    new, old, done = (spark._jvm.org.apache.hadoop.fs.Path(f"{base}__{x}") for x in ("new", "old", "new/_SUCCESS"))
+    if not files.exists(place) and files.exists(old):
+        files.rename(new if files.exists(done) else old, place)
+    for left in (new, old):
+        if files.exists(left):
+            files.delete(left, True)
+
+
+def write_buckets(df: DataFrame, table: str, cell: list[str], buckets: int, order: list[str], path: str | None = None) -> None:
+    """A store as a table hashed by cell into ``buckets`` and sorted: later joins and groupings by cell move nothing.
+
+    Tables that are to be read together have the same ``cell`` and ``buckets``.
+    """
+    writer = df.repartition(buckets, *cell).write.mode("overwrite").bucketBy(buckets, *cell).sortBy(*cell, *order)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def series_layout(df: DataFrame, cell: list[str], order: list[str]) -> DataFrame:
     """Each cell's whole series contiguous in one file, for work along time."""
     return df.repartition(*cell).sortWithinPartitions(*cell, *order)

@@ -229,7 +229,7 @@ m as materialized (select t.cell, t.issue_year, t.issue_month, t.lead, value fro
 p as (select cell, {STEP}, value, 0e0 draw from mdl),"""
     + mapping_ctes("cell,issue_year,issue_month,lead")
 )
-ORACLES["bcsd_crossval"] = with_views(["obs", "mdl"], CROSS, f"select cell, {STEP}, {r(corrected())} corrected from full_res")
+ORACLES["bcsd_crossval"] = ORACLES["bcsd_crossval_rows"] = with_views(["obs", "mdl"], CROSS, f"select cell, {STEP}, {r(corrected())} corrected from full_res")
 
 # ------------------------------------------------------------------ monthly products
 
@@ -609,13 +609,18 @@ ORACLES["scan_store"] = with_views(
     f"select cell, valid_date, case when day(valid_date) not in (3, 5) then {r('value')} end as value from history where year(valid_date) in (1996, 1997) and month(valid_date) in (6, 7)",
 )
 ORACLES["scan_members"] = f"select cast(user_id % 7 as int) ens, event_id, {r('value')} as value from events"
+ORACLES["scan_members_mixed"] = ORACLES["scan_members"]
+ORACLES["relay_in_place"] = ORACLES["layout_map"]
+ORACLES["thresholds_incremental"] = ORACLES["thresholds_ref"]
+ORACLES["scan_cells"] = with_views(["history"], "", SAME + " join nation on cell = n_nationkey where n_regionkey = 1")
+
 # ------------------------------------------------------------------ dates as text, on both sides
 
 DATES = {
     "month_start": "monthly_mean_ens monthly_mean_ref monthly_mean_corrected monthly_series ens_stats anomaly anomaly_rel "
     "cat_extreme cat_quintile cat_tercile cat_best cat_encoded cat_masked cat_sentinel cat_nominal eval_product eval_precip calendar_parts",
     "issue_date": "monthly_mean_ens monthly_mean_corrected monthly_series valid_cell_mask eval_product eval_precip cat_nominal raw_to_daily prepare roundtrip_issue",
-    "valid_date": "raw_to_daily valid_date flatten_5d roundtrip_packed roundtrip_issue append_idempotent replace_store layout_map scan_store",
+    "valid_date": "raw_to_daily valid_date flatten_5d roundtrip_packed roundtrip_issue append_idempotent replace_store layout_map scan_store relay_in_place scan_cells",
     "date": "period_filter",
     "back": "day_number",
     "start": "coverage",

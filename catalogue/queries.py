@@ -269,6 +269,15 @@ def bcsd_crossval(spark, d):
     return res.select("cell", *STEP, out("corrected").alias("corrected"))
 
 
+@query
+def bcsd_crossval_rows(spark, d):
+    """The same for cells of any size: samples without a year are differences of counts."""
+    lines = V.shipped(spark, d)
+    mdl = V.mdl(spark, d, lines)
+    res = bc.bias_correct(mdl, V.obs(spark, d, lines), mdl, ["cell"], ["issue_year", "ens"], FIRST_YEAR, PRICE, crossval=True)
+    return res.select("cell", *STEP, out("corrected").alias("corrected"))
+
+
 # ------------------------------------------------------------------ monthly products
 
 
@@ -1000,6 +1009,49 @@ def scan_members(spark, d):
     return df.select("ens", "event_id", out("value").alias("value"))
 
 
+@query
+def scan_members_mixed(spark, d):
+    """Members whose files name their columns differently, in one scan."""
+    path = scratch_path(spark, "mixed")
+    events = V.table(spark, d, "events").withColumn("member", (F.col("user_id") % 7).cast("int"))
+    spelt = [("event_id", "value"), ("id", "var228"), ("id", "value")]
+    for k, (key, value) in enumerate(spelt):
+        events.where(F.col("member") % 3 == k).select("member", F.col("event_id").alias(key), F.col("value").alias(value)).write.partitionBy("member").parquet(f"{path}/{k}")
+    df = scan.scan_members(spark, f"{path}/*/member=*", r"member=(\d+)", names={"event_id": ["id"], "value": ["var228"], "nothing": ["none"]})
+    return df.select("ens", "event_id", out("value").alias("value"))
+
+
+@query
+def scan_cells(spark, d):
+    """The cells of one region from a tiled reference store; other tiles are not read."""
+    path = scratch_path(spark, "tiles")
+    placed = _placed_history(spark, d).withColumn("variable", F.lit("tp"))
+    products.write_reference(placed, path, tiled=True)
+    cells = V.table(spark, d, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").alias("cell"))
+    cells = cells.select((10.0 + F.floor(F.col("cell") / 5)).alias("lat"), fields.wrap_longitude(352.0 + 4 * (F.col("cell") % 5)).alias("lon"))
+    got = scan.scan_store(spark, path, ["tp"], cells=cells)
+    return got.select("cell", "valid_date", out("value").alias("value"))
+
+
+@query
+def relay_in_place(spark, d):
+    """A store in series order laid anew as maps under its own path."""
+    path = scratch_path(spark, "relay")
+    sink.series_layout(V.history(spark, d), ["cell"], ["valid_date"]).write.parquet(path)
+    sink.relay(spark, path, lambda df, to: sink.map_layout(df, "valid_date", ["cell"]).write.parquet(to))
+    return _layout(spark.read.parquet(path), "valid_date", "cell")
+
+
+@query
+def thresholds_incremental(spark, d):
+    """Thresholds after a year has been added to a summary, and one has come twice."""
+    path = scratch_path(spark, "summary")
+    months = _monthly_ref(spark, d).withColumn("year", F.year("month_start"))
+    for years in ([1995, 1996, 1997, 1998], [1999], [1997]):
+        products.add_to_summary(months.where(F.col("year").isin(years)), path, ["cell"])
+    return _rounded_thresholds(products.summary_thresholds(spark, path, ["cell"]))
+
+
 def _dates_as_text(fn):
     """Dates are returned as text, since engines hand them to clients in different types."""
 
