@@ -20,7 +20,7 @@ from caelum.config import CorrectionParams
 from caelum.functions import sorted_arrays as sa
 from caelum.operators.gumbel import fit_left_gumbel, fit_left_gumbel_arrays
 from caelum.operators.quantiles import SLICE_ROWS, bracket, distinct_knots, positions, weight
-from caelum.operators.skew import join_facts
+from caelum.operators.skew import join_counted, join_facts
 from caelum.session import cut
 
 GROUP_FACTS = [
@@ -339,11 +339,11 @@ def map_rows(
 
     # each distinct forecast value is looked up once
     limits = k_mdl.groupBy(*keys).agg(F.min("q").alias("q_min"), F.max("q").alias("q_max"))
-    distinct = pred.where(F.col("value").isNotNull()).select(*keys, "value").distinct()
+    distinct = pred.where(F.col("value").isNotNull()).groupBy(*keys, "value").agg(F.count("*").alias("asked"))
     values = (
         join_facts(distinct, limits.join(ready, keys, "left_semi"), keys, "inner")
         .withColumn("clamped", F.least(F.greatest("value", "q_min"), "q_max"))
-        .select(*keys, "value", "clamped")
+        .select(*keys, "value", "clamped", "asked")
     )
     values = cut(values, "forecast-values")
     p_mdl = F.col("i") / F.lit(float(nq + 1))
@@ -394,7 +394,7 @@ def map_rows(
     )
     looked_up = join_facts(values, forward.join(back, [*keys, "rank"], "left"), [*keys, "clamped"], "inner")
     rows = (
-        join_facts(join_facts(pred, looked_up, [*keys, "value"]), facts, keys)
+        join_facts(join_counted(pred, looked_up, [*keys, "value"], "asked", slice_rows), facts, keys)
         .withColumn("usable", F.coalesce("usable", F.lit(False)))
         .withColumn("varied", F.coalesce("varied", F.lit(False)))
         .withColumn("draw_rank", F.col("dry_mdl") * F.col("draw"))

@@ -21,17 +21,17 @@ DRAWN = 32
 LONG = "decimal(18,0)"  # positions times knot counts pass 64 bits for very large groups
 
 
-def sliced(df: DataFrame, keys: list[str], x: str, rows: Column, slice_rows: int) -> DataFrame:
-    """``df``, which has few rows of equal keys and ``x``, with ``slice``: 0, 1, ... by rising ``x``.
+def sliced(df: DataFrame, keys: list[str], x: str, slice_rows: int) -> DataFrame:
+    """``df``, which has few rows of equal keys and ``x``, with ``slice``: -1, 0, 1, ... by rising ``x``.
 
-    A group gets about one slice for ``slice_rows`` rows and eight more, by the same rule whether it holds a hundred rows
+    A group gets about one slice for ``slice_rows`` rows, by the same rule whether it holds a hundred rows
     or 1e12: of values drawn by their hash, ``DRAWN`` for each slice, every ``DRAWN``-th in order begins one, so
-    slices are about even. ``rows`` is a column, the number of rows of the group.
+    slices are about even. So there are as many cuts as the table has slices, and none in most groups.
     """
-    share = F.least(F.lit(1.0), DRAWN * (1.0 / slice_rows + 8.0 / rows))
+    share = min(1.0, DRAWN / slice_rows)
     drawn = F.shiftrightunsigned(F.xxhash64(*keys, x), 12) < share * float(1 << 52)
     cuts = df.where(drawn).groupBy(*keys).agg(F.sort_array(F.collect_set(x)).alias("_cuts"))
-    cuts = cuts.withColumn("_cuts", F.filter("_cuts", lambda _, k: k % DRAWN == DRAWN - 1))
+    cuts = cuts.withColumn("_cuts", F.filter("_cuts", lambda _, k: k % DRAWN == DRAWN - 1)).where(F.size("_cuts") > 0)
     return join_facts(df, cuts, keys).withColumn("slice", F.coalesce(F.expr(last_at_most("_cuts", x)), F.lit(-1))).drop("_cuts")
 
 
@@ -54,22 +54,22 @@ def positions(
         .groupBy(*keys, "x")
         .agg(F.sum("copies").alias("copies"))
     )
-    extent = seen.groupBy(*keys).agg(
-        F.count("*").alias("d"),
-        F.sum("copies").alias("m"),
-        F.min("x").alias("lo"),
-    )
-    parts = sliced(join_facts(seen, extent, keys, "inner"), keys, "x", F.col("d"), slice_rows)
+    parts = sliced(seen, keys, "x", slice_rows)
     by_slice = Window.partitionBy(*keys).orderBy("slice")
     before = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+    group = by_slice.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # a row a slice, so a group's extent comes from it too
     summary = (
         parts.groupBy(*keys, "slice")
-        .agg(F.sum("copies").alias("in_slice"), F.min("x").alias("first_x"))
+        .agg(F.sum("copies").alias("in_slice"), F.count("*").alias("d_slice"), F.min("x").alias("first_x"))
         .select(
             *keys,
             "slice",
             F.coalesce(F.sum("in_slice").over(before), F.lit(0)).alias("offset"),
             F.lead("first_x").over(by_slice).alias("after"),
+            F.sum("in_slice").over(group).alias("m"),
+            F.sum("d_slice").over(group).alias("d"),
+            F.min("first_x").over(group).alias("lo"),
         )
     )
     in_order = Window.partitionBy(*keys, "slice").orderBy("x")
@@ -146,8 +146,7 @@ def bracket(
     both = knots.select(*keys, at, knot.alias("knot")).unionByName(
         points.select(*keys, at), allowMissingColumns=True
     )
-    extent = both.groupBy(*keys).agg(F.count("*").alias("rows"))
-    both = sliced(join_facts(both, extent, keys, "inner"), keys, at, F.col("rows"), slice_rows)
+    both = sliced(both, keys, at, slice_rows)
     by_slice = Window.partitionBy(*keys).orderBy("slice")
     carry = (
         both.groupBy(*keys, "slice")
