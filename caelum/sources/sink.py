@@ -28,17 +28,19 @@ def write_partitions(
     by: list[str],
     sort: list[str] | None = None,
     replace_all: bool = False,
+    tiles: int = 8,
 ) -> None:
     """Replace the partitions present in ``df`` and keep the others.
 
     A rerun of the same issue therefore writes it again instead of twice. ``sort`` gives the
-    order inside a file. Rows are brought together by partition, and adaptive execution then makes tasks of its advisory size:
-    small partitions share one, a large one is divided among as many as its bytes need, each writing a file in order. Hash, not
-    range, since a range partitioning would evaluate a computed ``df`` twice. ``replace_all`` drops the
+    order inside a file. Rows are brought together by partition and one of ``tiles`` parts of the first sort column's values, and
+    adaptive execution then makes tasks of its advisory size: small parts share one, a large one is divided among as many as
+    its bytes need, each writing a file in order. Hash, not range, since a range partitioning would evaluate a computed ``df`` twice. ``replace_all`` drops the
     partitions not in ``df`` as well.
     """
     if sort:
-        df = df.hint("rebalance", *by).sortWithinPartitions(*by, *sort)
+        dealt = df.withColumn("_tile", F.pmod(F.xxhash64(sort[0]), F.lit(tiles))).hint("rebalance", *by, "_tile")
+        df = dealt.drop("_tile").sortWithinPartitions(*by, *sort)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
