@@ -7,8 +7,8 @@ or more, and ``first`` is the earliest of them. Level k + 1 comes from pairs of
 as nothing repeats there, so levels shrink and end at the longest repeated run.
 
 Going down the levels again, each later copy finds the deepest interval with an earlier member: its maximal repeated run. Runs
-with enough words are deleted. Groups of a rank are only ever aggregated and joined, never gathered, and sums over
-ranks run in slots, so a line that a third of all documents hold is no task of its own.
+that hold a word (or ``min_words``) are deleted. Groups of a rank are only ever aggregated and joined, never gathered, and sums over
+ranks run in slots. A line that a third of all documents hold is a hot key of joins, whose tasks adaptive execution may split.
 """
 
 from __future__ import annotations
@@ -128,9 +128,10 @@ def removed_lines(docs: DataFrame, min_words: int, text: str) -> DataFrame | Non
     return cut(heads.join(ranges, "start").select(F.col("_doc").alias("_d"), F.col("_th").alias("_t"), "gone"), "lines-gone")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 10, text: str = "text", drop_emptied: bool = True) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = 1, text: str = "text", drop_emptied: bool = True) -> DataFrame:
     """``docs`` without later copies of repeated line runs of ``min_words`` words or more; its columns stay.
 
+    By default every repeated run that holds a word goes, of one short line too; blank lines go only inside such a run.
     A run is a sequence of whole lines within a document. The first occurrence, by doc_id and line, stays (of documents that share a
     doc_id the one of smaller text hash is first, null doc_ids come first); every line in a later one goes, copies that overlap
     their original included. Runs of any number of lines count, and only lines that are equal byte by byte. With
@@ -172,10 +173,10 @@ line as (
 counted as (
   select *, sum(words) over (partition by doc_id order by k) as total
   from (select *, case when regexp_matches(line, '\S') then len(string_split_regex(regexp_replace(line, '^\s+|\s+$', '', 'g'), '\s+')) else 0 end as words from line)),
-span as (  -- the shortest windows of ten words, from each first line and to each last line
-  select a.doc_id, a.k as a, min(b.k) as b from counted a join counted b on a.doc_id = b.doc_id and b.k >= a.k and b.total - a.total + a.words >= 10 group by all
+span as (  -- the shortest windows that hold a word, from each first line and to each last line
+  select a.doc_id, a.k as a, min(b.k) as b from counted a join counted b on a.doc_id = b.doc_id and b.k >= a.k and b.total - a.total + a.words >= 1 group by all
   union
-  select b.doc_id, max(a.k), b.k from counted a join counted b on a.doc_id = b.doc_id and b.k >= a.k and b.total - a.total + a.words >= 10 group by b.doc_id, b.k),
+  select b.doc_id, max(a.k), b.k from counted a join counted b on a.doc_id = b.doc_id and b.k >= a.k and b.total - a.total + a.words >= 1 group by b.doc_id, b.k),
 known as (
   select s.*, first_value((s.doc_id, s.a)) over (partition by array_to_string(d.lines[s.a:s.b], chr(10)) order by s.doc_id, s.a) as origin
   from span s join doc d using (doc_id)),

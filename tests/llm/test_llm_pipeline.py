@@ -25,7 +25,7 @@ def test_stages(spark):
     raw, good, lines, once, clean = seen
     scored, _, last = quality.resample(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
     assert good == {r["_doc"]: raw[r["_doc"]] for r in scored.collect() if r["key"] >= last}
-    left = brute.lines_left([*good.items()], 10) if len(good) < 50 else by_sql(good)
+    left = brute.lines_left([*good.items()], 1) if len(good) < 50 else by_sql(good)
     assert lines == {d: t for d, t in left.items() if t.strip()}
     groups = brute.groups([*lines.items()], 5)
     assert once == {d: t for d, t in lines.items() if groups[d][1] == d}
@@ -50,5 +50,5 @@ def by_sql(docs):
 
 def test_run(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    assert out.columns == ["doc_id", "ids", "n_tokens", "scores", "round_trip"] and 0 < out.count() <= 200
+    assert out.columns == ["doc_id", "ids", "n_tokens", "scores", "round_trip", "changes"] and 0 < out.count() <= 200
     assert out.where("not round_trip").count() == 0
