@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +21,7 @@ from caelum.llm.common import rows_of, table
 SPACE = "▁"
 NONE = -1e18
 PRIME = np.uint64(0x9E3779B97F4A7C15)
+Change = tuple[int, int, list[int]]
 
 
 def _step(h: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -233,36 +233,42 @@ class Segmenter:
             self.start = np.concatenate((self.start, self.start[-1] + np.cumsum([len(i) for i in ids])))
             self.flat = np.concatenate((self.flat, *ids))
 
-    def best(self, units: list[str]) -> tuple[np.ndarray, list[float], list[int]]:
-        """Ids of the best segmentation, scores of the ``n`` best, and the numbers of the units where those differ."""
+    def best(self, units: list[str]) -> tuple[np.ndarray, list[tuple[float, list[Change]]]]:
+        """Ids of the best segmentation and the ``n`` best as (score, changes to these ids), the best with none."""
         if not units:
-            return np.zeros(0, np.int32), [0.0], []
+            return np.zeros(0, np.int32), [(0.0, [])]
         own = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
         start, size = self.start[own], self.start[own + 1] - self.start[own]
-        ids = self.flat[np.repeat(start - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())]
+        place = np.concatenate(([0], np.cumsum(size)))
+        ids = self.flat[np.repeat(start - place[:-1], size) + np.arange(size.sum())]
         total, gap = self.score[own].sum(), self.gap[own]
         # A change of any other unit costs at least as much as each of these n - 1 changes alone.
         close = np.argsort(gap, kind="stable")[: self.n - 1]
         close = close[np.isfinite(gap[close])].tolist()
-        losses = [[self.list_of(units[k])[0][0] - s for s, _ in self.list_of(units[k])] for k in close]
-        return ids, [total - x for x in sorted(map(sum, product(*losses)))[: self.n]], close
+        picks: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
+        for k in close:  # what is not among the n least of some units is not among those of more
+            top, *others = self.list_of(units[k])
+            losses = [0.0, *(top[0] - s for s, _ in others)]
+            picks = heapq.nsmallest(self.n, ((loss + x, pick + (j,)) for loss, pick in picks for j, x in enumerate(losses)))
+        found = []
+        for loss, pick in picks:
+            changed = sorted((k, j) for k, j in zip(close, pick) if j)
+            found.append((total - loss, [(int(place[k]), int(size[k]), list(self.list_of(units[k])[j][1])) for k, j in changed]))
+        return ids, found
 
     def list_of(self, unit: str) -> list[tuple[float, tuple[int, ...]]]:
         if unit not in self.lists:
             self.lists[unit] = self.pieces.nbest(unit, self.n)
         return self.lists[unit]
 
-    def all(self, units: list[str]) -> list[tuple[float, list[int]]]:
-        """The ``n`` best (score, ids) of a text."""
-        ids, scores, close = self.best(units)
-        lists = [self.list_of(units[k]) for k in close]
-        picks = sorted(product(*map(range, map(len, lists))), key=lambda p: sum(x[0][0] - x[k][0] for x, k in zip(lists, p)))
-        out = []
-        for score, pick in zip(scores, picks):
-            changed = dict(zip(close, (x[k][1] for x, k in zip(lists, pick))))
-            parts = [changed.get(k, self.flat[self.start[j] : self.start[j + 1]]) for k, j in enumerate(map(self.known.__getitem__, units))]
-            out.append((score, [int(i) for part in parts for i in part]))
-        return out
+
+def changed_ids(ids: list[int], changes: list[Change]) -> list[int]:
+    """The ids of another segmentation: of each (at, length, new), ``length`` ids from ``at`` on give way to ``new``."""
+    out, done = [], 0
+    for at, length, new in changes:
+        out += ids[done:at] + new
+        done = at + length
+    return out + ids[done:]
 
 
 def decode_ids(raw: list[bytes], ids) -> str:
@@ -272,15 +278,18 @@ def decode_ids(raw: list[bytes], ids) -> str:
 
 
 def encode(docs: DataFrame, model: str | None = None, n: int = 4, text: str = "text", all_ids: bool = False) -> DataFrame:
-    """``doc_id, ids, n_tokens, scores, round_trip`` of every row; with ``all_ids`` also ``nbest``, all n best ids.
+    """``doc_id, ids, n_tokens, scores, round_trip, changes`` of every row; with ``all_ids`` also ``nbest``, all n best ids.
 
-    ``scores`` are those of the n best segmentations, falling, fewer if there are fewer; ``ids`` is the best one. A
+    ``scores`` are those of the n best segmentations, falling, fewer if there are fewer; ``ids`` is the best one, and ``changes``
+    says how each differs from it: instead of ``length`` ids from ``at`` on it has the ids given, in rising order, none for the best. A
     character that is no piece is spelt in byte pieces. ``round_trip``: decoding the ids gives the text again (false only for
     texts that hold U+2581 itself, which stands for the space). Null and empty texts have no ids and score 0.
     Repeated rows and null doc_ids are treated like others; other columns are left out.
     """
     path = model or public_tokenizers.path("piece_bpe_32k.model")
-    kinds = "doc_id long, ids array<int>, n_tokens long, scores array<double>, round_trip boolean" + ", nbest array<array<int>>" * all_ids
+    kinds = "doc_id long, ids array<int>, n_tokens long, scores array<double>, round_trip boolean, changes array<array<struct<at: int, length: int, ids: array<int>>>>"
+    kinds += ", nbest array<array<int>>" * all_ids
+    change = pa.struct([("at", pa.int32()), ("length", pa.int32()), ("ids", pa.list_(pa.int32()))])
 
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(path)
@@ -289,24 +298,27 @@ def encode(docs: DataFrame, model: str | None = None, n: int = 4, text: str = "t
             texts = [v.as_py() or "" for v in batch.column(1)]
             units = [pieces.units(t) for t in texts]
             segmenter.learn([u for own in units for u in own])
-            ids, scores, good, nbest = [], [], [], []
+            ids, scores, good, changes, nbest = [], [], [], [], []
             for t, own in zip(texts, units):
-                found, score, _ = segmenter.best(own)
+                found, best = segmenter.best(own)
+                first = found.tolist()
                 ids.append(found)
-                scores.append(score)
-                good.append(decode_ids(pieces.raw, found.tolist()) == t)
+                scores.append([score for score, _ in best])
+                good.append(decode_ids(pieces.raw, first) == t)
+                changes.append([[dict(zip(("at", "length", "ids"), c)) for c in made] for _, made in best])
                 if all_ids:
-                    nbest.append([x for _, x in segmenter.all(own)])
+                    nbest.append([changed_ids(first, made) for _, made in best])
             columns = [
                 batch.column(0),
                 pa.array(ids, pa.list_(pa.int32())),
                 pa.array([*map(len, ids)], pa.int64()),
                 pa.array(scores, pa.list_(pa.float64())),
                 pa.array(good),
+                pa.array(changes, pa.list_(pa.list_(change))),
             ]
             if all_ids:
                 columns.append(pa.array(nbest, pa.list_(pa.list_(pa.int32()))))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n_tokens", "scores", "round_trip", "nbest"][: len(columns)])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n_tokens", "scores", "round_trip", "changes", "nbest"][: len(columns)])
 
     return docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string").alias("text")).mapInArrow(segment, kinds)
 
@@ -328,7 +340,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
 
 
 def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The n best scores and the digest of the best ids (decimal, comma-joined) of every document."""
+    """The n best scores, the digest of the best ids (decimal, comma-joined) and the others' changes to them (JSON) of every document."""
     rows = encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256")
-    return rows.select("doc_id", "n_tokens", "scores", digest, "round_trip")
+    return rows.select("doc_id", "n_tokens", "scores", digest, F.to_json("changes").alias("changes"), "round_trip")

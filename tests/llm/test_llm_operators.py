@@ -1,8 +1,10 @@
 """Operators against plain Python, SQL or the libraries, and their defined results on odd rows."""
 
 import glob
+import hashlib
 import html
 import itertools
+import json
 import math
 import random
 import tracemalloc
@@ -238,6 +240,7 @@ def test_pieces(spark, sf_dir, pieces):
         assert r["nbest"][0] == r["ids"] and len({tuple(x) for x in r["nbest"]}) == len(r["scores"]) == len(r["nbest"]) <= 3
         assert r["scores"] == sorted(r["scores"], reverse=True)
         assert all(sentence_pieces.decode_ids(pieces.raw, x) == text.replace("▁", " ") for x in r["nbest"])
+        assert r["nbest"] == [sentence_pieces.changed_ids(r["ids"], made) for made in r["changes"]]
         if text and all(c in pieces.ids for c in text.replace(" ", "▁")) and len(text) < 40:
             whole = pieces.nbest("▁" + text.replace(" ", "▁"), 3)  # one lattice over the whole text
             assert r["scores"] == pytest.approx([s for s, _ in whole])
@@ -246,6 +249,26 @@ def test_pieces(spark, sf_dir, pieces):
     assert sentence_pieces.encode(df.limit(0)).count() == 0
 
 
+def test_nbest_of_many(spark, pieces):
+    """Ten and more of a text of many units, against one lattice over the whole text."""
+    text = "the quick brown fox jumps over lazy dogs and so on"
+    for n in (2, 10, 40):
+        r = sentence_pieces.encode(spark.createDataFrame([(1, text)], DOCS), n=n, all_ids=True).first()
+        whole = pieces.nbest("▁" + text.replace(" ", "▁"), n)
+        assert r["scores"] == pytest.approx([s for s, _ in whole]) and len({tuple(x) for x in r["nbest"]}) == n
+        assert [sum(pieces.scores[i] for i in x) for x in r["nbest"]] == pytest.approx(r["scores"])
+
+
+def test_pieces_query(spark, sf_dir):
+    """The query's changes and digest are those of the operator."""
+    whole = {r["doc_id"]: r for r in sentence_pieces.encode(documents(spark, sf_dir), all_ids=True).collect()}
+    for r in sentence_pieces.op10_sentence_pieces(spark, sf_dir).collect():
+        own = whole[r["doc_id"]]
+        made = [[(c["at"], c["length"], c["ids"]) for c in changes] for changes in json.loads(r["changes"])]
+        assert [sentence_pieces.changed_ids(own["ids"], c) for c in made] == own["nbest"]
+        assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, own["ids"])).encode()).hexdigest()
+
+
 def test_long_units(spark, pieces):
     """Runs that no pair cuts: memory grows with their length, not with its square."""
     tracemalloc.start()
