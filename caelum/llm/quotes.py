@@ -133,19 +133,33 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     return out.select("conv_id", "turn", "role", own_text(F.col("text")).alias("content"), "parent", "path", zero("n_passages"), zero("n_linked"), zero("depth"))
 
 
+def said(role: Column, content: Column) -> Column:
+    return F.concat(F.lit("<|"), F.coalesce(role, F.lit("")), F.lit("|>\n"), content, F.lit("\n"))
+
+
 def conversations(linked: DataFrame, turns: int = 64) -> DataFrame:
     """``conv_id, path, part, n_messages, text``: formatted conversations in reply order, in parts of at most ``turns`` turns.
 
-    Sorted by (conv_id, path, part) the texts make up each conversation; parts bound what one row holds.
+    Sorted by (conv_id, path, part) the texts make up each conversation; parts bound what one row holds. Rows of one turn come in the order of
+    role and text, and rows that say the same at one turn are said once (``n_messages`` counts them all). A row
+    without conv_id or turn is a part of its own, with a null ``part``; such rows are not grouped, however many there are.
     """
-    said = F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), F.col("content"), F.lit("\n"))
-    parts = linked.groupBy("conv_id", "path", F.floor(F.col("turn") / turns).alias("part"))
-    sorted_ = F.array_sort(F.collect_list(F.struct("turn", "role", said.alias("said"))))
-    return parts.agg(F.count("*").alias("n_messages"), F.array_join(F.transform(sorted_, lambda m: m["said"]), "").alias("text"))
+    named = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    own = said(F.col("role"), F.col("content"))
+    parts = linked.where(named).groupBy("conv_id", "path", F.floor(F.col("turn") / turns).alias("part"))
+    texts = F.array_sort(F.collect_set(F.struct("turn", own.alias("said"))))
+    parts = parts.agg(F.count("*").alias("n_messages"), F.array_join(F.transform(texts, lambda m: m["said"]), "").alias("text"))
+    alone = linked.where(~named).select("conv_id", "path", F.lit(None).cast("long").alias("part"), F.lit(1).cast("long").alias("n_messages"), own.alias("text"))
+    return parts.union(alone)
 
 
 def op9_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = link_quotes(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    """Every message with its links, and the number of messages and the digest of the formatted part of a conversation that it is in."""
+    turns = 64
+    linked = cut(link_quotes(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")), "quote-linked")
+    parts = conversations(linked, turns).where("part is not null")
+    parts = parts.select("conv_id", "path", "part", "n_messages", F.sha2("text", 256).alias("part_sha256"))
+    rows = linked.withColumn("part", F.floor(F.col("turn") / turns)).join(parts, ["conv_id", "path", "part"], "left")
     return rows.select(
         "conv_id",
         "turn",
@@ -156,6 +170,8 @@ def op9_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_linked",
         "depth",
         F.sha2("content", 256).alias("content_sha256"),
+        F.coalesce("n_messages", F.lit(1)).cast("long").alias("part_messages"),
+        F.coalesce("part_sha256", F.sha2(said(F.col("role"), F.col("content")), 256)).alias("part_sha256"),
     )
 
 
@@ -197,13 +213,24 @@ path as (
   select r.conv_id, r.turn, list_concat(p.path, [-r.quoted, r.turn])
   from reply r join reply a on a.conv_id = r.conv_id and a.turn = r.quoted
   join path p on p.conv_id = a.conv_id and p.run is not distinct from a.run
-  where r.begins is not null)
-select m.conv_id, m.turn, m.role, coalesce(r.quoted, r.previous) as reply_to, array_to_string(p.path, ',') as path,
-  coalesce(n_passages, 0) as n_passages, coalesce(n_linked, 0) as n_linked, cast(coalesce(depth, 0) as bigint) as depth,
-  sha256(trim(regexp_replace(
-    array_to_string(list_filter(string_split_regex(m.text, '\r?\n'), lambda x : not regexp_matches(x, '^(?:[ \t]*>)+')), chr(10)),
-    '\n\s*\n\s*\n', chr(10) || chr(10), 'g'), chr(32) || chr(10) || chr(9))) as content_sha256
-from msg m left join count_ c on m.id = c.id
-left join reply r on r.conv_id = m.conv_id and r.turn = m.turn
-left join path p on p.conv_id = r.conv_id and p.run is not distinct from r.run
+  where r.begins is not null),
+row_ as (
+  select m.conv_id, m.turn, m.role, coalesce(r.quoted, r.previous) as reply_to, array_to_string(p.path, ',') as path,
+    coalesce(n_passages, 0) as n_passages, coalesce(n_linked, 0) as n_linked, cast(coalesce(depth, 0) as bigint) as depth,
+    trim(regexp_replace(
+      array_to_string(list_filter(string_split_regex(m.text, '\r?\n'), lambda x : not regexp_matches(x, '^(?:[ \t]*>)+')), chr(10)),
+      '\n\s*\n\s*\n', chr(10) || chr(10), 'g'), chr(32) || chr(10) || chr(9)) as content,
+    '<|' || coalesce(m.role, '') || '|>' || chr(10) || content || chr(10) as said, floor(m.turn / 64) as part
+  from msg m left join count_ c on m.id = c.id
+  left join reply r on r.conv_id = m.conv_id and r.turn = m.turn
+  left join path p on p.conv_id = r.conv_id and p.run is not distinct from r.run),
+part as (
+  select conv_id, path, part, cast(sum(n) as bigint) as n, sha256(string_agg(said, '' order by turn, said)) as sha
+  from (
+    select conv_id, path, part, turn, said, count(*) as n from row_
+    where conv_id is not null and turn is not null group by all)
+  group by all)
+select r.conv_id, r.turn, r.role, r.reply_to, r.path, r.n_passages, r.n_linked, r.depth, sha256(r.content) as content_sha256,
+  coalesce(p.n, 1) as part_messages, coalesce(p.sha, sha256(r.said)) as part_sha256
+from row_ r left join part p on p.conv_id = r.conv_id and p.path = r.path and p.part = r.part
 """

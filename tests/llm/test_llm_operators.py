@@ -528,6 +528,11 @@ def test_quotes(spark, tmp_path):
         (3, 1, "user", ""),
         (None, 1, "user", "> x"),
         (4, None, "user", "y"),
+        (None, 1, "user", "> x"),
+        (None, None, None, "z"),
+        (5, 1, "b", "same turn"),
+        (5, 1, "a", "same turn"),
+        (5, 70, "a", "next part"),
     ]
     path = str(tmp_path / "conversations.parquet")
     df = spark.createDataFrame([(*r, "p") for r in said], "conv_id long, turn long, role string, text string, path string")
@@ -545,6 +550,12 @@ def test_quotes(spark, tmp_path):
         assert at[1, t]["parent"] is None or at[1, t]["parent"] in order[:k]
     parts = quotes.conversations(got, 2).where("conv_id = 1").orderBy("path", "part").collect()
     assert "".join(p["text"] for p in parts) == "".join(f"<|{at[1, t]['role']}|>\n{at[1, t]['content']}\n" for t in order)
+    every = [(r["conv_id"], r["part"], r["n_messages"], r["text"]) for r in quotes.conversations(got).collect()]
+    assert sorted(x[1:] for x in every if x[0] == 3) == [(0, 3, "<||>\n\n<|user|>\n\n")]
+    assert sorted(x[1:] for x in every if x[0] == 5) == [(0, 2, "<|a|>\nsame turn\n<|b|>\nsame turn\n"), (1, 1, "<|a|>\nnext part\n")]
+    alone = sorted(x[2:] for x in every if x[1] is None)
+    assert alone == [(1, "<|user|>\n\n"), (1, "<|user|>\n\n"), (1, "<|user|>\ny\n"), (1, "<||>\nz\n")]
+    assert sum(x[2] for x in every) == len(said) and quotes.conversations(got.limit(0)).count() == 0
     assert quotes.link_quotes(df.limit(0)).count() == 0
     query = by_name(quotes.op9_quotes(spark, str(tmp_path)))
     assert query == in_sql(quotes.SQL, conversations=glob.glob(f"{path}/*.parquet")[0])
