@@ -18,6 +18,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +52,21 @@ def shingles_of(text: str | None, n: int, known: WordHashes) -> np.ndarray:
     return np.unique(window_hashes(ids, min(n, len(words))))
 
 
+def least_shared(percent: int, k: int, miss: float = 2e-9) -> int:
+    """The most values that two sets at ``percent`` per cent Jaccard share of the ``k`` least of their union, but for a chance of ``miss``.
+
+    Each value is shared with that chance, so their number is binomial. Where not even one can be counted on, a larger ``k`` is due.
+    """
+    q, below = percent / 100, 0.0
+    for shared in range(k + 1):
+        below += math.comb(k, shared) * q**shared * (1 - q) ** (k - shared)
+        if below > miss:
+            break
+    if not shared:
+        raise ValueError(f"sketches of {k} values miss pairs at {percent} per cent with chance {below:.1e}: take more values")
+    return shared
+
+
 def bitmap_of(hashes: np.ndarray) -> bytes:
     """Parities of the counts of hashes by their last ten bits."""
     return np.packbits(np.bincount((hashes & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).tobytes()
@@ -232,15 +248,16 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, k: int) -> DataFr
 
 
 def near_duplicates(
-    docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64, shared: int = 30, block: int = 2048, text: str = "text"
+    docs: DataFrame, words: int = 5, percent: int = 80, k: int = 64, shared: int | None = None, block: int = 2048, text: str = "text"
 ) -> DataFrame:
     """``_doc, _th, rid, n, group, component`` of every row: its shingles, its group (a rid) and the least doc_id of that.
 
     Rows whose sets reach ``percent`` per cent Jaccard are linked, groups are what links connect. Null and empty
-    texts, and texts of white space, have no shingles and are linked with nothing. Null doc_ids belong to groups but
+    texts, and texts of white space, have no shingles and are linked with nothing. ``shared`` values of ``k`` must be common to a
+    pair; by default as many as pairs at ``percent`` have (``least_shared``), which is an error if that is none. Null doc_ids belong to groups but
     never name one that has another member. Repeated rows are members like others. An empty table gives no rows.
     """
-    spark = docs.sparkSession
+    shared = shared or least_shared(percent, k)
     rows = cut(sketches(docs, words, k, text).withColumn("rid", F.monotonically_increasing_id()), "near-rows")
     full = rows.where("n > 0")
     heads = full.groupBy("d1", "d2").agg(F.min("rid").alias("cid"), F.min("_doc").alias("doc"))

@@ -115,6 +115,28 @@ def test_one_of_each_by_group(spark):
     assert sorted((i or 0, near[t]) for i, t in kept) == [(0, a), (0, b), (7, c), (7, d)]
 
 
+@pytest.mark.parametrize("percent", [30, 50, 95])
+def test_near_pairs_at_other_thresholds(spark, percent):
+    """Planted pairs just at the threshold, and just below it, among texts of their own."""
+    rnd = random.Random(percent)
+    docs = []
+    for k in range(60):
+        size = 200
+        shared = -(-2 * size * percent // (100 + percent)) - (k % 3 == 2) * 8  # of ``size`` shingles each
+        head = [f"h{k}x{j}" for j in range(shared + 4)]
+        for side in (0, 1):
+            docs.append((2 * k + side, " ".join(head + [f"t{k}s{side}x{rnd.randrange(10**9)}" for _ in range(size - shared)])))
+    want = {d: c for d, (_, c) in brute.groups(docs, 5, percent).items()}
+    got = {r["_doc"]: r["component"] for r in near_dup.near_duplicates(spark.createDataFrame(docs, DOCS), percent=percent).collect()}
+    assert got == want and sum(d != c for d, c in want.items()) == 40
+
+
+def test_shared_values():
+    assert near_dup.least_shared(80, 64) == 30 and near_dup.least_shared(30, 64) == 1
+    with pytest.raises(ValueError):
+        near_dup.least_shared(10, 64)
+
+
 def test_components(spark):
     rnd = random.Random(2)
     edges = [(k, k + 1) for k in range(40)] + [(100 + rnd.randrange(60), 100 + rnd.randrange(60)) for _ in range(40)]
