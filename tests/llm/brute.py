@@ -1,9 +1,13 @@
 """Plain Python versions of the operators, written from their contracts."""
 
 import hashlib
+import math
 import re
+import struct
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+import xxhash
 
 
 def words_space(text):
@@ -119,3 +123,43 @@ def segmentations(text, score, unknown):
         if own is not None:
             out += [(s + own, parts + (text[-n:],)) for s, parts in segmentations(text[:-n], score, unknown)]
     return out
+
+
+def quality(docs, verdict, features, odds, temperature, seed):
+    """(weights, floor, keys) of (doc_id, text), one by one; ``verdict`` {doc_id: good}, ``features`` the slots of a text."""
+    own = [features(t) for _, t in docs]
+    inside = [verdict.get(d) == 1 for d, _ in docs]
+    raw, target = Counter(), Counter()
+    for slots, good in zip(own, inside):
+        raw.update(slots)
+        target.update(slots if good else ())
+    held = [bool(slots) for slots in own]
+    share = sum(h and g for h, g in zip(held, inside)) / sum(held)
+    ratios = sorted((math.log(n / ((raw[s] - 1) * share + 1)), s) for s, n in target.items())
+    half, passed = sum(target.values()) / 2, 0
+    for ratio, s in ratios:
+        passed += target[s]
+        if passed >= half:
+            break
+    share = min(share * math.exp(ratio), 1 - 1e-6)
+
+    def log_ratio(s, good):
+        n, expected = max(target[s] - good, 0), (raw[s] - 1) * share
+        rest, others = raw[s] - good - n, (raw[s] - 1) * (1 - share)
+        gain = sum(x * math.log(max(x, 1) / max(y, 1e-9)) for x, y in ((n, expected), (rest, others)))
+        return math.log((n + 1) / (expected + 1)) / (1 + odds * math.exp(-min(max(gain, 0), 600)))
+
+    weights = [sum(log_ratio(s, g) for s in slots) / math.sqrt(max(len(slots), 1)) for slots, g in zip(own, inside)]
+    bins = [(math.floor(min(5, max(-5, w)) * 10_000), verdict[d]) for (d, _), w, h in zip(docs, weights, held) if h and d in verdict]
+    least, floor, values = sum(not g for _, g in bins), -math.inf, sorted({b for b, _ in bins})
+    for b, after in zip(values, values[1:]):
+        wrong = sum(g if x <= b else not g for x, g in bins)
+        if wrong < least:
+            least, floor = wrong, (b + 1 + after) / 20_000
+    unit, keys = max(abs(floor), 1e-4) if math.isfinite(floor) else 1.0, []
+    for (d, t), w in zip(docs, weights):
+        h = xxhash.xxh64_intdigest(struct.pack("<q", d), 42)
+        h = xxhash.xxh64_intdigest(struct.pack("<Q", xxhash.xxh64_intdigest(t.encode(), 42)), h)
+        h = xxhash.xxh64_intdigest(struct.pack("<i", seed), h)
+        keys.append(round((w / (temperature * unit) - math.log(-math.log(((h >> 12) + 0.5) / 2**52))) * 2**20))
+    return weights, floor, keys

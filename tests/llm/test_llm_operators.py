@@ -435,6 +435,30 @@ def test_quality(spark):
     assert quality.sample(df, lab.limit(0)).count() == len(docs) and quality.sample(df.limit(0), lab).count() == 0
 
 
+@pytest.mark.parametrize("temperature, size", [(0.02, None), (1.0, 150), (5.0, 40)])
+def test_quality_against_plain_version(spark, temperature, size):
+    """Weights, floor, keys and the sampled rows; documents without repetition, so all slots are n-grams."""
+    rnd = random.Random(12)
+    docs = [(k, " ".join(rnd.sample([f"w{j}" for j in range(60)], rnd.randrange(2, 40)) + ["vile"] * (k % 7 == 0))) for k in range(400)]
+    docs += [(400, ""), (401, docs[5][1])]
+    verdict = {k: int(k % 7 > 0) for k in range(0, 300, 2)}
+    lab = spark.createDataFrame([(k, good, 0) for k, good in verdict.items()], "doc_id long, quality int, toxic int")
+    known = near_dup.WordHashes()
+    slots = lambda t: quality.slots_of(quality.ids_of(t, known)).tolist()
+    assert all(not quality.repeats_of(quality.ids_of(t, known), known) for _, t in docs)
+    weights, floor, keys = brute.quality(docs, verdict, slots, 10_000.0, temperature, 3)
+    scored, model, last = quality.resample(spark.createDataFrame(docs, DOCS), lab, size=size, temperature=temperature, seed=3)
+    found = {r["_doc"]: r for r in scored.collect()}
+    assert [found[d]["_weight"] for d, _ in docs] == pytest.approx(weights, abs=1e-9)
+    assert math.isfinite(floor) and model.unit == pytest.approx(abs(floor))
+    # A key is a weight over a small unit, so the last digits of sums show in it.
+    assert all(abs(found[d]["key"] - k) <= 2 + 1e-9 * abs(k) for (d, _), k in zip(docs, keys))
+    top = sorted(zip(keys, docs), reverse=True)[: size or sum(w >= floor for w in weights)]
+    assert {d for d, r in found.items() if r["key"] >= last} == {d for _, (d, _) in top}
+    if temperature > 1:
+        assert {d for _, (d, _) in top} != {d for _, (d, _) in sorted(zip(weights, docs), reverse=True)[:size]}
+
+
 def test_quality_old(spark):
     """Bad documents hold one or both of two words, three times in all."""
     rnd = random.Random(6)
