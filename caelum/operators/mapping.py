@@ -1,10 +1,11 @@
 """Empirical quantile mapping of ensemble members, group by group.
 
 A group is whatever ``keys`` say: a cell, or a cell and a lead day. Each has a forecast, a
-reference sample and a hindcast sample. Two routes give the same rows:
+reference sample and a hindcast sample. Three routes give the same rows:
 
 * ``map_arrays``: one row per group with sorted samples, looked up in O(log n) per member;
-* ``map_rows``: value slices (``operators.quantiles``) for groups of any size.
+* ``map_rows``: value slices (``operators.quantiles``) for groups of any size;
+* ``map_lists``: the same slices as lists (``operators.value_lists``), for samples of calendar windows.
 
 Which one is for the caller to say, who knows whether the key bounds the group.
 
@@ -21,6 +22,7 @@ from caelum.functions import sorted_arrays as sa
 from caelum.operators.gumbel import fit_left_gumbel, fit_left_gumbel_arrays
 from caelum.operators.quantiles import SLICE_ROWS, bracket, distinct_knots, positions, weight
 from caelum.operators.skew import join_counted, join_facts
+from caelum.operators.value_lists import extents, knot_rows, placed, slice_knots, value_rows
 from caelum.session import cut
 
 GROUP_FACTS = [
@@ -309,8 +311,71 @@ def map_rows(
         n_obs.join(sizes(mdl, "mdl"), keys, "full")
         .join(profile(po, n_obs, "obs"), keys, "left")
         .join(profile(pm, n_obs, "mdl"), keys, "left")
-        .withColumn("usable", F.coalesce((F.col("m_obs") > 0) & (F.col("m_mdl") > 0), F.lit(False)))
     )
+    facts = cut(_group_facts(facts, keys), "group-facts")
+    ready = facts.where("usable and varied").select(*keys, "n_obs", "dry_mdl")
+    k_mdl = distinct_knots(pm, keys, F.lit(nq))
+    k_obs = distinct_knots(join_facts(po, ready.select(*keys, "n_obs"), keys, "inner"), keys, F.col("n_obs"))
+    rows = _looked_up(pred, facts, ready, k_mdl, k_obs, keys, ids, params, slice_rows)
+    return join_facts(rows, fit_left_gumbel(obs, keys), keys) if gumbel else rows
+
+
+def map_lists(
+    pred: DataFrame,
+    obs: DataFrame,
+    mdl: DataFrame,
+    keys: list[str],
+    ids: list[str],
+    params: CorrectionParams,
+    slice_rows: int = SLICE_ROWS,
+    gumbel: bool = False,
+) -> DataFrame:
+    """Same result as ``map_rows`` of samples held in ``value_lists``: keys, slice, ``held``."""
+    parts = {tag: cut(extents(df, keys, params.dry_thresh), f"{tag}-slices") for tag, df in (("obs", obs), ("mdl", mdl))}
+
+    def sizes(tag: str) -> DataFrame:
+        return parts[tag].groupBy(*keys).agg(
+            F.sum("n_slice").alias(f"n_{tag}"),
+            F.sum("m_slice").alias(f"m_{tag}"),
+            F.sum("d_slice").alias(f"d_{tag}"),
+            F.min("first_x").alias(f"{tag}_min"),
+            F.max("last_x").alias(f"{tag}_max"),
+            F.try_divide(F.sum("total"), F.sum("m_slice")).alias(f"{tag}_mean"),
+            F.sum("dry_slice").alias(f"{tag}_dry"),
+        )
+
+    groups = cut(sizes("obs").join(sizes("mdl"), keys, "full"), "group-sizes")
+
+    def knots(df: DataFrame, tag: str, n: Column) -> DataFrame:
+        known = groups.select(
+            *keys,
+            F.col(f"m_{tag}").alias("m"),
+            F.col(f"{tag}_mean").alias("mean"),
+            F.coalesce("n_obs", F.lit(0).cast("bigint")).alias("n_obs"),
+            n.cast("bigint").alias("n"),
+        )
+        whole = placed(parts[tag], keys).join(known, keys)
+        present = df.select(*keys, "slice", F.filter("held", lambda h: h["x"].isNotNull()).alias("vals"))
+        return cut(slice_knots(present.join(whole, [*keys, "slice"]), keys), f"{tag}-knots")
+
+    found = {"obs": knots(obs, "obs", F.col("n_obs")), "mdl": knots(mdl, "mdl", F.lit(params.nquants))}
+    facts = groups
+    for tag, df in found.items():
+        ends = df.groupBy(*keys).agg(
+            F.sum("up").alias(f"{tag}_up"), F.sum("low").alias(f"{tag}_low"), F.sum("squares").alias(f"{tag}_squares")
+        )
+        facts = facts.join(ends, keys, "left")
+    facts = facts.withColumn("obs_sd", F.sqrt(F.try_divide("obs_squares", "m_obs")))
+    facts = cut(_group_facts(facts, keys), "group-facts")
+    ready = facts.where("usable and varied").select(*keys, "n_obs", "dry_mdl")
+    k_obs = knot_rows(found["obs"].join(ready, keys, "left_semi"), keys)
+    rows = _looked_up(pred, facts, ready, knot_rows(found["mdl"], keys), k_obs, keys, ids, params, slice_rows)
+    return join_facts(rows, fit_left_gumbel(value_rows(obs, keys), keys), keys) if gumbel else rows
+
+
+def _group_facts(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """``GROUP_FACTS`` of the sizes and profiles of both samples."""
+    facts = facts.withColumn("usable", F.coalesce((F.col("m_obs") > 0) & (F.col("m_mdl") > 0), F.lit(False)))
     obs_full = F.col("m_obs") == F.col("n_obs")
     mdl_full = F.col("m_mdl") == F.col("n_mdl")
 
@@ -318,7 +383,7 @@ def map_rows(
         missing = F.coalesce(F.col(f"m_{tag}"), F.lit(0)) < F.col(f"n_{tag}")
         return F.coalesce(F.col(f"d_{tag}"), F.lit(0)) + F.when(missing, 1).otherwise(0) > 10
 
-    facts = facts.select(
+    return facts.select(
         *keys,
         "n_obs",
         "usable",
@@ -332,11 +397,21 @@ def map_rows(
         *[F.when(obs_full, F.col(c)).alias(c) for c in ("obs_up", "obs_low")],
         *[F.when(mdl_full, F.col(c)).alias(c) for c in ("mdl_up", "mdl_low")],
     )
-    facts = cut(facts, "group-facts")
-    ready = facts.where("usable and varied").select(*keys, "n_obs", "dry_mdl")
-    k_mdl = distinct_knots(pm, keys, F.lit(nq))
-    k_obs = distinct_knots(join_facts(po, ready.select(*keys, "n_obs"), keys, "inner"), keys, F.col("n_obs"))
 
+
+def _looked_up(
+    pred: DataFrame,
+    facts: DataFrame,
+    ready: DataFrame,
+    k_mdl: DataFrame,
+    k_obs: DataFrame,
+    keys: list[str],
+    ids: list[str],
+    params: CorrectionParams,
+    slice_rows: int,
+) -> DataFrame:
+    """Forecast members brought through both samples' knots (keys, q, i, n): ``mapped_columns``."""
+    dry, nq = params.dry_thresh, params.nquants
     # each distinct forecast value is looked up once
     limits = k_mdl.groupBy(*keys).agg(F.min("q").alias("q_min"), F.max("q").alias("q_max"))
     distinct = pred.where(F.col("value").isNotNull()).groupBy(*keys, "value").agg(F.count("*").alias("asked"))
@@ -414,5 +489,4 @@ def map_rows(
             *keys, F.col("p").alias("at_draw"), F.col("v").alias("draw_mapped")
         )
         rows = join_facts(rows, drawn, [*keys, "at_draw"])
-    rows = rows.select(*mapped_columns(keys, ids))
-    return join_facts(rows, fit_left_gumbel(obs, keys), keys) if gumbel else rows
+    return rows.select(*mapped_columns(keys, ids))

@@ -11,7 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caelum.functions.calendar import year_length
+from caelum.operators.quantiles import SLICE_ROWS
 from caelum.operators.skew import join_facts
+from caelum.operators.value_lists import value_lists
+from caelum.session import cut
 
 
 def target_day(first_year: int, issue_month: Column, lead: Column) -> Column:
@@ -124,7 +127,7 @@ def other_years_missing(pool: str, year: str) -> Column:
     return F.expr(f"size(filter({pool}, x -> x.year <> {year} and x.value is null))").cast("bigint")
 
 
-# ---------------------------------------------------------------- copies per target, for cells of any size
+# ---------------------------------------------------------------- lists per target, for cells of any size
 
 
 def ring_days(targets: DataFrame, keys: list[str], window: int) -> DataFrame:
@@ -142,11 +145,18 @@ def ring_days(targets: DataFrame, keys: list[str], window: int) -> DataFrame:
 
 
 def calendar_rows(
-    obs: DataFrame, targets: DataFrame, cell: list[str], ids: list[str], window: int, by_year: bool = False
+    obs: DataFrame,
+    targets: DataFrame,
+    cell: list[str],
+    ids: list[str],
+    window: int,
+    by_year: bool = False,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Like ``calendar_pool`` but one row per distinct value and target of its cell, with its ``copies``.
+    """Like ``calendar_pool`` but in ``value_lists``: one row per target and value slice of its cell.
 
-    Values are counted per day first, so copies do not multiply with the window. ``by_year`` keeps them apart by ``year``.
+    Values are counted per day first, so copies do not multiply with the window, and a day's list moves as one row.
+    A slice serves the ``2 * window + 1`` days of a window, so it is that much smaller. ``by_year`` keeps values apart by ``year``.
     """
     year = [F.year("valid_date").alias("year")] if by_year else []
     apart = ["year"] if by_year else []
@@ -161,9 +171,9 @@ def calendar_rows(
         .groupBy(*cell, "len", "doy", *apart, "value")
         .agg(F.count("*").alias("copies"))
     )
-    return dated.join(ring_days(targets, [*cell, *ids], window), [*cell, "len", "doy"]).select(
-        *cell, *ids, *apart, "value", "copies"
-    )
+    days = value_lists(cut(dated, "reference-days"), cell, ["len", "doy"], apart, max(1, slice_rows // (2 * window + 1)))
+    near = days.join(ring_days(targets, [*cell, *ids], window), [*cell, "len", "doy"])
+    return near.groupBy(*cell, *ids, "slice").agg(F.flatten(F.collect_list("held")).alias("held"))
 
 
 def without_own_year(counted: DataFrame, years: DataFrame, keys: list[str], year: str = "year") -> DataFrame:
@@ -171,8 +181,13 @@ def without_own_year(counted: DataFrame, years: DataFrame, keys: list[str], year
 
     ``years`` has the predicted years (keys, ``year``). A sample without a year is the count of each value over all years less
     its count in that year: the two are added up with opposite signs, and what is left over is kept. So the sample's rows
-    are counted once, and a value that only the predicted year has is gone.
+    are counted once, and a value that only the predicted year has is gone. Of ``value_lists`` that hold the year of each entry a
+    list is taken apart inside its row: keys, ``year``, slice, held.
     """
+    if "held" in counted.columns:
+        every = counted.join(years.select(*keys, year).distinct(), keys)
+        others = F.filter("held", lambda h: ~h["year"].eqNullSafe(F.col(year)))
+        return every.select(*keys, year, "slice", others.alias("held"))
     whole = counted.groupBy(*keys, "value").agg(F.sum("copies").alias("copies"))
     every = join_facts(whole, years.select(*keys, year).distinct(), keys, "inner")
     own = counted.select(*keys, "value", (-F.col("copies")).alias("copies"), F.col("year").cast("int").alias(year))
@@ -180,10 +195,16 @@ def without_own_year(counted: DataFrame, years: DataFrame, keys: list[str], year
     return rest.where("copies > 0")
 
 
-def lead_rows(mdl: DataFrame, targets: DataFrame, cell: list[str], window: int, year: str | None = None) -> DataFrame:
-    """Like ``lead_pool`` but one row per distinct value and target lead it serves, with ``copies``; kept apart by ``year`` if given."""
+def lead_rows(
+    mdl: DataFrame, targets: DataFrame, cell: list[str], window: int, year: str | None = None, slice_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """Like ``lead_pool`` but in ``value_lists``: one row per target lead and value slice; values kept apart by ``year`` if given."""
     apart = [F.col(year).alias("year")] if year else []
     counted = mdl.groupBy(*cell, "lead", *apart, "value").agg(F.count("*").alias("copies"))
+    steps = value_lists(
+        cut(counted, "hindcast-steps"), cell, ["lead"], ["year"] if year else [], max(1, slice_rows // (2 * window + 1))
+    )
     reach = F.sequence(F.col("lead") - window, F.col("lead") + window)
-    spread = counted.select(*cell, F.explode(reach).alias("lead"), *(["year"] if year else []), "value", "copies")
-    return spread.join(targets.select(*cell, "lead").distinct(), [*cell, "lead"], "left_semi")
+    spread = steps.select(*cell, "slice", F.explode(reach).alias("lead"), "held")
+    near = spread.join(targets.select(*cell, "lead").distinct(), [*cell, "lead"], "left_semi")
+    return near.groupBy(*cell, "lead", "slice").agg(F.flatten(F.collect_list("held")).alias("held"))

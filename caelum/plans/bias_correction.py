@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caelum.config import CorrectionParams
-from caelum.operators.mapping import group_samples, map_arrays, map_rows, with_draw
+from caelum.operators.mapping import group_samples, map_arrays, map_lists, map_rows, with_draw
 from caelum.operators.quantiles import SLICE_ROWS
 from caelum.operators.tails import finish, needs_gumbel
 from caelum.operators.windows import (
@@ -134,8 +134,8 @@ def bias_correct(
     valid_date, value; ``mdl``: cell, issue_year, issue_month, lead, value. Reference days come
     from ``params.window`` days around the lead's calendar day in ``first_year``, hindcast steps
     from ``params.mdl_window`` lead days around it. ``bounded`` states that ``cell`` bounds the rows of a cell
-    in every input, as on a grid, where years, members and days do; else every value is a row of each
-    window it belongs to, and groups are mapped in value slices.
+    in every input, as on a grid, where years, members and days do; else cells are cut into value slices, and a
+    window is a list of values a slice.
 
     ``crossval`` corrects each predicted issue year without it: without the hindcast issued in it and without the reference days dated in it
     (days of a lead that has crossed New Year are dated in the next year and stay).
@@ -146,13 +146,16 @@ def bias_correct(
     if bounded:
         mapped = _corrected_in_arrays(pred, obs, mdl, cell, ids, first_year, params, gumbel, crossval)
         return finish(mapped, params, precip)
+    pred = cut(pred.select(*group, *ids, "value", "draw"), "forecast")
     day = target_day(first_year, F.col("issue_month"), F.col("lead"))
-    targets = pred.select(*group).distinct().withColumn("day", day)
-    reference = calendar_rows(obs, targets, cell, ["issue_month", "lead"], params.window, crossval)
-    hindcast = lead_rows(mdl, targets, [*cell, "issue_month"], params.mdl_window, "issue_year" if crossval else None)
+    targets = cut(pred.select(*group).distinct().withColumn("day", day), "targets")
+    reference = calendar_rows(obs, targets, cell, ["issue_month", "lead"], params.window, crossval, slice_rows)
+    year = "issue_year" if crossval else None
+    hindcast = lead_rows(mdl, targets, [*cell, "issue_month"], params.mdl_window, year, slice_rows)
+    reference, hindcast = cut(reference, "reference-pools"), cut(hindcast, "hindcast-pools")
     if crossval:  # each predicted year is a group of its own, with samples that lack it
         years = cut(pred.select(*group, "issue_year").distinct(), "predicted-years")
         reference, hindcast = (without_own_year(f, years, group, "issue_year") for f in (reference, hindcast))
         group, ids = [*group, "issue_year"], [c for c in ids if c != "issue_year"]
-    mapped = map_rows(pred, reference, hindcast, group, ids, params, slice_rows, gumbel)
+    mapped = map_lists(pred, reference, hindcast, group, ids, params, slice_rows, gumbel)
     return finish(mapped, params, precip)

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from caelum.config import CorrectionParams
 from caelum.functions.sorted_arrays import last_at_most, last_below, more_distinct_than
+from caelum.operators import mapping, value_lists, windows
+from caelum.operators.quantiles import distinct_knots, positions
+from caelum.plans import bias_correction
 from caelum.plans.bias_correction import bias_correct, correct_groups
 from tests.brute import correct
 
@@ -178,3 +181,60 @@ def test_calendar_against_brute_force(spark, bounded):
         v = found[cell, lead, ens]
         assert (v is None) == (want is None)
         assert want is None or math.isclose(v, want, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("slice_rows", [25, 2_000_000])
+def test_left_out_years_write_no_row_per_value_and_window(spark, monkeypatch, slice_rows):
+    """Cells of any size are cross-validated as bounded ones are, and no table on the way holds a row per value, window and year."""
+    _, obs, mdl, (_, o, m) = calendar_inputs(spark)
+    zero = F.when(F.col("lead") % 5 == 0, 0.0).when(F.col("lead") % 7 > 0, F.col("value"))  # many copies, some missing
+    mdl = mdl.withColumn("value", zero).localCheckpoint()
+    params = CorrectionParams(nquants=40, window=10, mdl_window=7)
+    args = (mdl, obs, mdl, ["cell"], ["issue_year", "ens"], 1995, params)
+    written = {}
+
+    def counting(cut):
+        def counted(df, name):
+            res = cut(df, name)
+            written[name] = res.count()
+            return res
+
+        return counted
+
+    for module in (bias_correction, mapping, windows):
+        if hasattr(module, "cut"):
+            monkeypatch.setattr(module, "cut", counting(module.cut))
+    whole = bias_correct(*args, crossval=True, bounded=True).toPandas().set_index(["cell", "issue_year", "lead", "ens"])["corrected"]
+    got = bias_correct(*args, crossval=True, slice_rows=slice_rows).toPandas().set_index(["cell", "issue_year", "lead", "ens"])["corrected"]
+    assert len(got) == len(whole) == len(m)
+    assert whole.notna().sum() > len(m) / 2
+    both = whole.to_frame("a").join(got.to_frame("b"))
+    assert (both["a"].isna() == both["b"].isna()).all()
+    assert (both["a"] - both["b"]).abs().max() < 1e-9
+    slices = max(written["obs-slices"], written["mdl-slices"]) if "obs-slices" in written else 0
+    assert (slices > 2 * 45 * 4) == (slice_rows == 25)  # cells, leads and years; more only where cells are cut
+    most = max(len(o), len(m), slices)
+    assert {name: n for name, n in written.items() if n > most} == {}
+
+
+@pytest.mark.parametrize("scale", [1, 10**12])
+def test_knots_of_lists_are_those_of_rows(spark, scale):
+    """Slices of lists yield the knots and order statistics that rows do, products beyond 64 bits among them."""
+    rnd = random.Random(scale)
+    rows = [(g, None if rnd.random() < 0.1 else float(rnd.randrange(size)), rnd.randrange(1, 4) * scale) for g, size in ((1, 90), (2, 9), (3, 400)) for _ in range(120)] + [(4, 2.5, 1)]
+    counted = spark.createDataFrame(rows, "g int, value double, copies long").groupBy("g", "value").agg(F.sum("copies").alias("copies"))
+    n = 7 * scale
+    lists = value_lists.value_lists(counted, ["g"], [], [], 40)
+    parts = value_lists.extents(lists, ["g"], 3.0)
+    assert parts.count() > 6
+    sizes = parts.groupBy("g").agg(F.sum("m_slice").alias("m"), (F.sum("total") / F.sum("m_slice")).alias("mean"))
+    sizes = sizes.select("*", F.lit(n).cast("bigint").alias("n"), F.lit(n).cast("bigint").alias("n_obs"))
+    present = lists.select("g", "slice", F.filter("held", lambda h: h["x"].isNotNull()).alias("vals"))
+    found = value_lists.slice_knots(present.join(value_lists.placed(parts, ["g"]).join(sizes, ["g"]), ["g", "slice"]), ["g"]).cache()
+    pos = positions(counted, ["g"], slice_rows=40)
+    key = lambda df: sorted((r["g"], r["i"], r["q"], r["n"]) for r in df.collect())
+    assert key(value_lists.knot_rows(found, ["g"])) == key(distinct_knots(pos, ["g"], F.lit(n)))
+    ends = {r["g"]: r for r in found.groupBy("g").agg(F.sum("up").alias("up"), F.sum("low").alias("low")).collect()}
+    at = lambda i: mapping._at_position(i, f"{n}L")
+    for r in pos.groupBy("g").agg(at(f"{n}L").alias("up"), at("1L").alias("low")).collect():
+        assert (ends[r["g"]]["up"], ends[r["g"]]["low"]) == (r["up"], r["low"])
